@@ -7,60 +7,35 @@ from pyspark.sql import functions as F
 
 from pairloom.config import LABEL_PAD_ID, PAD_MULTIPLE
 from pairloom.functions.arrays import attention_mask, pad_right, round_up
-from pairloom.operators.ranking import DIGITS, exact_rank, shuffle_key
+from pairloom.operators.ranking import zoned_rank
 
 
 def length_batches(
-    df: DataFrame,
-    key: str,
-    batch: int = 2,
-    mega: int = 50,
-    seed: int = 42,
-    length: str = "length",
-    scope: str = "table",
+    df: DataFrame, key: str, batch: int = 2, mega: int = 50, seed: int = 42, length: str = "length"
 ) -> DataFrame:
-    """Add ``mega_id, batch_id, pos``: batches of rows with similar length, in random company.
+    """Add ``zone, mega_id, batch_id, pos``: batches of rows of similar length, in random company.
 
     The rows, in seeded random order, are cut into groups of ``batch * mega``; each group is sorted
-    by length, longest first, and cut into batches. Every window holds one such group or one
-    bucket of the random order, so no length or source can overload a task. ``key`` must be unique.
+    by length, longest first, and cut into batches; only the last batch may be short. ``key`` must
+    be unique.
 
-    ``scope='table'`` forms groups over the whole order: one short batch at most, two shuffles of
-    the rows. ``scope='bucket'`` forms them inside each bucket of the order: one shuffle, and at
-    most one short batch per bucket. Adds the column ``bucket``.
+    The rows are shuffled once. Windows and batches are formed inside zones of the random order,
+    which are equal in size, so no length or source can overload a task.
     """
     group = batch * mega
-    if scope == "table":
-        ranked = exact_rank(df, key, seed, "_rank")
-        grouped = ranked.withColumn("mega_id", F.expr(f"(_rank - 1) div {group}")).drop("_rank")
-        inside = ["mega_id"]
-        first = F.col("mega_id") * mega
-    elif scope == "bucket":
-        keyed = df.withColumn("_k", shuffle_key(key, seed)).withColumn("bucket", F.substring("_k", 1, DIGITS))
-        in_bucket = F.row_number().over(Window.partitionBy("bucket").orderBy("_k", key))
-        grouped = (
-            keyed.withColumn("_rank", in_bucket)
-            .withColumn("mega_id", F.expr(f"(_rank - 1) div {group}"))
-            .drop("_k", "_rank")
-        )
-        inside = ["bucket", "mega_id"]
-        # the bucket's number above, the batch's number inside the bucket below
-        first = F.conv("bucket", 16, 10).cast("bigint") * (1 << 40) + F.col("mega_id") * mega
-    else:
-        raise ValueError(f"scope must be 'table' or 'bucket', got {scope!r}")
-    order = Window.partitionBy(*inside).orderBy(F.desc(length), key)
-    place = F.row_number().over(order) - 1
+    ranked = zoned_rank(df, key, seed, "_rank", unit=group)
+    order = Window.partitionBy("zone", "mega_id").orderBy(F.desc(length), key)
     return (
-        grouped.withColumn("_place", place)
-        .withColumn("batch_id", first + F.expr(f"_place div {batch}"))
+        ranked.withColumn("mega_id", F.expr(f"(_rank - 1) div {group}"))
+        .withColumn("_place", F.row_number().over(order) - 1)
+        .withColumn("batch_id", F.col("mega_id") * mega + F.expr(f"_place div {batch}"))
         .withColumn("pos", F.col("_place") % batch)
-        .drop("_place")
+        .drop("_rank", "_place")
     )
 
 
-def batch_keys(df: DataFrame) -> list[str]:
-    """Grouping by all of these reuses the partitioning the batches were formed in."""
-    return [c for c in ("bucket", "mega_id", "batch_id") if c in df.columns]
+# grouping by all of these reuses the partitioning the batches were formed in
+BATCH_KEYS = ("zone", "mega_id", "batch_id")
 
 
 def _widths(multiple: int, over: WindowSpec | None = None) -> dict[str, Column]:
@@ -76,33 +51,42 @@ def batch_widths(batched: DataFrame, multiple: int = PAD_MULTIPLE) -> DataFrame:
     """Rows per batch and the padded width of its inputs and labels."""
     widths = _widths(multiple)
     return (
-        batched.groupBy(*batch_keys(batched))
+        batched.groupBy(*BATCH_KEYS)
         .agg(F.count("*").cast("int").alias("n_rows"), *[w.alias(n) for n, w in widths.items()])
         .select("batch_id", "n_rows", *widths)
     )
 
 
+def _padded(
+    input_ids: Column, labels: Column, batch_id: Column, pad_id: int, label_pad: int
+) -> dict[str, Column]:
+    """The padded arrays of one row; an empty or missing sequence is an error."""
+    input_width, label_width = F.col("input_width"), F.col("label_width")
+    empty = (F.coalesce(F.array_size(input_ids), F.lit(0)) == 0) | (
+        F.coalesce(F.array_size(labels), F.lit(0)) == 0
+    )
+    failure = F.raise_error(F.concat(F.lit("empty sequence in batch "), batch_id.cast("string")))
+
+    def checked(padded: Column) -> Column:
+        return F.when(empty, failure.cast("array<bigint>")).otherwise(padded)
+
+    return {
+        "input_ids": checked(pad_right(input_ids, input_width, pad_id)),
+        "attention_mask": checked(attention_mask(input_ids, input_width)),
+        "labels": checked(pad_right(labels, label_width, label_pad)),
+    }
+
+
 def pad_rows(
     batched: DataFrame,
     pad_id: int = 0,
     label_pad: int = LABEL_PAD_ID,
     multiple: int = PAD_MULTIPLE,
 ) -> DataFrame:
-    """Each row padded to the widths of its batch, with ``attention_mask``.
-
-    An empty sequence is an error, as is a missing one.
-    """
-    sized = batched.withColumns(_widths(multiple, Window.partitionBy(*batch_keys(batched))))
-    empty = (F.coalesce(F.array_size("input_ids"), F.lit(0)) == 0) | (
-        F.coalesce(F.array_size("labels"), F.lit(0)) == 0
-    )
-    message = F.concat(F.lit("empty sequence in batch "), F.col("batch_id").cast("string"))
-    # the mask carries the check: where the widths alone are read, it costs nothing
-    mask = attention_mask(F.col("input_ids"), F.col("input_width"))
-    checked = F.when(empty, F.raise_error(message).cast("array<bigint>")).otherwise(mask)
-    padded = pad_right(F.col("input_ids"), F.col("input_width"), pad_id)
-    labels = pad_right(F.col("labels"), F.col("label_width"), label_pad)
-    return sized.withColumns({"input_ids": padded, "attention_mask": checked, "labels": labels})
+    """Each row padded to the widths of its batch, with ``attention_mask``."""
+    sized = batched.withColumns(_widths(multiple, Window.partitionBy(*BATCH_KEYS)))
+    ids, labels = F.col("input_ids"), F.col("labels")
+    return sized.withColumns(_padded(ids, labels, F.col("batch_id"), pad_id, label_pad))
 
 
 def collate(
@@ -111,22 +95,30 @@ def collate(
     label_pad: int = LABEL_PAD_ID,
     multiple: int = PAD_MULTIPLE,
 ) -> DataFrame:
-    """One row per batch with three rectangular arrays, rows in the order of ``pos``."""
-    padded = pad_rows(batched, pad_id, label_pad, multiple)
-    row = F.struct("pos", "input_ids", "attention_mask", "labels")
+    """One row per batch with three rectangular arrays, rows in the order of ``pos``.
+
+    Rows are gathered as they are and padded afterwards, inside the batch.
+    """
+    row = F.struct("pos", "input_ids", "labels")
     # at most `batch` rows per group
-    batches = padded.groupBy(*batch_keys(padded)).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
-    return batches.select(
-        "batch_id",
-        *[F.col(f"_rows.{name}").alias(name) for name in ("input_ids", "attention_mask", "labels")],
+    gathered = batched.groupBy(*BATCH_KEYS).agg(
+        F.sort_array(F.collect_list(row)).alias("_rows"), *[w.alias(n) for n, w in _widths(multiple).items()]
     )
 
+    def part(name: str) -> Column:
+        return F.transform(
+            "_rows",
+            lambda r: _padded(r["input_ids"], r["labels"], F.col("batch_id"), pad_id, label_pad)[name],
+        ).alias(name)
+
+    return gathered.select("batch_id", part("input_ids"), part("attention_mask"), part("labels"))
+
 
 def padding_report(batched: DataFrame, multiple: int = PAD_MULTIPLE) -> DataFrame:
     """Real and padded cells per batch, for inputs and labels. Reads lengths only."""
     n_input, n_label = F.array_size("input_ids"), F.array_size("labels")
     widths = _widths(multiple)
-    sums = batched.groupBy(*batch_keys(batched)).agg(
+    sums = batched.groupBy(*BATCH_KEYS).agg(
         F.count("*").alias("n_rows"),
         F.sum(n_input).alias("input_cells"),
         F.sum(n_label).alias("label_cells"),

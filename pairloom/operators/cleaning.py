@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 
 from pairloom.config import LANGUAGES, MAX_INPUT, CleanOptions
 from pairloom.functions.text import lines, prefixed, preview_text, strip_text
-from pairloom.operators.tokenizers import ByteTokenizer, worker_object
+from pairloom.operators.tokenizers import ByteTokenizer
 
 BYTES = ByteTokenizer()
 
@@ -87,11 +87,11 @@ class WorkerCleaner:
     def column(self, text: Column, lang: Column) -> Column:
         loader = pickle.dumps(_Loader(self.factory, self.options))
 
-        def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def clean(texts: pa.Array) -> pa.Array:
             from pairloom.operators.cleaning import clean_batch
+            from pairloom.operators.tokenizers import worker_object
 
-            for batch in batches:
-                yield clean_batch(worker_object(loader), batch)
+            return clean_batch(worker_object(loader), texts)
 
         return F.arrow_udf(clean, StringType())(prefixed(lang, text))
 

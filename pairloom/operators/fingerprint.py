@@ -7,33 +7,36 @@ import json
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from pairloom.config import PAIR_COLUMNS, PREPARE_VERSION
 from pairloom.sources.pairs import content_key
 
 
-def content_digest(df: DataFrame, columns: Sequence[str] = PAIR_COLUMNS) -> DataFrame:
-    """One row ``n_rows, xor, total`` that does not depend on the order of the rows.
+def digest_columns(columns: Sequence[str] = PAIR_COLUMNS) -> list[Column]:
+    """Aggregates ``n_rows, xor, total`` that do not depend on the order of the rows.
 
     From 60 bits of a hash of each row. Copies in even number cancel in the xor, not in the sum.
-    One pass, three numbers per task.
     """
     # 15 hexadecimal digits fit a 64-bit integer
-    value = F.conv(F.substring(content_key(columns), 1, 15), 16, 10).cast("bigint").alias("v")
-    return df.select(value).agg(
+    value = F.conv(F.substring(content_key(columns), 1, 15), 16, 10).cast("bigint")
+    return [
         F.count("*").alias("n_rows"),
-        F.coalesce(F.bit_xor("v"), F.lit(0).cast("bigint")).alias("xor"),
-        F.coalesce(F.sum(F.col("v").cast("decimal(20,0)")), F.lit(0)).cast("string").alias("total"),
-    )
+        F.coalesce(F.bit_xor(value), F.lit(0).cast("bigint")).alias("xor"),
+        F.coalesce(F.sum(value.cast("decimal(20,0)")), F.lit(0)).cast("string").alias("total"),
+    ]
+
+
+def content_digest(df: DataFrame, columns: Sequence[str] = PAIR_COLUMNS) -> DataFrame:
+    """The digest of a table, one row: one pass, three numbers per task."""
+    return df.agg(*digest_columns(columns))
 
 
 def dataset_fingerprint(
-    df: DataFrame, tokenizer: dict[str, Any], max_input: int, max_target: int, **more: Any
+    content: Row, tokenizer: dict[str, Any], max_input: int, max_target: int, **more: Any
 ) -> str:
     """16 hexadecimal digits over the content and all that decides how it is prepared."""
-    content = content_digest(df).first()
     identity = {
         "dataset": [content["n_rows"], content["xor"], content["total"]],
         "tokenizer": tokenizer,

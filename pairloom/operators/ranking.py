@@ -11,43 +11,75 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIGITS = 4  # hexadecimal digits of a bucket: at most 65,536 buckets
+MAX_ZONES = 1 << 18
 
 
 def shuffle_key(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def bucket_offsets(keyed: DataFrame, bucket: str = "_bucket") -> DataFrame:
-    """Rows per bucket, with the rows before it and the rows in all.
+def _keyed(df: DataFrame, key: str, seed: int, digits: int) -> DataFrame:
+    return df.withColumn("_k", shuffle_key(key, seed)).withColumn("_bucket", F.substring("_k", 1, digits))
+
+
+def bucket_offsets(keyed: DataFrame) -> DataFrame:
+    """Rows before each bucket, rows up to its end, and rows in all.
 
     The windows see one row per bucket, 16**digits at most, whatever the size of the table.
     """
-    order = Window.orderBy(bucket)
-    counts = keyed.groupBy(bucket).agg(F.count("*").alias("_size"))
+    order = Window.orderBy("_bucket")
+    counts = keyed.groupBy("_bucket").agg(F.count("*").alias("_size"))
     return counts.select(
-        bucket,
+        "_bucket",
         (F.sum("_size").over(order) - F.col("_size")).alias("_before"),
         F.sum("_size").over(order).alias("_end"),
         F.sum("_size").over(Window.partitionBy()).alias("_total"),
     )
 
 
-def exact_rank(df: DataFrame, key: str, seed: int, name: str = "rank", digits: int = DIGITS) -> DataFrame:
-    """Add the 1-based rank of each row in the seeded order. ``key`` must be unique."""
-    keyed = df.withColumn("_k", shuffle_key(key, seed)).withColumn("_bucket", F.substring("_k", 1, digits))
-    offsets = bucket_offsets(keyed).select("_bucket", "_before")
+def zoned_rank(
+    df: DataFrame, key: str, seed: int, name: str = "rank", unit: int = 1, digits: int = DIGITS
+) -> DataFrame:
+    """Add the 1-based rank in the seeded order, and ``zone``. ``key`` must be unique.
+
+    Zones are runs of the order, all of the same size, a multiple of ``unit``; no run of ``unit``
+    ranks crosses a border. There are at most ``MAX_ZONES``, so their borders fit a broadcast. The
+    borders are found from the keys alone; the rows are shuffled once, by zone, and what follows
+    per zone or per run inside a zone needs no further shuffle.
+    """
+    keyed = _keyed(df, key, seed, digits)
+    # the smallest multiple of the unit that makes no more zones than allowed
+    size = F.expr(f"{unit}L * greatest(1L, cast(ceil(_total / ({unit}L * {MAX_ZONES}L)) as bigint))")
+    placed = bucket_offsets(keyed).withColumn("_zone_rows", size)
+    crossed = placed.filter("_before div _zone_rows < (_end - 1) div _zone_rows or _end % _zone_rows = 0")
     inside = Window.partitionBy("_bucket").orderBy("_k", key)
-    return (
-        keyed.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")  # bounded: one row per bucket
-        .withColumn(name, F.col("_before") + F.col("_inside"))
-        .drop("_k", "_bucket", "_before", "_inside")
+    borders = (
+        keyed.select(key, "_k", "_bucket")
+        .join(F.broadcast(crossed.select("_bucket", "_before", "_zone_rows")), "_bucket")
+        .withColumn("_rank", F.col("_before") + F.row_number().over(inside))
+        .filter("_rank % _zone_rows = 0")
+        .groupBy("_bucket")
+        .agg(F.collect_list("_k").alias("_borders"))
+    )
+    table = placed.join(borders, "_bucket", "left").select(
+        "_bucket", "_zone_rows", F.expr("_before div _zone_rows").alias("_first_zone"), "_borders"
+    )
+    passed = F.coalesce(F.size(F.filter("_borders", lambda border: border < F.col("_k"))), F.lit(0))
+    zoned = keyed.join(F.broadcast(table), "_bucket").withColumn(
+        "zone", F.col("_first_zone") + F.when(F.col("_borders").isNull(), 0).otherwise(passed)
+    )
+    place = F.row_number().over(Window.partitionBy("zone").orderBy("_k", key))
+    return zoned.withColumn(name, F.col("zone") * F.col("_zone_rows") + place).drop(
+        "_k", "_bucket", "_zone_rows", "_first_zone", "_borders"
     )
 
 
-def cut_keys(
-    keyed: DataFrame, targets: dict[str, Column], digits: int = DIGITS
-) -> DataFrame:
+def exact_rank(df: DataFrame, key: str, seed: int, name: str = "rank", digits: int = DIGITS) -> DataFrame:
+    """Add the 1-based rank of each row in the seeded order. ``key`` must be unique."""
+    return zoned_rank(df, key, seed, name, digits=digits).drop("zone")
+
+
+def cut_keys(keyed: DataFrame, targets: dict[str, Column], digits: int = DIGITS) -> DataFrame:
     """One row: per target, the largest hash up to which there are at most that many rows.
 
     ``keyed`` has the hash as ``_k``; each target is a row count, given as an expression over
@@ -59,29 +91,24 @@ def cut_keys(
     arrives as one row per task.
     """
     keyed = keyed.select("_k", F.substring("_k", 1, digits).alias("_bucket"))
+    wanted = {name: F.col(f"_to_{name}") for name in targets}
     placed = bucket_offsets(keyed).withColumns({f"_to_{name}": count for name, count in targets.items()})
-    wanted = [F.col(f"_to_{name}") for name in targets]
-    holds = [(F.col("_before") < w) & (w <= F.col("_end")) for w in wanted]
-    edge = placed.filter(_any(holds))  # at most one bucket per target
-    distinct = (
-        keyed.join(F.broadcast(edge.select("_bucket").distinct()), "_bucket", "left_semi")
+    holds = F.lit(False)
+    for count in wanted.values():
+        holds = holds | ((F.col("_before") < count) & (count <= F.col("_end")))
+    edge = placed.filter(holds)  # at most one bucket per target
+    carried = ["_before", *(f"_to_{name}" for name in targets)]
+    hashes = (
+        keyed.join(F.broadcast(edge.select("_bucket", *carried)), "_bucket")
         .groupBy("_bucket", "_k")
-        .agg(F.count("*").alias("_copies"))
-        .join(F.broadcast(edge), "_bucket")
+        .agg(F.count("*").alias("_copies"), *[F.max(c).alias(c) for c in carried])
     )
     inside = Window.partitionBy("_bucket").orderBy("_k")
-    running = distinct.withColumn("_upto", F.col("_before") + F.sum("_copies").over(inside))
+    running = hashes.withColumn("_upto", F.col("_before") + F.sum("_copies").over(inside))
     cuts = []
-    for name, w in zip(targets, wanted):
-        fits = F.max(F.when(F.col("_upto") <= w, F.col("_k")))
+    for name, count in wanted.items():
+        fits = F.max(F.when(F.col("_upto") <= count, F.col("_k")))
         # a bucket that starts below the target: its prefix sorts above all earlier hashes
-        floor = F.max(F.when(F.col("_before") < w, F.col("_bucket")))
+        floor = F.max(F.when(F.col("_before") < count, F.col("_bucket")))
         cuts.append(F.greatest(fits, floor).alias(name))
     return running.agg(*cuts)
-
-
-def _any(conditions: list[Column]) -> Column:
-    found = conditions[0]
-    for condition in conditions[1:]:
-        found = found | condition
-    return found

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.operators.ranking import cut_keys, shuffle_key
 
-SORTED_LIMIT = 100_000  # rows the driver may merge in a top-k
+SORTED_LIMIT = 1000  # rows of a top-k that every task and the final merge may hold
 
 
 def split_pairs(
@@ -42,7 +42,7 @@ def shuffle_limit(df: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
     keyed = df.withColumn("_k", shuffle_key(key, seed))
     if k <= SORTED_LIMIT:
         return keyed.orderBy("_k", key).limit(k).drop("_k")
-    # too many to merge on the driver: cut by hash, then sort the rows in parallel
+    # cut by hash, then sort only those rows, in parallel
     target = F.least(F.col("_total"), F.lit(k).cast("bigint"))
     cut = cut_keys(keyed, {"cut": target}).scalar()
     return keyed.filter(F.col("_k") <= cut).orderBy("_k", key).drop("_k")

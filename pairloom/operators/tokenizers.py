@@ -8,7 +8,7 @@ ids, cut to the budget with the end marker kept as last id. ``count(text)`` is t
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -71,12 +71,10 @@ class WorkerTokenizer:
     def _encoder(self, budget: int | None) -> Callable[[Column], Column]:
         factory, eos_id = pickle.dumps(self.factory), self.eos_id
 
-        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def encode(texts: pa.Array) -> pa.Array:
             from pairloom.operators.tokenizers import encode_batch, worker_object
 
-            library = worker_object(factory)
-            for batch in batches:
-                yield encode_batch(library, batch, eos_id, budget)
+            return encode_batch(worker_object(factory), texts, eos_id, budget)
 
         return F.arrow_udf(encode, "struct<n: int, ids: array<int>>")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -45,12 +45,18 @@ def invalid_counts(validated: DataFrame) -> DataFrame:
     )
 
 
+def reason_counts() -> list[Column]:
+    """Aggregates over validated rows: how many have each reason."""
+    return [F.count_if(F.array_contains("reasons", reason)).alias(reason) for reason in REASONS]
+
+
+def raise_if_invalid(counts: Row) -> None:
+    found = {reason: counts[reason] for reason in REASONS if counts[reason]}
+    if found:
+        raise ValueError(f"invalid values: {found}")
+
+
 def require_valid(validated: DataFrame) -> DataFrame:
     """Raise if any row is invalid; runs one counting job."""
-    counts = validated.agg(
-        F.count("*").alias("rows"), *[F.count_if(F.array_contains("reasons", r)).alias(r) for r in REASONS]
-    ).first()
-    found = {r: counts[r] for r in REASONS if counts[r]}
-    if found:
-        raise ValueError(f"invalid values among {counts['rows']} rows: {found}")
+    raise_if_invalid(validated.agg(*reason_counts()).first())
     return validated

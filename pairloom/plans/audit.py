@@ -148,8 +148,8 @@ def audit_dataset(
     present = [folder for folder in folders if _exists(spark, folder)]
     found = [_empty_findings(spark, [f for f in folders if f not in present], "no such folder")]
     if present:
+        listing = list_files(spark, present)
         # one row per file, read once and used by each check below
-        listing = list_files(spark, present).persist()
         footers = read_footers(shards.train_files(listing)).persist()
         shallow = listing_findings(listing).unionByName(footer_findings(footers, expected))
         filled = {row["dataset"] for row in listing.select("dataset").distinct().collect()}

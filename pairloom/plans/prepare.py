@@ -5,14 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pairloom.config import PrepareConfig
-from pairloom.operators.fingerprint import dataset_fingerprint
+from pairloom.operators.fingerprint import dataset_fingerprint, digest_columns
 from pairloom.operators.prepare import budget_flags, skip_over_budget, tokenize_pairs
 from pairloom.operators.split import split_pairs
 from pairloom.operators.tokenizers import ByteTokenizer
-from pairloom.operators.validate import require_valid, validate_pairs
+from pairloom.operators.validate import raise_if_invalid, reason_counts, validate_pairs
 from pairloom.sources.prepared import prepared_path, write_prepared
 
 PREPARED_COLUMNS = ("input_ids", "labels", "length")
@@ -52,9 +51,11 @@ def prepare(
     base_model: str = "",
 ) -> Prepared:
     """Validate, then write the prepared table under ``root``, or reuse an equal one there."""
-    require_valid(validate_pairs(pairs, config.languages))
+    # one pass over the texts for both
+    counts = validate_pairs(pairs, config.languages).agg(*reason_counts(), *digest_columns()).first()
+    raise_if_invalid(counts)
     fingerprint = dataset_fingerprint(
-        pairs,
+        counts,
         tokenizer.identity(),
         config.max_input,
         config.max_target,

@@ -5,11 +5,10 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator, Sequence
-from functools import reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 FOOTER_SCHEMA = "dataset string, path string, name string, n_rows bigint, cols array<string>, error string"
@@ -20,27 +19,26 @@ def list_files(
 ) -> DataFrame:
     """One row per file: ``dataset, path, name, top_level``; no file is opened.
 
-    Empty and broken files are listed like any other. ``dataset`` is the folder as given, so one
-    listing serves many datasets.
+    ``dataset`` is the folder as given, so one listing serves many datasets. The names come from
+    the file index Spark makes of a folder; a scan of it would leave out files of zero bytes, which
+    an audit must see.
     """
     folders = [folders] if isinstance(folders, str) else list(folders)
-    return reduce(DataFrame.unionByName, [_list_one(spark, folder, glob, recursive) for folder in folders])
+    rows = [(folder, *entry) for folder in folders for entry in _entries(spark, folder, glob, recursive)]
+    return spark.createDataFrame(rows, "dataset string, path string, name string, top_level boolean")
 
 
-def _list_one(spark: SparkSession, folder: str, glob: str, recursive: bool) -> DataFrame:
+def _entries(spark: SparkSession, folder: str, glob: str, recursive: bool) -> Iterator[tuple[str, str, bool]]:
     root = re.sub(SCHEME, "", folder) if re.match(SCHEME, folder) else os.path.abspath(folder)
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", str(recursive).lower())
         .load(folder)
-        .select("path")
-    )
-    name = F.substring_index("path", "/", -1)
-    parent = F.regexp_replace(F.expr("left(path, length(path) - length(name) - 1)"), SCHEME, "")
-    return files.select(F.lit(folder).alias("dataset"), "path", name.alias("name")).withColumn(
-        "top_level", parent == F.lit(root.rstrip("/"))
     )
+    for path in map(unquote, files.inputFiles()):
+        parent, name = re.sub(SCHEME, "", path).rsplit("/", 1)
+        yield path, name, parent == root.rstrip("/")
 
 
 def read_footers(files: DataFrame) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping, Sequence
-from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,7 +60,9 @@ def read_pairs(
 
 def _position_key(path: str) -> Column:
     root = path if "://" in path else os.path.abspath(path)
-    inside = F.substring_index(F.col("_metadata.file_path"), quote(root.rstrip("/"), safe="/:@=+,"), -1)
+    # the path is a URI, in which a plus sign stands for itself
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    inside = F.substring_index(file, root.rstrip("/"), -1)
     return F.concat_ws("#", inside, F.col("_metadata.row_index"))
 
 

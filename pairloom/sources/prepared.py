@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -22,15 +23,20 @@ def write_manifest(spark: SparkSession, path: str, manifest: dict[str, Any]) ->
 def read_manifest(spark: SparkSession, path: str) -> dict[str, Any] | None:
     """The manifest's values, or None where there is none."""
     try:
-        # no schema given: a number in quotes or a fraction must not pass as a budget
-        found = spark.read.option("multiLine", "true").json(f"{path}/manifest").limit(2).collect()
+        found = spark.read.text(f"{path}/manifest", wholetext=True).take(2)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    if len(found) != 1 or "_corrupt_record" in found[0]:
+    if not found:
+        return None
+    try:
+        manifest = json.loads(found[0]["value"]) if len(found) == 1 else None
+    except json.JSONDecodeError:
+        manifest = None
+    if not isinstance(manifest, dict):
         raise ValueError(f"the manifest in {path} must be one JSON object")
-    return found[0].asDict()
+    return manifest
 
 
 def input_budget(spark: SparkSession, path: str, model_family: str, default: int) -> int:
