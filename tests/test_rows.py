@@ -102,7 +102,7 @@ def test_plug_in_tokenizer_runs_in_the_workers(spark, pairs_of):
 
 
 def test_strip_matches_python(spark):
-    texts = ["\xa0　 a b \n\x1c", "﻿a ", "", " \t\n", "a​", "\x85x "]
+    texts = ["\xa0\u3000 a b \n\x1c", "\ufeffa ", "", " \t\n", "a\u200b", "\x85x "]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r[0] for r in df.orderBy("i").select(tx.strip_text(F.col("t"))).collect()]
     assert got == [t.strip() for t in texts]
