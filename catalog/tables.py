@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators.cleaning import drop_lines
+from pairloom.sources.pairs import spread_small
 
 ALL_LANGUAGES = ("en", "fr", "de", "es")
 JUNK = "[#%&*$]{3}"
@@ -13,7 +14,7 @@ NOTICE = "licen[sc]e|rights reserved|^the and attion"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread_small(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 PAD_ID = 0
 EOS_ID = 1
 BYTE_OFFSET = 3
+BLOCK = 1 << 16
 
 
 def byte_count(text: Column) -> Column:
@@ -19,14 +20,26 @@ def byte_ids(text: Column, budget: int | None = None) -> Column:
     """The id sequence of ``text``; with a budget, cut so that the end marker still fits in it.
 
     The bytes are cut before they are expanded, so a long text under a small budget costs no more
-    than the budget. Reading the bytes as ISO-8859-1 gives one character per byte, which splits in
-    one pass; a substring per position would walk the text again for every byte.
+    than the budget. A long text is expanded block by block, as every byte is an object on the way.
     """
     raw = F.encode(text, "UTF-8")
     if budget is not None:
         raw = F.substring(raw, 1, budget - 1)
-    characters = F.split(F.decode(raw, "ISO-8859-1"), "")
-    body = F.transform(characters, lambda c: F.ascii(c) + BYTE_OFFSET)
+    if budget is not None and budget <= BLOCK:
+        body = _expand(raw)
+    else:
+        last = F.floor((F.octet_length(raw) - 1) / BLOCK).cast("int")
+        blocks = F.sequence(F.lit(0), last)
+        body = F.flatten(F.transform(blocks, lambda b: _expand(F.substring(raw, b * BLOCK + 1, F.lit(BLOCK)))))
     empty = F.array().cast("array<int>")
-    body = F.when(F.octet_length(raw) == 0, empty).otherwise(body)
-    return F.concat(body, F.array(F.lit(EOS_ID)))
+    return F.concat(F.when(F.octet_length(raw) == 0, empty).otherwise(body), F.array(F.lit(EOS_ID)))
+
+
+def _expand(raw: Column) -> Column:
+    """The ids of a binary that is not empty.
+
+    Read as ISO-8859-1 it has one character per byte, which splits in one pass; a substring per
+    position would walk the text again for every byte.
+    """
+    characters = F.split(F.decode(raw, "ISO-8859-1"), "")
+    return F.transform(characters, lambda c: F.ascii(c) + BYTE_OFFSET)

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pairloom.functions import text as tx
 
 RAW, CLEAN = "raw", "clean"
-BROADCAST_TERMS = 200_000  # a larger lexicon is joined by shuffling
-BROADCAST_BYTES = 16 << 20
+SMALL_TERMS = 10_000  # a larger lexicon is joined by shuffling
+SMALL_CHARACTERS = 1 << 20
 SALTS = 32
 
 
@@ -77,70 +77,75 @@ def term_loss(
 ) -> DataFrame:
     """``key, lang, kind, n_raw, n_clean, lost`` for pairs where a term of the lexicon occurs.
 
-    ``lexicon`` is ``lang, kind, term``, terms in lower case, each once per kind. Words are compared whole. In languages
-    that put no spaces between words (``unspaced``) a term counts wherever it occurs.
+    ``lexicon`` is ``lang, kind, term``: terms in lower case, each once per kind. Words are compared
+    whole. In languages that put no spaces between words (``unspaced``) a term counts wherever it
+    occurs. The texts are read once and not shuffled, only the terms found in them.
     """
     pairs = df.select(key, "lang", RAW, CLEAN)
-    spaced = ~F.col("lang").isin(*unspaced)
-    words = _word_matches(pairs.filter(spaced), key, lexicon.filter(spaced))
-    inside = _inside_matches(pairs.filter(~spaced), key, lexicon.filter(~spaced))
-    per_term = words.unionByName(inside)
+    found = _term_matches(pairs, key, lexicon, unspaced)
+    per_term = found.groupBy(key, "lang", "kind", "term").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     lost = F.greatest(F.col("r") - F.col("c"), F.lit(0))
     return per_term.groupBy(key, "lang", "kind").agg(
         F.sum("r").alias("n_raw"), F.sum("c").alias("n_clean"), F.sum(lost).alias("lost")
     )
 
 
-def _word_matches(pairs: DataFrame, key: str, lexicon: DataFrame) -> DataFrame:
-    def side(name: str, raw: int) -> Column:
-        return F.transform(
-            tx.words(F.col(name)), lambda w: F.struct(w.alias("term"), F.lit(raw).alias("r"), F.lit(1 - raw).alias("c"))
-        )
+def _term_matches(pairs: DataFrame, key: str, lexicon: DataFrame, unspaced: Sequence[str]) -> DataFrame:
+    terms = _small_terms(lexicon)
+    if terms is None:
+        return _many_term_matches(pairs, key, lexicon, unspaced)
+    # most words are in no lexicon: they go before the explode
+    known = sorted({term for lang, term in terms if lang not in unspaced})
+    found = F.concat(_words(RAW, 1, known), _words(CLEAN, 0, known))
+    for lang in unspaced:
+        inside = sorted({term for its_lang, term in terms if its_lang == lang})
+        found = F.when(F.col("lang") == lang, _inside(inside)).otherwise(found)
+    exploded = pairs.select(key, "lang", F.explode(found).alias("_t")).select(key, "lang", "_t.*")
+    return exploded.join(F.broadcast(lexicon), ["lang", "term"])
 
-    found = pairs.select(key, "lang", F.explode(F.concat(side(RAW, 1), side(CLEAN, 0))).alias("_w")).select(
-        key, "lang", "_w.*"
-    )
-    if _is_small(lexicon):
-        matched = found.join(F.broadcast(lexicon), ["lang", "term"])
-    else:
-        # a frequent word would fill one partition: spread its occurrences, repeat the lexicon
-        salt = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-        salted = found.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-        matched = salted.join(lexicon.withColumn("_salt", salt), ["lang", "term", "_salt"]).drop("_salt")
-    return matched.groupBy(key, "lang", "kind", "term").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-
-
-def _inside_matches(pairs: DataFrame, key: str, lexicon: DataFrame) -> DataFrame:
-    if not _is_small(lexicon):
-        raise ValueError(
-            f"at most {BROADCAST_TERMS} terms in languages without spaces: each text is searched for each term"
-        )
-    # one row per language
-    by_lang = lexicon.groupBy("lang").agg(F.collect_list(F.struct("kind", "term")).alias("_terms"))
-    counts = F.transform(
-        "_terms",
-        lambda t: F.struct(
-            t["kind"].alias("kind"),
-            t["term"].alias("term"),
-            tx.occurrences(F.col("_raw"), t["term"]).alias("r"),
-            tx.occurrences(F.col("_clean"), t["term"]).alias("c"),
-        ),
-    )
-    found = (
-        pairs.join(F.broadcast(by_lang), "lang")
-        .withColumns({"_raw": F.lower(RAW), "_clean": F.lower(CLEAN)})
-        .select(key, "lang", F.explode(F.filter(counts, lambda t: (t["r"] > 0) | (t["c"] > 0))).alias("_t"))
+
+def _many_term_matches(pairs: DataFrame, key: str, lexicon: DataFrame, unspaced: Sequence[str]) -> DataFrame:
+    """The same for a lexicon too large to broadcast."""
+    spaced = ~F.col("lang").isin(*unspaced)
+    if _small_terms(lexicon.filter(~spaced)) is None:
+        raise ValueError(f"more than {SMALL_TERMS} terms in languages without spaces: each text is searched for each")
+    words = F.explode(F.concat(_words(RAW, 1), _words(CLEAN, 0))).alias("_t")
+    # a frequent word would fill one partition: spread its occurrences, repeat the lexicon
+    salted = pairs.filter(spaced).select(
+        key, "lang", words, F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int").alias("_salt")
     )
-    return found.select(
-        key, "lang", "_t.kind", "_t.term", F.col("_t.r").cast("bigint").alias("r"), F.col("_t.c").cast("bigint").alias("c")
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
+    plain = salted.select(key, "lang", "_t.*", "_salt").join(
+        lexicon.filter(spaced).withColumn("_salt", salts), ["lang", "term", "_salt"]
     )
+    inside = _term_matches(pairs.filter(~spaced), key, lexicon.filter(~spaced), unspaced)
+    return plain.drop("_salt").unionByName(inside)
 
 
-def _is_small(lexicon: DataFrame) -> bool:
-    size = (
-        lexicon.limit(BROADCAST_TERMS + 1).agg(F.count("*").alias("n"), F.sum(F.octet_length("term")).alias("b")).first()
-    )
-    return size["n"] <= BROADCAST_TERMS and (size["b"] or 0) <= BROADCAST_BYTES
+def _words(side: str, raw: int, known: Sequence[str] | None = None) -> Column:
+    words = tx.words(F.col(side))
+    if known is not None:
+        words = F.filter(words, lambda w: w.isin(*known))
+    return F.transform(words, lambda w: F.struct(w.alias("term"), F.lit(raw).alias("r"), F.lit(1 - raw).alias("c")))
+
+
+def _inside(terms: Sequence[str]) -> Column:
+    def counts(term: Column) -> Column:
+        return F.struct(
+            term.alias("term"),
+            tx.occurrences(F.lower(RAW), term).alias("r"),
+            tx.occurrences(F.lower(CLEAN), term).alias("c"),
+        )
+
+    listed = F.array(*[F.lit(t) for t in terms]).cast("array<string>")
+    return F.filter(F.transform(listed, counts), lambda t: (t["r"] > 0) | (t["c"] > 0))
+
+
+def _small_terms(lexicon: DataFrame) -> list[tuple[str, str]] | None:
+    """The languages and terms of the lexicon, or None if there are too many."""
+    rows = lexicon.select("lang", "term").distinct().limit(SMALL_TERMS + 1).collect()
+    size = sum(len(row["term"]) for row in rows)
+    return None if len(rows) > SMALL_TERMS or size > SMALL_CHARACTERS else [tuple(row) for row in rows]
 
 
 def fidelity_summary(df: DataFrame) -> DataFrame:

@@ -155,11 +155,11 @@ def test_duplicated_lines(pairs_of):
     assert rows == {("b", 2, 3), ("c", 0, 1)}
 
 
-@pytest.mark.parametrize("bound", [200_000, 0])
+@pytest.mark.parametrize("bound", [10_000, 0])
 def test_term_loss_with_either_join(spark, pairs_of, monkeypatch, bound):
     terms = [("en", "negation", "not"), ("en", "negation", "no"), ("en", "hedge", "may"), ("fr", "hedge", "may")]
     lexicon = spark.createDataFrame(terms, "lang string, kind string, term string")
-    monkeypatch.setattr(fidelity, "BROADCAST_TERMS", bound)
+    monkeypatch.setattr(fidelity, "SMALL_TERMS", bound)
     df = pairs_of(
         ("en", "Not, no no; may! nothing", "no may may"), ("en", "plain", "not"), ("fr", "no may", "no"), ("en", "", "")
     )

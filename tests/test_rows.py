@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.functions import text as tx
+from pairloom.functions import tokens
 from pairloom.functions.arrays import argmax_ids
 from pairloom.functions.tokens import byte_ids
 from pairloom.operators import prepare as prep
@@ -42,7 +43,9 @@ TEXTS = ["", "a", "aé中\n\x00😀", "\x1c \t", "x" * 30]
 
 
 @pytest.mark.parametrize("budget", [None, 1, 2, 5, 31])
-def test_byte_ids(spark, budget):
+@pytest.mark.parametrize("block", [1 << 16, 3])
+def test_byte_ids(spark, monkeypatch, block, budget):
+    monkeypatch.setattr(tokens, "BLOCK", block)
     df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
     got = [r[0] for r in df.select(byte_ids(F.col("t"), budget)).collect()]
     assert got == [python_ids(t, budget) for t in TEXTS]
