@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from pairloom.config import PrepareConfig
 from pairloom.operators.fingerprint import dataset_fingerprint, digest_columns
@@ -19,26 +21,31 @@ PREPARED_COLUMNS = ("input_ids", "labels", "length")
 
 @dataclass(frozen=True)
 class Prepared:
+    """Where the table is, whether this run wrote it, and, if so, its counts.
+
+    ``counts`` maps each language and ``all`` to rows and truncated inputs and targets, over both
+    splits and the surplus; ``n_source`` is the number of pairs before any were skipped.
+    """
+
     path: str
     fingerprint: str
     written: bool
+    n_source: int
+    counts: dict[str, tuple[int, int, int]] | None
 
 
-def prepared_table(
+def tokenised_split(
     pairs: DataFrame, key: str, config: PrepareConfig = PrepareConfig(), tokenizer=ByteTokenizer()
 ) -> DataFrame:
-    """``key, input_ids, labels, length, split`` of valid pairs, without the surplus of validation.
+    """``key, lang, split``, the id sequences, their length and the truncation flags.
 
-    Split before tokenising: the split reads only the key, and rows it drops are not tokenised.
-    Over-budget pairs are skipped first if the config says so, as the split is of what remains.
+    Over-budget pairs are skipped first if the config says so, as the split is of what remains; a
+    plug-in tokenizer then runs in the passes that find the split, too.
     """
     if config.oversized == "skip":
-        flagged = budget_flags(pairs, tokenizer, config.max_input, config.max_target)
-        pairs = skip_over_budget(flagged)
+        pairs = skip_over_budget(budget_flags(pairs, tokenizer, config.max_input, config.max_target))
     split = split_pairs(pairs.select(key, "lang", "raw", "clean"), key, config.val_frac, config.seed, config.val_max)
-    kept = split.filter("split <> 'dropped'")
-    tokenised = tokenize_pairs(kept, tokenizer, config.max_input, config.max_target, keep=(key, "split"))
-    return tokenised.select(key, *PREPARED_COLUMNS, "split")
+    return tokenize_pairs(split, tokenizer, config.max_input, config.max_target, keep=(key, "lang", "split"))
 
 
 def prepare(
@@ -50,12 +57,15 @@ def prepare(
     model_family: str = "",
     base_model: str = "",
 ) -> Prepared:
-    """Validate, then write the prepared table under ``root``, or reuse an equal one there."""
-    # one pass over the texts for both
-    counts = validate_pairs(pairs, config.languages).agg(*reason_counts(), *digest_columns()).first()
-    raise_if_invalid(counts)
+    """Validate, then write the prepared table under ``root``, or reuse an equal one there.
+
+    The texts are read twice: once to validate and fingerprint them, once to write the table; the
+    truncation counts are gathered while it is written.
+    """
+    checked = validate_pairs(pairs, config.languages).agg(*reason_counts(), *digest_columns()).first()
+    raise_if_invalid(checked)
     fingerprint = dataset_fingerprint(
-        counts,
+        checked,
         tokenizer.identity(),
         config.max_input,
         config.max_target,
@@ -69,5 +79,24 @@ def prepare(
         "max_target": config.max_target,
         "fingerprint": fingerprint,
     }
-    table = prepared_table(pairs, key, config, tokenizer)
-    return Prepared(path, fingerprint, write_prepared(table, path, manifest))
+    seen = Observation("truncation")
+    tokenised = tokenised_split(pairs, key, config, tokenizer).observe(seen, *_counts(config.languages))
+    table = tokenised.filter("split <> 'dropped'").select(key, *PREPARED_COLUMNS, "split")
+    written = write_prepared(table, path, manifest)
+    counts = _by_language(seen.get, config.languages) if written else None
+    return Prepared(path, fingerprint, written, checked["n_rows"], counts)
+
+
+def _counts(languages: Sequence[str]) -> list[Column]:
+    found = []
+    for i, lang in enumerate(("all", *languages)):
+        here = F.lit(True) if i == 0 else F.col("lang") == lang
+        for name, wanted in (("rows", F.lit(True)), ("input", F.col("is_input_truncated")), ("target", F.col("is_target_truncated"))):
+            found.append(F.count_if(here & wanted).alias(f"{name}_{i}"))
+    return found
+
+
+def _by_language(seen: dict[str, int], languages: Sequence[str]) -> dict[str, tuple[int, int, int]]:
+    return {
+        lang: (seen[f"rows_{i}"], seen[f"input_{i}"], seen[f"target_{i}"]) for i, lang in enumerate(("all", *languages))
+    }

@@ -31,8 +31,11 @@ def test_prepare_writes_once_and_reuses(spark, tmp_path):
     assert manifest == {
         "model_family": "fam", "base_model": "base", "max_input": 40, "max_target": 8, "fingerprint": done.fingerprint,
     }
+    # "<en> raw " and the end marker take 10; "clean 0" and its end marker fit the 8
+    assert done.n_source == 60
+    assert done.counts["all"] == done.counts["en"] == (60, 29, 50) and done.counts["zh"] == (0, 0, 0)
     again = prepare(pairs.repartition(5), "id", str(tmp_path), config)
-    assert again.path == done.path and not again.written
+    assert again.path == done.path and not again.written and again.counts is None
     other = prepare(pairs, "id", str(tmp_path), PrepareConfig(max_input=41, max_target=8))
     assert other.path != done.path and other.written
 
@@ -52,6 +55,7 @@ def test_skipping_leaves_long_pairs_out_before_the_split(spark, tmp_path):
     config = PrepareConfig(max_input=30, max_target=100, val_frac=0.5, oversized="skip")
     done = prepare(some_pairs(spark), "id", str(tmp_path), config)
     # "<en> raw " and the end marker take 10
+    assert done.n_source == 60 and done.counts["all"] == (21, 0, 0)
     rows = read_prepared(spark, done.path).collect()
     assert sorted(r["id"] for r in rows) == list(range(21))
     assert sum(r["split"] == "val" for r in rows) == 11
