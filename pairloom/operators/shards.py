@@ -67,8 +67,8 @@ def shard_duplicates(names: DataFrame) -> DataFrame:
 def shard_totals(names: DataFrame) -> DataFrame:
     """Per total named by the files: how many name it, how many files there are, and ``mismatch``."""
     counts = names.filter("valid").groupBy("dataset", "of_m").agg(F.count("*").alias("n_naming"))
-    n_files = F.sum("n_naming").over(Window.partitionBy("dataset"))
-    return counts.withColumn("n_files", n_files).withColumn("mismatch", F.col("of_m") != F.col("n_files"))
+    files = counts.groupBy("dataset").agg(F.sum("n_naming").alias("n_files"))
+    return counts.join(files, "dataset").withColumn("mismatch", F.col("of_m") != F.col("n_files"))
 
 
 def tmp_shards(listing: DataFrame) -> DataFrame:
