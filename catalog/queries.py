@@ -278,7 +278,7 @@ def dataset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf_dir: str, val_max: int | None) -> DataFrame:
-    return splits.split_pairs(pairs(spark, sf_dir), "doc_id", 0.3, 42, val_max)
+    return splits.split_pairs(pairs(spark, sf_dir), "doc_id", 0.3, 42, val_max, unique=True)
 
 
 def train_val_split(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ nearly equal size; a count per bucket places each of them in the whole order.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,27 +81,45 @@ def exact_rank(df: DataFrame, key: str, seed: int, name: str = "rank", digits: i
     return zoned_rank(df, key, seed, name, digits=digits).drop("zone")
 
 
-def cut_keys(keyed: DataFrame, targets: dict[str, Column], digits: int = DIGITS) -> DataFrame:
-    """One row: per target, the largest hash up to which there are at most that many rows.
+@dataclass(frozen=True)
+class Cuts:
+    """``at``: one row with a hash per target. ``hot``: the hashes left out, 1,000 at most."""
+
+    at: DataFrame
+    hot: DataFrame | None
+
+
+def cut_keys(keyed: DataFrame, targets: dict[str, Column], unique: bool = False, digits: int = DIGITS) -> Cuts:
+    """Per target, the largest hash up to which there are at most that many rows.
 
     ``keyed`` has the hash as ``_k``; each target is a row count, given as an expression over
     ``_total``. Rows with equal keys are on one side of a cut, so with a unique key the counts are
-    exact and otherwise they fall short by less than one group of copies.
+    exact, and otherwise they fall short by less than one group of copies. So that this is little,
+    a group of more than a thousandth of all rows is left out: it counts for no target. Where the
+    caller knows the key to be ``unique``, there is no look for such groups.
 
-    Only the hash is read. Two counting passes: per bucket, then per hash inside the buckets where
-    the targets fall. Both count before they shuffle, so a hash shared by a third of all rows
-    arrives as one row per task.
+    Only the hash is read. Passes: rows per bucket, rows per hash in the buckets too large to be
+    without a hot group (mostly none), rows per hash in the buckets where the targets fall. All
+    count before they shuffle, so a hash shared by a third of all rows arrives as one row per task.
     """
     keyed = keyed.select("_k", F.substring("_k", 1, digits).alias("_bucket"))
+    placed, hot = bucket_offsets(keyed), None
+    if not unique:
+        hot = _hot_hashes(keyed, placed)
+        placed = _without(placed, hot)
+        keyed = keyed.join(F.broadcast(hot.select("_k")), "_k", "left_anti")
+    last = F.max("_end").over(Window.partitionBy())
+    placed = placed.withColumn("_last", last).withColumns(
+        {f"_to_{name}": F.least(count, F.col("_last")) for name, count in targets.items()}
+    )
     wanted = {name: F.col(f"_to_{name}") for name in targets}
-    placed = bucket_offsets(keyed).withColumns({f"_to_{name}": count for name, count in targets.items()})
     holds = F.lit(False)
     for count in wanted.values():
         holds = holds | ((F.col("_before") < count) & (count <= F.col("_end")))
-    edge = placed.filter(holds)  # at most one bucket per target
     carried = ["_before", *(f"_to_{name}" for name in targets)]
+    edge = placed.filter(holds).select("_bucket", *carried)  # at most one bucket per target
     hashes = (
-        keyed.join(F.broadcast(edge.select("_bucket", *carried)), "_bucket")
+        keyed.join(F.broadcast(edge), "_bucket")
         .groupBy("_bucket", "_k")
         .agg(F.count("*").alias("_copies"), *[F.max(c).alias(c) for c in carried])
     )
@@ -111,4 +131,29 @@ def cut_keys(keyed: DataFrame, targets: dict[str, Column], digits: int = DIGITS)
         # a bucket that starts below the target: its prefix sorts above all earlier hashes
         floor = F.max(F.when(F.col("_before") < count, F.col("_bucket")))
         cuts.append(F.greatest(fits, floor).alias(name))
-    return running.agg(*cuts)
+    return Cuts(running.agg(*cuts), hot)
+
+
+def _hot_hashes(keyed: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The hashes of more than a thousandth of all rows: ``_bucket, _k, _copies``."""
+    share = F.greatest(F.lit(1), F.floor(F.col("_total") / 1000))
+    heavy = buckets.filter(F.col("_end") - F.col("_before") > share).select("_bucket", share.alias("_share"))
+    return (
+        keyed.join(F.broadcast(heavy), "_bucket")
+        .groupBy("_bucket", "_k")
+        .agg(F.count("*").alias("_copies"), F.max("_share").alias("_share"))
+        .filter("_copies > _share")
+        .drop("_share")
+    )
+
+
+def _without(buckets: DataFrame, hot: DataFrame) -> DataFrame:
+    """The buckets' places in the order of the rows whose hash is not hot."""
+    hot_rows = hot.groupBy("_bucket").agg(F.sum("_copies").alias("_hot"))
+    cold = F.col("_end") - F.col("_before") - F.coalesce(F.col("_hot"), F.lit(0))
+    end = F.sum("_cold").over(Window.orderBy("_bucket"))  # one row per bucket, as above
+    return (
+        buckets.join(F.broadcast(hot_rows), "_bucket", "left")
+        .select("_bucket", "_total", cold.alias("_cold"))
+        .select("_bucket", "_total", (end - F.col("_cold")).alias("_before"), end.alias("_end"))
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pairloom.operators import batches, ranking
 from pairloom.operators.accuracy import masked_token_accuracy, with_argmax
 from pairloom.operators.ranking import exact_rank, zoned_rank
-from pairloom.operators.split import shuffle_limit, split_counts, split_pairs
+from pairloom.operators.split import shuffle_limit, split_pairs
 from pairloom.sources.pairs import content_key
 
 
@@ -17,10 +17,10 @@ def order(keys, seed=42):
 
 
 @pytest.mark.parametrize("n, frac, cap", [(1, 0.01, 4000), (7, 0.3, None), (500, 0.07, 20), (500, 0.5, 4000)])
-@pytest.mark.parametrize("parts", [1, 7, 64])
-def test_split_is_exact_for_any_partitioning(spark, n, frac, cap, parts):
+@pytest.mark.parametrize("parts, unique", [(1, True), (7, False), (64, True)])
+def test_split_is_exact_for_any_partitioning(spark, n, frac, cap, parts, unique):
     df = spark.range(n).repartition(parts)
-    got = {r["id"]: r["split"] for r in split_pairs(df, "id", frac, 42, cap).collect()}
+    got = {r["id"]: r["split"] for r in split_pairs(df, "id", frac, 42, cap, unique).collect()}
     n_val = math.ceil(frac * n)
     kept = n_val if cap is None else min(n_val, cap)
     want = {}
@@ -29,18 +29,22 @@ def test_split_is_exact_for_any_partitioning(spark, n, frac, cap, parts):
     assert got == want
 
 
-def test_split_with_hot_copies_keeps_them_together(spark):
-    hot = spark.range(4000).select(F.lit("en").alias("lang"), F.lit("same").alias("raw"), F.lit("same").alias("clean"))
-    rest = spark.range(8000).select(
-        F.lit("en").alias("lang"), F.col("id").cast("string").alias("raw"), F.lit("x").alias("clean")
-    )
-    df = hot.unionByName(rest).withColumn("key", content_key())
-    for seed in range(3):
-        split = split_pairs(df, "key", 0.1, seed, 900)
-        assert split.groupBy("key").agg(F.count_distinct("split").alias("n")).filter("n > 1").count() == 0
-        counts = {r["split"]: r["n_rows"] for r in split_counts(split).collect()}
-        assert sum(counts.values()) == 12000
-        assert counts.get("val", 0) <= 900 and counts.get("val", 0) + counts.get("dropped", 0) <= 1200
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("frac, cap", [(0.1, 900), (0.1, None), (0.9, None)])
+def test_split_with_hot_copies(spark, seed, frac, cap):
+    """A third of the rows are copies of one text, and the others come in pairs."""
+    rows = spark.range(6000).select(F.when(F.col("id") < 2000, -1).otherwise(F.expr("id div 2")).alias("n"))
+    df = rows.select(F.lit("en").alias("lang"), F.col("n").cast("string").alias("raw"), F.lit("x").alias("clean"))
+    split = split_pairs(df.withColumn("key", content_key()), "key", frac, seed, cap)
+    got = {r["key"]: (r["split"], r["count"]) for r in split.groupBy("key", "split").count().collect()}
+    hot, pairs = max(got.items(), key=lambda g: g[1][1])[0], [k for k, g in got.items() if g[1] == 2]
+    # no key on two sides, the hot group in train, the pairs in the order of their hashes
+    assert len(got) == 2001 and got[hot] == ("train", 2000) and len(pairs) == 2000
+    wanted = min(math.ceil(frac * 6000), 4000)
+    kept = wanted if cap is None else min(wanted, cap)
+    for place, key in enumerate(order(pairs, seed)):
+        upto = 2 * (place + 1)
+        assert got[key][0] == ("val" if upto <= kept else "dropped" if upto <= wanted else "train")
 
 
 def test_split_of_an_empty_table(spark):
