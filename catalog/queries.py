@@ -16,7 +16,7 @@ from catalog.tables import (
     lossy_pairs,
     pairs,
 )
-from pairloom.config import LABEL_PAD_ID, PrepareConfig
+from pairloom.config import IGNORED_LABEL, PrepareConfig
 from pairloom.functions import text as tx
 from pairloom.functions.arrays import digest, pad_right
 from pairloom.operators import accuracy, batches, chunks, cleaning, fidelity, shards
@@ -265,7 +265,7 @@ def masked_token_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # without the tag "<> ", so that positions match
     predictions = F.slice("input_ids", 4, F.array_size("input_ids"))
-    labels = pad_right(F.col("labels"), F.array_size("input_ids") - 3, LABEL_PAD_ID).cast("array<int>")
+    labels = pad_right(F.col("labels"), F.array_size("input_ids") - 3, IGNORED_LABEL).cast("array<int>")
     rows = df.select(predictions.alias("predictions"), labels.alias("labels"))
     return accuracy.masked_token_accuracy(rows)
 

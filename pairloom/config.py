@@ -9,7 +9,7 @@ from dataclasses import dataclass
 LANGUAGES = ("id", "en", "zh")
 PAIR_COLUMNS = ("lang", "raw", "clean")
 TOKEN_COLUMNS = ("input_ids", "labels")
-LABEL_PAD_ID = -100
+IGNORED_LABEL = -100
 PAD_MULTIPLE = 8
 PREPARE_VERSION = 3
 MAX_INPUT = 4096

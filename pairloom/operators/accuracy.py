@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.config import LABEL_PAD_ID
+from pairloom.config import IGNORED_LABEL
 from pairloom.functions.arrays import argmax_ids
 
 
@@ -14,18 +14,18 @@ def with_argmax(df: DataFrame, logits: str = "logits", name: str = "predictions"
     return df.withColumn(name, argmax_ids(F.col(logits))).drop(logits)
 
 
-def hits(predictions: Column, labels: Column, ignore: int = LABEL_PAD_ID) -> Column:
+def hits(predictions: Column, labels: Column, ignore: int = IGNORED_LABEL) -> Column:
     """Positions that count and are predicted right, in one row."""
     right = F.zip_with(predictions, labels, lambda p, y: (y != ignore) & (p == y))
     return F.size(F.filter(right, lambda x: x))
 
 
-def counted(labels: Column, ignore: int = LABEL_PAD_ID) -> Column:
+def counted(labels: Column, ignore: int = IGNORED_LABEL) -> Column:
     return F.size(F.filter(labels, lambda y: y != ignore))
 
 
 def masked_token_accuracy(
-    df: DataFrame, predictions: str = "predictions", labels: str = "labels", ignore: int = LABEL_PAD_ID
+    df: DataFrame, predictions: str = "predictions", labels: str = "labels", ignore: int = IGNORED_LABEL
 ) -> DataFrame:
     """Share of counting positions predicted right, over all tokens of all rows; 0.0 if none counts.
 

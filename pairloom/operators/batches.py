@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from pairloom.config import LABEL_PAD_ID, PAD_MULTIPLE
+from pairloom.config import IGNORED_LABEL, PAD_MULTIPLE
 from pairloom.functions.arrays import attention_mask, pad_right, round_up
 from pairloom.operators.ranking import zoned_rank
 
@@ -80,7 +80,7 @@ def _padded(
 def pad_rows(
     batched: DataFrame,
     pad_id: int = 0,
-    label_pad: int = LABEL_PAD_ID,
+    label_pad: int = IGNORED_LABEL,
     multiple: int = PAD_MULTIPLE,
 ) -> DataFrame:
     """Each row padded to the widths of its batch, with ``attention_mask``."""
@@ -92,7 +92,7 @@ def pad_rows(
 def collate(
     batched: DataFrame,
     pad_id: int = 0,
-    label_pad: int = LABEL_PAD_ID,
+    label_pad: int = IGNORED_LABEL,
     multiple: int = PAD_MULTIPLE,
 ) -> DataFrame:
     """One row per batch with three rectangular arrays, rows in the order of ``pos``.

@@ -150,13 +150,16 @@ def _small_terms(lexicon: DataFrame) -> list[tuple[str, str]] | None:
 
 def fidelity_summary(df: DataFrame) -> DataFrame:
     """The row-local measures per language and, marked ``is_total``, over all: one scan."""
-    measured = structure_loss(df.select("lang", RAW, CLEAN)).withColumns(
-        {
-            "_numbers": F.size(tx.numbers(F.col(RAW))),
-            "_numbers_lost": number_loss(),
-            "_kept": ending_kept(),
-            "_duplicated": duplication_count(),
-        }
+    # each text is searched once per pattern: the arrays are columns of their own
+    found = structure_loss(df.select("lang", RAW, CLEAN)).withColumns(
+        {"_raw_numbers": tx.numbers(F.col(RAW)), "_clean_numbers": tx.numbers(F.col(CLEAN))}
+    )
+    measured = found.select(
+        "lang", "items_raw", "items_lost", "rows_raw", "rows_lost",
+        F.size("_raw_numbers").alias("_numbers"),
+        tx.multiset_excess(F.col("_raw_numbers"), F.col("_clean_numbers")).alias("_numbers_lost"),
+        ending_kept().alias("_kept"),
+        duplication_count().alias("_duplicated"),
     )
     return (
         measured.rollup("lang")
