@@ -303,14 +303,18 @@ def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.length_batches(tokenised, "doc_id", BATCH, MEGA)
 
 
+def _batched_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batches.length_batches(prep.pair_lengths(pairs(spark, sf_dir), keep=("doc_id",)), "doc_id", BATCH, MEGA)
+
+
 def length_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _batched(spark, sf_dir).select(
+    return _batched_lengths(spark, sf_dir).select(
         "doc_id", F.col("length").cast("bigint").alias("length"), "mega_id", "batch_id", F.col("pos").cast("bigint").alias("pos")
     )
 
 
 def batch_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = batches.batch_widths(_batched(spark, sf_dir))
+    df = batches.batch_widths(_batched_lengths(spark, sf_dir))
     return df.select(*[F.col(c).cast("bigint").alias(c) for c in df.columns])
 
 
@@ -341,7 +345,7 @@ def collate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def padding_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batches.padding_report(_batched(spark, sf_dir))
+    return batches.padding_report(_batched_lengths(spark, sf_dir))
 
 
 # cleaning

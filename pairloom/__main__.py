@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.config import FULL_CORPUS_ROWS, LANGUAGES, MAX_INPUT, PrepareConfig
-from pairloom.operators.batches import collate, length_batches, padding_report, padding_total
+from pairloom.operators.batches import collate, length_batches, padding_report, padding_total, sequence_lengths
 from pairloom.operators.cleaning import RuleCleaner, clean_texts, run_cases
 from pairloom.operators.fidelity import fidelity_summary
 from pairloom.operators.split import split_counts
@@ -55,10 +55,10 @@ def run_prepare(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def run_batches(spark: SparkSession, args: argparse.Namespace) -> int:
     table = read_prepared(spark, args.prepared, args.split)
-    batched = length_batches(table, args.key, args.batch, args.mega, args.seed)
     if args.out:
-        collate(batched).write.parquet(args.out)
-    padding_total(padding_report(batched)).show()
+        collate(length_batches(table, args.key, args.batch, args.mega, args.seed)).write.parquet(args.out)
+    lengths = length_batches(sequence_lengths(table, args.key), args.key, args.batch, args.mega, args.seed)
+    padding_total(padding_report(lengths)).show()
     return 0
 
 

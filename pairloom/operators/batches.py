@@ -38,18 +38,31 @@ def length_batches(
 BATCH_KEYS = ("zone", "mega_id", "batch_id")
 
 
-def _widths(multiple: int, over: WindowSpec | None = None) -> dict[str, Column]:
+def sequence_lengths(tokenised: DataFrame, key: str) -> DataFrame:
+    """``key, length, label_length``: form batches of these where only a report is wanted."""
+    return tokenised.select(
+        key, F.array_size("input_ids").alias("length"), F.array_size("labels").alias("label_length")
+    )
+
+
+def _lengths(batched: DataFrame) -> tuple[Column, Column]:
+    if "input_ids" in batched.columns:
+        return F.array_size("input_ids"), F.array_size("labels")
+    return F.col("length"), F.col("label_length")
+
+
+def _widths(batched: DataFrame, multiple: int, over: WindowSpec | None = None) -> dict[str, Column]:
     """The padded widths, as aggregates of a group or over a window."""
     widths = {}
-    for name, ids in (("input_width", "input_ids"), ("label_width", "labels")):
-        longest = F.max(F.array_size(ids))
+    for name, length in zip(("input_width", "label_width"), _lengths(batched)):
+        longest = F.max(length)
         widths[name] = round_up(longest if over is None else longest.over(over), multiple)
     return widths
 
 
 def batch_widths(batched: DataFrame, multiple: int = PAD_MULTIPLE) -> DataFrame:
-    """Rows per batch and the padded width of its inputs and labels."""
-    widths = _widths(multiple)
+    """Rows per batch and the padded width of its inputs and labels, from arrays or lengths."""
+    widths = _widths(batched, multiple)
     return (
         batched.groupBy(*BATCH_KEYS)
         .agg(F.count("*").cast("int").alias("n_rows"), *[w.alias(n) for n, w in widths.items()])
@@ -84,7 +97,7 @@ def pad_rows(
     multiple: int = PAD_MULTIPLE,
 ) -> DataFrame:
     """Each row padded to the widths of its batch, with ``attention_mask``."""
-    sized = batched.withColumns(_widths(multiple, Window.partitionBy(*BATCH_KEYS)))
+    sized = batched.withColumns(_widths(batched, multiple, Window.partitionBy(*BATCH_KEYS)))
     ids, labels = F.col("input_ids"), F.col("labels")
     return sized.withColumns(_padded(ids, labels, F.col("batch_id"), pad_id, label_pad))
 
@@ -102,7 +115,7 @@ def collate(
     row = F.struct("pos", "input_ids", "labels")
     # at most `batch` rows per group
     gathered = batched.groupBy(*BATCH_KEYS).agg(
-        F.sort_array(F.collect_list(row)).alias("_rows"), *[w.alias(n) for n, w in _widths(multiple).items()]
+        F.sort_array(F.collect_list(row)).alias("_rows"), *[w.alias(n) for n, w in _widths(batched, multiple).items()]
     )
 
     def part(name: str) -> Column:
@@ -115,9 +128,9 @@ def collate(
 
 
 def padding_report(batched: DataFrame, multiple: int = PAD_MULTIPLE) -> DataFrame:
-    """Real and padded cells per batch, for inputs and labels. Reads lengths only."""
-    n_input, n_label = F.array_size("input_ids"), F.array_size("labels")
-    widths = _widths(multiple)
+    """Real and padded cells per batch, for inputs and labels, from arrays or lengths."""
+    n_input, n_label = _lengths(batched)
+    widths = _widths(batched, multiple)
     sums = batched.groupBy(*BATCH_KEYS).agg(
         F.count("*").alias("n_rows"),
         F.sum(n_input).alias("input_cells"),

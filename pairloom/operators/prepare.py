@@ -63,6 +63,21 @@ def tokenize_pairs(
     )
 
 
+def pair_lengths(
+    df: DataFrame,
+    tokenizer=BYTES,
+    max_input: int = MAX_INPUT,
+    max_target: int = MAX_TARGET,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``length, label_length`` that tokenised pairs would have: all a padding report needs."""
+    return df.select(
+        *keep,
+        F.least(tokenizer.count(model_input()), F.lit(max_input)).alias("length"),
+        F.least(tokenizer.count(F.col("clean")), F.lit(max_target)).alias("label_length"),
+    )
+
+
 def truncation_counts(flagged: DataFrame, by: str | None = "lang") -> DataFrame:
     """Rows and truncated inputs and targets: per language and, marked ``is_total``, over all."""
     counts = [

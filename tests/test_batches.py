@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pairloom.operators import batches, ranking
+from pairloom.operators import prepare as prep
 from pairloom.operators.accuracy import masked_token_accuracy, with_argmax
 from pairloom.operators.ranking import exact_rank, zoned_rank
 from pairloom.operators.split import shuffle_limit, split_pairs
@@ -139,8 +140,12 @@ def test_empty_sequences_are_errors(spark, column, wrong):
             build(batched).collect()
 
 
-def test_padding_report(spark):
-    df = batches.length_batches(tokens(spark, [8, 9, 3]), "id", batch=2, mega=10)
+@pytest.mark.parametrize("lengths_only", [False, True])
+def test_padding_report(spark, lengths_only):
+    table = tokens(spark, [8, 9, 3])
+    if lengths_only:
+        table = batches.sequence_lengths(table, "id")
+    df = batches.length_batches(table, "id", batch=2, mega=10)
     report = {r["n_rows"]: r for r in batches.padding_report(df).collect()}
     assert report[2]["input_cells"] == 17 and report[2]["input_padding"] == 15
     assert report[1]["input_cells"] == 3 and report[1]["input_padding"] == 5
@@ -151,6 +156,12 @@ def test_padding_report(spark):
     assert widths == {2: (16, 8), 1: (8, 8)}
 
 
+def test_lengths_without_tokenising(pairs_of):
+    df = pairs_of(("en", "x" * 50, "y"), ("zh", "", "é" * 9))
+    lengths = prep.pair_lengths(df, max_input=20, max_target=10, keep=("id",)).orderBy("id").collect()
+    assert [tuple(r) for r in lengths] == [(0, 20, 2), (1, 6, 10)]
+
+
 def test_the_rows_are_shuffled_once(spark):
     df = tokens(spark, [3, 4, 5, 6])
     plan = batches.collate(batches.length_batches(df, "id"))._jdf.queryExecution().executedPlan().toString()
