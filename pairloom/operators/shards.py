@@ -147,19 +147,23 @@ def expected_rows(classified: DataFrame, expected: int | None = FULL_CORPUS_ROWS
     )
 
 
-def sequence_stats(tokenised: DataFrame) -> DataFrame:
-    """Shortest and longest sequence of either column; reads these two columns only."""
-    return tokenised.agg(
-        F.min(F.array_size("input_ids")).alias("input_min"),
-        F.max(F.array_size("input_ids")).alias("input_max"),
-        F.min(F.array_size("labels")).alias("label_min"),
-        F.max(F.array_size("labels")).alias("label_max"),
-    )
+def length_range() -> list[Column]:
+    """Aggregates: shortest and longest sequence of either column."""
+    sizes = (("input", F.array_size("input_ids")), ("label", F.array_size("labels")))
+    return [of(size).alias(f"{name}_{end}") for name, size in sizes for end, of in (("min", F.min), ("max", F.max))]
 
 
-def empty_sequences(tokenised: DataFrame) -> DataFrame:
-    """Number of zero-length sequences; a missing sequence is not an empty one."""
-    return tokenised.agg(
+def empty_counts() -> list[Column]:
+    """Aggregates: number of zero-length sequences; a missing sequence is not an empty one."""
+    return [
         F.count_if(F.array_size("input_ids") == 0).alias("input_empty"),
         F.count_if(F.array_size("labels") == 0).alias("label_empty"),
-    )
+    ]
+
+
+def sequence_stats(tokenised: DataFrame) -> DataFrame:
+    return tokenised.agg(*length_range())
+
+
+def empty_sequences(tokenised: DataFrame) -> DataFrame:
+    return tokenised.agg(*empty_counts())

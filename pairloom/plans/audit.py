@@ -113,10 +113,22 @@ def value_findings(spark: SparkSession, dataset: str, kind: str, languages: Sequ
         return _finding(
             counts, STEP_VALUES, "invalid_values", "fail", F.col("reason"), F.lit(None), F.col("n_rows")
         )
-    counts = shards.empty_sequences(df.select(*TOKEN_COLUMNS)).select("*", named)
-    n = F.col("input_empty") + F.col("label_empty")
-    detail = F.format_string("%d in input_ids, %d in labels", "input_empty", "label_empty")
-    return _finding(counts, STEP_VALUES, "empty_sequences", "fail", F.col("dataset"), detail, n).filter("n > 0")
+    # one pass for the lengths and the empty sequences
+    stats = df.agg(F.count("*").alias("rows"), *shards.length_range(), *shards.empty_counts()).select("*", named)
+    lengths = F.format_string("input %d..%d, labels %d..%d", "input_min", "input_max", "label_min", "label_max")
+    empty = F.format_string("%d in input_ids, %d in labels", "input_empty", "label_empty")
+    told = F.struct(
+        F.lit("sequence_stats").alias("check"), F.lit("info").alias("severity"), lengths.alias("detail"),
+        F.col("rows").alias("n"),
+    )
+    failed = F.struct(
+        F.lit("empty_sequences").alias("check"), F.lit("fail").alias("severity"), empty.alias("detail"),
+        (F.col("input_empty") + F.col("label_empty")).alias("n"),
+    )
+    found = stats.select("dataset", F.explode(F.array(told, failed)).alias("f")).select("dataset", "f.*")
+    return found.filter("severity = 'info' or n > 0").select(
+        "dataset", F.lit(STEP_VALUES).alias("step"), "check", "severity", F.col("dataset").alias("subject"), "detail", "n"
+    )
 
 
 def audit_verdict(findings: DataFrame) -> DataFrame:

@@ -140,6 +140,8 @@ def test_values_of_tokenised_shards(spark, folder):
     failed = deep.filter("severity = 'fail'").collect()
     assert [(r["check"], r["n"]) for r in failed] == [("empty_sequences", 2)]
     assert "1 in input_ids, 1 in labels" == failed[0]["detail"]
+    told = deep.filter("check = 'sequence_stats'").first()
+    assert (told["severity"], told["detail"], told["n"]) == ("info", "input 0..2, labels 0..3", 5)
     stats = shards.sequence_stats(spark.read.parquet(root)).first()
     assert tuple(stats) == (0, 2, 0, 3)
 
