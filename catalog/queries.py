@@ -18,7 +18,7 @@ from catalog.tables import (
 )
 from pairloom.config import IGNORED_LABEL, PrepareConfig
 from pairloom.functions import text as tx
-from pairloom.functions.arrays import digest, pad_right
+from pairloom.functions.arrays import digest, digest_rows, pad_right
 from pairloom.operators import accuracy, batches, chunks, cleaning, fidelity, shards
 from pairloom.operators import prepare as prep
 from pairloom.operators import split as splits
@@ -338,9 +338,9 @@ def collate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(
         "batch_id",
         F.size("input_ids").cast("bigint").alias("n_rows"),
-        digest(F.flatten("input_ids")).alias("input_digest"),
-        digest(F.flatten("attention_mask")).alias("mask_digest"),
-        digest(F.flatten("labels")).alias("label_digest"),
+        digest_rows(F.col("input_ids")).alias("input_digest"),
+        digest_rows(F.col("attention_mask")).alias("mask_digest"),
+        digest_rows(F.col("labels")).alias("label_digest"),
     )
 
 

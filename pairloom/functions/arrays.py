@@ -38,3 +38,8 @@ def argmax_ids(logits: Column) -> Column:
 def digest(ids: Column) -> Column:
     """A checksum of an id sequence that any SQL engine can reproduce."""
     return F.md5(F.array_join(ids.cast("array<string>"), ","))
+
+
+def digest_rows(rows: Column) -> Column:
+    """The checksum of all rows' ids in a line, without building that line of ids."""
+    return F.md5(F.array_join(F.transform(rows, lambda ids: F.array_join(ids.cast("array<string>"), ",")), ","))
