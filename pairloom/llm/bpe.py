@@ -61,7 +61,7 @@ class Vocabulary:
         """Whether ``token`` may follow ``before`` (None: the start)."""
         known = self._fits.get((before, token))
         if known is None:
-            if len(self._fits) > 1_000_000:
+            if len(self._fits) > 400_000:
                 self._fits.clear()
             head = [] if before is None else [before]
             known = self.merge(b"".join(self.of_id[i] for i in [*head, token])) == [*head, token]

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, quality, url_rules
+from pairloom.llm import bpe, language, quality, token_counts, url_rules
 from pairloom.llm.shared import documents
 
+TOKEN_LIMIT = 1024
+
 # The rules every page is judged by.
 URL_RULES = (
     ("com", "/", "allow"),
@@ -21,12 +23,36 @@ URL_RULES = (
 )
 
 
+def held_out(key: str, folds: int, fold: int) -> Column:
+    """Whether the key is in the fold that nothing is learned from; a null key is not."""
+    return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(folds)) == fold, F.lit(False))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    learned = language.learn(docs.where(~held_out("doc_id", 3, 1)))
+    found = language.identify(docs, F.col("text"), learned).alias("found")
+    return docs.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), found).select(
+        "doc_id", "held_out", "found.*"
+    )
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules.url_verdicts(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return docs.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        token_counts.token_counts(docs, F.col("text"), path).alias("n_tokens"),
+    ).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -52,7 +78,9 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op4_url_rules": op4_url_rules,
+    "op5_token_counts": op5_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_quality_cascade": op10_quality_cascade,
 }
