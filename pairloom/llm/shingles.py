@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 WIDTH = 5
 #: Texts are hashed in pieces of about so many bytes, cut at white space: bounded memory for any length.
@@ -77,23 +78,32 @@ def windows(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
     return mix(out)
 
 
-def text_batches(column: pa.Array, limit: int = 2 * PIECE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, UTF-8 bytes and row borders of slices of about ``limit`` bytes; null counts as empty."""
-    if column.null_count:
-        column = column.fill_null("")
+def text_batches(column: pa.Array, limit: int = 2 * PIECE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """UTF-8 bytes and row borders of slices of about ``limit`` bytes, in order.
+
+    Each text is followed by a line end, so no word runs over a border; null counts as empty.
+    """
     column = column.cast(pa.large_string())
+    empty = pa.scalar("", pa.large_string())
+    column = pc.binary_join_element_wise(
+        column, empty, pa.scalar("\n", pa.large_string()), null_handling="replace", null_replacement=""
+    )
+    if not len(column):
+        return
     borders = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
+    data = np.frombuffer(column.buffers()[2], dtype=np.uint8)
     row = 0
     while row < len(column):
         stop = max(row + 1, int(np.searchsorted(borders, borders[row] + limit, "right")) - 1)
-        yield row, data[borders[row] : borders[stop]], borders[row : stop + 1] - borders[row]
+        yield data[borders[row] : borders[stop]], borders[row : stop + 1] - borders[row]
         row = stop
 
 
 def shingle_sets(column: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    for _, data, borders in text_batches(column):
-        for a, b in zip(borders[:-1], borders[1:]):
-            yield np.unique(windows(word_hashes(data[a:b])[1], width))
+    for data, borders in text_batches(column):
+        starts, words = word_hashes(data)
+        edges = np.searchsorted(starts, borders)
+        whole = windows(words, width) if len(words) >= width else words[:0]
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            yield np.unique(whole[a : b - width + 1] if b - a >= width else windows(words[a:b], width))
