@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, language, quality, token_counts, url_rules
+from pairloom.llm import bpe, contamination, language, quality, token_counts, toxicity, url_rules
 from pairloom.llm.shared import documents
 
 TOKEN_LIMIT = 1024
@@ -37,6 +37,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    found = contamination.contamination(docs, items, ["doc_id"])
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -70,6 +78,17 @@ def bpe_digests(coded: DataFrame) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    weights = toxicity.learn(toxicity.sampled(labels.where(~held_out("doc_id", 5, 0)), docs))
+    scored = docs.select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"),
+        toxicity.score(docs, F.col("text"), weights).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return quality.judge(docs).select(
@@ -79,9 +98,11 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op3_decontamination": op3_decontamination,
     "op4_url_rules": op4_url_rules,
     "op5_token_counts": op5_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_cascade": op10_quality_cascade,
 }
 
@@ -89,7 +110,39 @@ _RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = r"[\x20\x09-\x0D]"
 
+_WORDS = (
+    "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
 ORACLES: dict[str, str] = {
+    "op3_decontamination": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+        items AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL),
+        cut AS (
+            SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM items WHERE len(words) > 0
+        ),
+        wins AS (SELECT DISTINCT item, words[i:i + 9] AS win, len(words[i:i + 9]) AS size FROM cut),
+        sizes AS (SELECT DISTINCT size FROM wins),
+        places AS (
+            SELECT r, size, unnest(range(1, len(words) - size + 2)) AS i, words FROM docs, sizes WHERE len(words) >= size
+        ),
+        hits AS (
+            SELECT r, i, p.size, item FROM (SELECT r, i, size, words[i:i + size - 1] AS win FROM places) p
+            JOIN wins ON p.win = wins.win
+        ),
+        spans AS (
+            SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + size)) AS k FROM hits)
+            GROUP BY r
+        ),
+        named AS (
+            SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+            coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN spans USING (r) LEFT JOIN named USING (r)
+    """,
     "op4_url_rules": f"""
         WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {_RULES}),
         places AS (
