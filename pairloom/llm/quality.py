@@ -34,7 +34,8 @@ def _text(text: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     """The words, in order."""
-    return F.filter(F.split(_text(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    trimmed = F.btrim(_text(text), F.lit("".join(SPACES)))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
 
 def word_chars(text: Column) -> Column:
@@ -66,21 +67,15 @@ def n_repeat_words(words: Column) -> Column:
         F.sequence(F.lit(1), n), lambda i: F.xxhash64(words[i - 1], words[i], words[i + 1])
     )
 
-    def covered(hashes: Column) -> Column:
-        placed = F.array_sort(F.arrays_zip(hashes.alias("h"), F.sequence(F.lit(0), F.size(hashes) - 1).alias("i")))
-
-        def starts(placed: Column) -> Column:
-            h = placed["h"]
-            twice = F.filter(
-                placed,
-                lambda x, k: (x["h"] == F.get(h, k - 1)) | (x["h"] == F.get(h, k + 1)),
-            )
-            return twice["i"]
+    def spread(at: Column) -> Column:
+        return F.size(F.array_distinct(F.concat(at, F.transform(at, lambda i: i + 1), F.transform(at, lambda i: i + 2))))
 
-        def count(at: Column) -> Column:
-            return F.size(F.array_distinct(F.concat(at, F.transform(at, lambda i: i + 1), F.transform(at, lambda i: i + 2))))
+    def starts(placed: Column, h: Column) -> Column:
+        return F.filter(placed, lambda x, k: (x["h"] == F.get(h, k - 1)) | (x["h"] == F.get(h, k + 1)))["i"]
 
-        return _let(placed, lambda p: _let(starts(p), count))
+    def covered(hashes: Column) -> Column:
+        placed = F.array_sort(F.arrays_zip(hashes.alias("h"), F.sequence(F.lit(0), F.size(hashes) - 1).alias("i")))
+        return _let(placed, lambda p: _let(p["h"], lambda h: _let(starts(p, h), spread)))
 
     def repeats(hashes: Column) -> Column:
         unique = F.size(F.array_distinct(hashes)) == F.size(hashes)
