@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, contamination, language, quality, similar_sets, token_counts, toxicity, url_rules
+from pairloom.llm import bpe, contamination, language, quality, sharding, similar_sets, token_counts, toxicity, url_rules
 from pairloom.llm.shared import documents
 
 TOKEN_LIMIT = 1024
@@ -61,6 +61,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = sharding.pack(documents(spark, sf_dir).select("doc_id", "text"))
+    return packed.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = similar_sets.similar_groups(documents(spark, sf_dir))
     return groups.withColumnRenamed("id", "doc_id")
@@ -106,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_url_rules": op4_url_rules,
     "op5_token_counts": op5_token_counts,
+    "op6_sharding": op6_sharding,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_toxicity": op9_toxicity,
