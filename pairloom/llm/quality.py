@@ -16,7 +16,7 @@ import time
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import spare_name
+from pairloom.llm.shared import let, spare_name
 
 #: Rows of the sample on which cost and selectivity are estimated.
 SAMPLE_ROWS = 400
@@ -75,18 +75,13 @@ def n_repeat_words(words: Column) -> Column:
 
     def covered(hashes: Column) -> Column:
         placed = F.array_sort(F.arrays_zip(hashes.alias("h"), F.sequence(F.lit(0), F.size(hashes) - 1).alias("i")))
-        return _let(placed, lambda p: _let(p["h"], lambda h: _let(starts(p, h), spread)))
+        return let(placed, lambda p: let(p["h"], lambda h: let(starts(p, h), spread)))
 
     def repeats(hashes: Column) -> Column:
         unique = F.size(F.array_distinct(hashes)) == F.size(hashes)
         return F.when(unique, F.lit(0)).otherwise(covered(hashes))
 
-    return F.when(n < 2, F.lit(0)).otherwise(_let(hashes, repeats)).cast("long")
-
-
-def _let(value: Column, body) -> Column:
-    """``body`` of ``value``, computed once however often the body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.when(n < 2, F.lit(0)).otherwise(let(hashes, repeats)).cast("long")
 
 
 def base_counts(df: DataFrame, text: str = "text") -> DataFrame:

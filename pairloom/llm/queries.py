@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, contamination, language, quality, sharding, similar_sets, token_counts, toxicity, url_rules
+from pairloom.llm import bpe, contamination, language, quality, sharding, similar_sets, surrogates, token_counts, toxicity, url_rules
 from pairloom.llm.shared import documents
 
 TOKEN_LIMIT = 1024
@@ -37,6 +37,15 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: In production the key comes from the job's secrets; without it surrogates cannot be told from originals.
+SURROGATE_KEY = "example key"
+
+
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return surrogates.replaced(docs, SURROGATE_KEY).select("doc_id", "n_entities", "text")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
@@ -82,9 +91,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(coded)
 
 
-def bpe_digests(coded: DataFrame) -> DataFrame:
+def bpe_digests(coded: DataFrame, *more: str) -> DataFrame:
     return coded.select(
-        "doc_id",
+        "doc_id", *more,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("data", 256).alias("decoded_sha256"),
@@ -111,6 +120,7 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_surrogates": op2_surrogates,
     "op3_decontamination": op3_decontamination,
     "op4_url_rules": op4_url_rules,
     "op5_token_counts": op5_token_counts,

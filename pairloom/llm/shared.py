@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, computed once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def spare_name(df: DataFrame, wanted: str) -> str:
     """A column name that ``df`` does not have, in any spelling."""
     taken = {c.lower() for c in df.columns}
