@@ -25,7 +25,8 @@ from pairloom.llm.shared import ascii_lower, written
 
 WINDOW = 10
 SHINGLE = 5
-#: Slots of the byte map at most: 4 MB in the plan.
+#: Slots of the byte map for each shingle of the benchmark, and at most: 4 MB in the plan.
+SLOTS_EACH = 256
 MAP_SLOTS = 1 << 22
 #: Windows that are sent to every executor at most, about 300 bytes each: 60 MB. More are joined by a shuffle.
 BROADCAST_WINDOWS = 200_000
@@ -74,7 +75,7 @@ def _shingles(windows: DataFrame, widths: list[int]) -> DataFrame:
 def _byte_map(shingles: DataFrame) -> tuple[bytes, int]:
     n = shingles.select("hash").distinct().count()
     slots = 1024
-    while slots < 16 * n and slots < MAP_SLOTS:
+    while slots < SLOTS_EACH * n and slots < MAP_SLOTS:
         slots *= 2
     out = bytearray(slots)
     for (slot,) in shingles.select(F.pmod("hash", F.lit(slots))).distinct().collect():  # MAP_SLOTS at most
@@ -97,7 +98,7 @@ def _places(words: Column, width: int, byte_map: bytes, slots: int) -> Column:
         lambda i: F.struct(
             _hash(words, i, width).alias("hash"), F.lit(width).alias("width"), i.alias("place"),
             F.greatest(i - back, F.lit(0)).alias("base"),
-            F.slice(words, F.greatest(i - back, F.lit(0)) + 1, F.lit(2 * WINDOW)).alias("around"),
+            F.slice(words, F.greatest(i - back, F.lit(0)) + 1, F.lit(2 * WINDOW - width)).alias("around"),
         ),
     )
 
