@@ -21,10 +21,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch, where the session does not say otherwise: whole texts are large.
+BATCH_ROWS = "2000"
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def with_workers(df: DataFrame) -> SparkSession:
-    """The session of ``df``, with this package importable in its Python workers."""
-    ship_package(df.sparkSession)
-    return df.sparkSession
+    """The session of ``df``, with this package importable in its Python workers and batches fit for texts."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(_ROWS) == "10000":  # Spark's default
+        spark.conf.set(_ROWS, BATCH_ROWS)
+    return spark
 
 
 def ascii_lower(text: Column) -> Column:

@@ -10,8 +10,8 @@
 3. Each index list (the sets whose prefix holds a shingle) is answered from its leaders: members are compared
    with the leader only, and sets linked to one leader are in one component, with no pair among them formed.
 4. Lists that still span several components are read again in blocks by set size: a set meets only blocks whose
-   sizes can reach the threshold, and only entries whose positions can. For such a pair the answers of both
-   sets against the leader give bounds of their overlap (``ox + oy - n`` to ``min(ox, oy) + min(nx - ox, ny -
+   sizes can reach the threshold, and only entries whose positions (and, in long lists, whose whole prefixes)
+   can. For such a pair the answers of both sets against the leader give bounds of their overlap (``ox + oy - n`` to ``min(ox, oy) + min(nx - ox, ny -
    oy)``); only where the bounds leave it open are the two sets fetched and compared.
 
 No pair is lost and none is capped. Components follow from the links by label exchange in written rounds.
@@ -45,6 +45,9 @@ FLUSH_TOKENS = 1_000_000
 #: Stop shingles that are sent to every task at most. With mean set size m there are at most m / STOP_SHARE.
 MOST_STOPS = 4_000_000
 
+#: Lists of more members carry their prefixes into the second reading; the result does not depend on it.
+LONG_LIST = 32
+
 _LAST = np.int64(1) << 40  # count of a stop shingle, for the order
 
 
@@ -256,6 +259,11 @@ def _fits(a: str, b: str, percent: int):
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
 
+def _need(a: str, b: str, percent: int):
+    """The overlap that sets of two sizes need."""
+    return F.ceil(percent * (F.col(a) + F.col(b)) / (100 + percent))
+
+
 def _linked(percent: int):
     return 100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))
 
@@ -297,23 +305,26 @@ def _links(alive: DataFrame, percent: int) -> DataFrame:
     """Enough links (a, b) between sets to connect all that are connected."""
     postings = written(
         alive.select("key", "n", "first", F.posexplode("prefix").alias("i", "token")).select(
-            "token", "key", "n", (F.col("first") + F.col("i")).alias("pos"),
+            "token", "key", "n", "first", (F.col("first") + F.col("i")).alias("pos"),
             F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int").alias("block"),
         ), "postings",
     )
+    # the set with the fewest shingles of its own is the least changed copy, so the nearest to all others
+    central = F.struct("first", "key")
     lists = postings.groupBy("token").agg(
-        F.count(F.lit(1)).alias("c"), F.min("key").alias("lo"), F.max("key").alias("hi")
-    ).where("c > 1").drop("c")
-    same = postings.groupBy("token", "block").agg(F.min("key").alias("mid"))
+        F.count(F.lit(1)).alias("c"), F.min(central)["key"].alias("lo"), F.max("key").alias("hi")
+    ).where("c > 1")
+    same = postings.groupBy("token", "block").agg(F.min(central)["key"].alias("mid"))
     listed = written(postings.join(lists, "token").join(same, ["token", "block"]), "listed")
-    sizes = alive.select("key", "n")
+    sizes = alive.select("key", "n", (F.col("n") - F.col("first")).alias("m"))  # m shingles that others may have
     pairs = (
         listed.select("key", F.explode(F.array("lo", "hi", "mid")).alias("leader"))
         .where(F.col("key") != F.col("leader"))
         .select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
-        .join(sizes.select(F.col("key").alias("a"), F.col("n").alias("na")), "a")
-        .join(sizes.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
-        .where(_fits("na", "nb", percent))
+        .join(sizes.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("m").alias("ma")), "a")
+        .join(sizes.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb")), "b")
+        .where(_fits("na", "nb", percent) & (F.least("ma", "mb") >= _need("na", "nb", percent)))
+        .drop("ma", "mb")
     )
     first = _compared(pairs, alive, "first")
     links = first.where(_linked(percent)).select("a", "b")
@@ -330,26 +341,43 @@ def _links(alive: DataFrame, percent: int) -> DataFrame:
     entries = entries.join(open_lists, "token", "left_semi").join(known, ["key", "lo"], "left")
     leads = sizes.select(F.col("key").alias("lo"), F.col("n").alias("nlo"))
     entries = entries.join(leads, "lo").withColumn("o", F.when(F.col("key") == F.col("lo"), F.col("n")).otherwise(F.col("o")))
-    entries = written(entries.select("token", "key", "n", "pos", "block", "label", "o", "nlo"), "entries")
-
-    x = entries.select("token", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "pos", "label", "o")], "nlo",
-                       F.explode(F.array(F.col("block"), F.col("block") - 1, F.col("block") + 1)).alias("block"))
-    y = entries.select("token", "block", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "pos", "label", "o")])
-    need = F.ceil(percent * (F.col("x_n") + F.col("y_n")) / (100 + percent))
-    by_place = F.least("x_pos", "y_pos") + F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
+    # long lists carry the members' prefixes, which bound a pair's overlap and name the one list that forms it
+    whole = alive.select("key", "prefix", (F.col("n") - F.col("first") - F.size("prefix")).alias("rest"))
+    long = entries.where(F.col("c") > LONG_LIST).join(whole, "key")
+    short = entries.where(F.col("c") <= LONG_LIST).withColumn("prefix", F.lit(None).cast("array<bigint>"))
+    entries = long.unionByName(short.withColumn("rest", F.lit(0).cast("bigint")))
+    carried = ("key", "n", "first", "pos", "label", "o", "prefix", "rest")
+    entries = written(entries.select("token", "block", "nlo", *carried), "entries")
+
+    # the smaller set of a pair meets its own block and the next one
+    x = entries.select("token", *[F.col(c).alias(f"x_{c}") for c in carried], "nlo",
+                       F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"))
+    y = entries.select("token", "block", *[F.col(c).alias(f"y_{c}") for c in carried])
+    common = F.array_intersect("x_prefix", "y_prefix")
+    by_prefix = F.size(common) + F.greatest("x_rest", "y_rest")
+    smaller = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_key") < F.col("y_key")))
+    need = _need("x_n", "y_n", percent)
+    # nothing before a set's first shared shingle can be common
+    before = F.least(F.col("x_pos") - F.col("x_first"), F.col("y_pos") - F.col("y_first"))
+    by_place = before + F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
     most = F.least("x_o", "y_o") + F.least(F.col("x_n") - F.col("x_o"), F.col("y_n") - F.col("y_o"))
     # the bounds stand in the join condition: what they rule out is never a row
     met = x.join(
         y,
         (x["token"] == y["token"]) & (x["block"] == y["block"])
-        & (F.col("x_key") < F.col("y_key")) & (F.col("x_label") != F.col("y_label"))
+        & smaller & (F.col("x_label") != F.col("y_label"))
         & _fits("x_n", "y_n", percent) & (by_place >= need)
-        & (F.col("x_o").isNull() | F.col("y_o").isNull() | (most >= need)),
+        & (F.col("x_o").isNull() | F.col("y_o").isNull() | (most >= need))
+        & (F.col("x_prefix").isNull() | ((by_prefix >= need) & (F.element_at(common, 1) == x["token"]))),
     )
     least = F.col("x_o") + F.col("y_o") - F.col("nlo")
     rest = written(
-        met.groupBy(F.col("x_key").alias("a"), F.col("y_key").alias("b")).agg(
-            F.first("x_n").alias("na"), F.first("y_n").alias("nb"), F.max(F.coalesce(least >= need, F.lit(False))).alias("sure")
+        met.select(
+            F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b"), "x_o", "y_o", "nlo",
+            F.when(F.col("x_key") < F.col("y_key"), F.col("x_n")).otherwise(F.col("y_n")).alias("na"),
+            F.when(F.col("x_key") < F.col("y_key"), F.col("y_n")).otherwise(F.col("x_n")).alias("nb"), need.alias("need"),
+        ).groupBy("a", "b").agg(
+            F.first("na").alias("na"), F.first("nb").alias("nb"), F.max(F.coalesce(least >= F.col("need"), F.lit(False))).alias("sure")
         ).join(first.select("a", "b"), ["a", "b"], "left_anti"), "rest",
     )
     second = _compared(rest.where(~F.col("sure")).select("a", "b", "na", "nb"), alive, "second")

@@ -35,7 +35,7 @@ CHUNK = 256
 #: Characters of the stream that are worked on at once; one text may go beyond it.
 STREAM = 1 << 20
 #: Transitions, and counts of pieces, that a worker keeps; beyond it starts again.
-KEPT = 300_000
+KEPT = 200_000
 
 # Character classes.
 LETTER, STMD, ER_R, VE_V, E, LL_L, NUMBER, BLANK, SPACE, OTHER, QUOTE, END = range(12)
