@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.tables import BROKEN, FOOTERS, JUNK, LEXICON, LISTING, LOSSY, PAIRS
+from catalog.tables import BROKEN, FOOTERS, FURNISHED, JUNK, LEXICON, LISTING, LOSSY, PAIRS
 
 NL = "chr(10)"
 TAGGED = "'<' || lang || '> ' || raw"
@@ -87,6 +87,12 @@ def keep_lines(text: str, pattern: str) -> str:
     return f"coalesce(array_to_string({kept}, {NL}), '')"
 
 
+# the furniture that the texts were given, and no line of theirs is
+UNFURNISHED = (
+    f"CASE lang WHEN 'en' THEN {keep_lines('text', r'^(home [|] search|back to top|[(]c[)] 2001 [|] all rights reserved[.])$')}"
+    f" WHEN 'id' THEN {keep_lines('text', r'^(beranda|kembali ke atas|hak cipta 2001)$')} ELSE text END"
+)
+
 LAST_LINE = f"trim(list_last({lines(f'rtrim(raw, {SPACES})')}), {SPACES})"
 
 STRUCTURE = f"""measured AS (
@@ -279,14 +285,13 @@ ORACLES = {
     "padding_report": f"""WITH {BATCHED} SELECT batch_id::BIGINT AS batch_id, n_rows, s_in AS input_cells,
         (n_rows * w_in - s_in)::BIGINT AS input_padding, s_lab AS label_cells,
         (n_rows * w_lab - s_lab)::BIGINT AS label_padding FROM widths""",
-    "clean_texts": f"""WITH s AS (
+    "clean_texts": f"""WITH {FURNISHED}, s AS (
             SELECT doc_id, lang, text, strlen('<' || lang || '> ' || text) + 1 AS n,
-                CASE WHEN lang NOT IN ('en', 'fr', 'de') THEN 'bad_lang' WHEN text = '' THEN 'empty'
+                CASE WHEN lang NOT IN ('en', 'id', 'de') THEN 'bad_lang' WHEN text = '' THEN 'empty'
                     WHEN strlen('<' || lang || '> ' || text) + 1 > 4096 THEN 'over_budget' ELSE 'ok' END AS status
-            FROM documents)
+            FROM furnished)
         SELECT doc_id, n::BIGINT AS n_tokens, status, md5(CASE WHEN status = 'empty' THEN '' WHEN status = 'ok' THEN
-            trim(CASE lang WHEN 'en' THEN {keep_lines('text', 'licen[sc]e|rights reserved')}
-                WHEN 'de' THEN {keep_lines('text', '^nicht ')} ELSE text END, {SPACES}) END) AS cleaned_md5 FROM s""",
+            trim({UNFURNISHED}, {SPACES}) END) AS cleaned_md5 FROM s""",
     "eval_cases": f"""WITH c AS (
             SELECT *, strlen('<' || lang || '> ' || text) >= 4096 AS over_budget,
                 trim(CASE WHEN lang = 'en' THEN {keep_lines('text', '^the and ')} ELSE text END, {SPACES}) AS cleaned
@@ -301,8 +306,7 @@ ORACLES = {
     " '\\x{C2}\\x{A0}', ' ', 'g')) AS cleaned_md5 FROM documents",
     "rule_hex_artifact": "SELECT doc_id, md5(regexp_replace(replace(text, ', ', '0x00, '), '0x00', '', 'g')) AS cleaned_md5"
     " FROM documents",
-    "rule_boilerplate": f"""SELECT doc_id, md5(CASE lang WHEN 'en' THEN {keep_lines('text', 'licen[sc]e|rights reserved|^of[.]$')}
-        WHEN 'fr' THEN {keep_lines('text', '^le treque')} ELSE text END) AS cleaned_md5 FROM documents""",
+    "rule_boilerplate": f"""WITH {FURNISHED} SELECT doc_id, md5({UNFURNISHED}) AS cleaned_md5 FROM furnished""",
     "no_duplication": f"""WITH {PAIRS}, both_sides AS (
             SELECT doc_id, unnest({lines('raw')}) AS line, 1 AS r, 0 AS c FROM pairs
             UNION ALL SELECT doc_id, unnest({lines('clean')}), 0, 1 FROM pairs

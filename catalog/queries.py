@@ -11,6 +11,7 @@ from catalog.tables import (
     broken_pairs,
     documents,
     footers,
+    furnished,
     lexicon,
     listing,
     lossy_pairs,
@@ -278,7 +279,7 @@ def dataset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf_dir: str, val_max: int | None) -> DataFrame:
-    return splits.split_pairs(pairs(spark, sf_dir), "doc_id", 0.3, 42, val_max, unique=True)
+    return splits.split_pairs(pairs(spark, sf_dir), "doc_id", 0.3, 42, val_max)
 
 
 def train_val_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,9 +353,7 @@ def padding_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = documents(spark, sf_dir).select("doc_id", "lang", F.col("text").alias("raw"))
-    cleaner = cleaning.RuleCleaner({"en": "licen[sc]e|rights reserved", "de": "^nicht "})
-    cleaned = cleaning.clean_texts(df, cleaner, ("en", "fr", "de"))
+    cleaned = cleaning.clean_texts(furnished(spark, sf_dir), cleaning.RuleCleaner(), ("en", "id", "de"))
     return cleaned.select("doc_id", "n_tokens", "status", F.md5("cleaned").alias("cleaned_md5"))
 
 
@@ -381,9 +380,10 @@ def rule_hex_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaner = cleaning.RuleCleaner({"en": "licen[sc]e|rights reserved|^of\\.$", "fr": "^le treque"})
-    cleaned = cleaner.drop_boilerplate(F.col("text"), F.col("lang"))
-    return documents(spark, sf_dir).select("doc_id", F.md5(cleaned).alias("cleaned_md5"))
+    """The default patterns over the texts, with lines of furniture, and of furniture and content, among them."""
+    df = furnished(spark, sf_dir)
+    cleaned = cleaning.RuleCleaner().drop_boilerplate(F.col("raw"), F.col("lang"))
+    return df.select("doc_id", F.md5(cleaned).alias("cleaned_md5"))
 
 
 def no_duplication(spark: SparkSession, sf_dir: str) -> DataFrame:

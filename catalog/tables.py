@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators.cleaning import drop_lines
-from pairloom.sources.pairs import spread_small
 
 ALL_LANGUAGES = ("en", "fr", "de", "es")
 JUNK = "[#%&*$]{3}"
@@ -14,7 +13,7 @@ NOTICE = "licen[sc]e|rights reserved|^the and attion"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +27,25 @@ PAIRS = f"""pairs AS (
 )"""
 
 
+def furnished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with page furniture around and between their lines; French ones count as Indonesian here."""
+    lang = F.when(F.col("lang") == "fr", "id").otherwise(F.col("lang"))
+    raw = F.concat(
+        F.lit("Home | Search\nBeranda\nHome and "), F.replace(F.col("text"), F.lit("\n"), F.lit("\nBack to top\nKembali ke atas\n")),
+        F.lit(" All rights reserved.\n(c) 2001 | All rights reserved.\nHak cipta 2001"),
+    )
+    return documents(spark, sf_dir).select("doc_id", lang.alias("lang"), raw.alias("raw"))
+
+
+FURNISHED = r"""furnished AS (
+    SELECT doc_id, CASE lang WHEN 'fr' THEN 'id' ELSE lang END AS lang,
+        'Home | Search' || chr(10) || 'Beranda' || chr(10) || 'Home and '
+        || replace(text, chr(10), chr(10) || 'Back to top' || chr(10) || 'Kembali ke atas' || chr(10))
+        || ' All rights reserved.' || chr(10) || '(c) 2001 | All rights reserved.' || chr(10) || 'Hak cipta 2001' AS text
+    FROM documents
+)"""
+
+
 def broken_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs with missing values: no language in German, no raw in Spanish, no clean from src0."""
     return documents(spark, sf_dir).select(

@@ -12,7 +12,8 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-NUMBER = r"[0-9]+([.,][0-9]+)*"
+# possessive: Java matches a repeated group that may give back by recursion, which long texts overflow
+NUMBER = r"[0-9]+(?:[.,][0-9]+)*+"
 WORD = r"[\p{L}\p{N}]+"
 # (?d): only a line feed ends a line, as in split(text, '\n')
 LIST_ITEM = r"(?md)^[ \t]*([-*+•‣▪]|[0-9]{1,3}[.)])[ \t]+[^ \t\n]"
@@ -85,3 +86,37 @@ def multiset_excess(items: Column, other: Column) -> Column:
         )
 
     return F.aggregate(tagged, start, step, lambda state: state["excess"])
+
+
+def multiset_surplus(items: Column, other: Column) -> Column:
+    """``v, n_items, n_other`` for each value that ``items`` has more often than ``other``.
+
+    One fold over the sorted values, as in :func:`multiset_excess`; a null array has no values.
+    """
+    none = F.array().cast("array<string>")
+    tagged = F.array_sort(
+        F.concat(
+            F.transform(F.coalesce(items, none), lambda v: F.struct(v.alias("v"), F.lit(1).alias("side"))),
+            F.transform(F.coalesce(other, none), lambda v: F.struct(v.alias("v"), F.lit(0).alias("side"))),
+        )
+    )
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(
+        F.lit(None).cast("string").alias("v"), zero.alias("i"), zero.alias("o"),
+        F.array().cast("array<struct<v: string, n_items: bigint, n_other: bigint>>").alias("found"),
+    )
+
+    def closed(state: Column) -> Column:
+        entry = F.struct(state["v"].alias("v"), state["i"].alias("n_items"), state["o"].alias("n_other"))
+        return F.when(state["i"] > state["o"], F.concat(state["found"], F.array(entry))).otherwise(state["found"])
+
+    def step(state: Column, item: Column) -> Column:
+        same, one = F.coalesce(state["v"] == item["v"], F.lit(False)), F.lit(1).cast("bigint")
+        return F.struct(
+            item["v"].alias("v"),
+            (F.when(same, state["i"]).otherwise(zero) + F.when(item["side"] == 1, one).otherwise(zero)).alias("i"),
+            (F.when(same, state["o"]).otherwise(zero) + F.when(item["side"] == 0, one).otherwise(zero)).alias("o"),
+            F.when(same, state["found"]).otherwise(closed(state)).alias("found"),
+        )
+
+    return F.aggregate(tagged, start, step, closed)

@@ -17,20 +17,36 @@ from pairloom.operators.tokenizers import ByteTokenizer
 
 BYTES = ByteTokenizer()
 
-# Lines that are page furniture, per language; matched against the stripped line, in any case.
-BOILERPLATE = {
+# Entries of page furniture, per language. A line goes only if it is nothing else: one entry, or several
+# parted by bars. What a site adds in words of its own stays.
+FURNITURE = {
+    "en": (
+        "home", "menu", "search", "log ?in", "log ?out", "sign ?in", "sign ?up", "register", "about us", "contact us",
+        "skip to (?:main )?content", "back to top", "read more", "next page", "previous page", "print this page",
+        "privacy policy", "cookie (?:policy|settings)", "terms of (?:use|service)", "all rights reserved",
+        r"(?:\(c\)|©|copyright)(?: \(c\)| ©)? ?[0-9]{4}(?: ?[-–] ?[0-9]{4})?",
+    ),
     "id": (
-        r"^(beranda|menu|cari|search)\b[^.!?]{0,80}$|^search\.\.\.$|^artikel (populer|terkait)$|^baca juga\b"
-        r"|all rights reserved|hak cipta dilindungi|^klik di sini untuk (mengunduh|mencetak)"
+        "beranda", "menu", "cari", "masuk", "keluar", "daftar", "tentang kami", "hubungi kami", "kembali ke atas",
+        "selengkapnya", "halaman berikutnya", "halaman sebelumnya", "cetak halaman ini", "kebijakan privasi",
+        "syarat dan ketentuan", "hak cipta dilindungi(?: undang-undang)?", r"(?:hak cipta|©|\(c\)) ?[0-9]{4}",
     ),
-    "en": (
-        r"^skip to content\b|^share on\b|^subscribe to (our|the) newsletter|^(home|menu|search|login)$"
-        r"|^(\(c\)|copyright\b)|all rights reserved|^privacy policy\b|^cookie settings\b"
+    "zh": (
+        "首页", "菜单", "搜索", "登录", "注册", "退出", "关于我们", "联系我们", "返回顶部", "上一页", "下一页", "打印本页",
+        "隐私政策", "使用条款", "版权所有(?: ?[0-9]{4})?",
     ),
-    "zh": r"^首页( ?\||$)|^版权所有|^关于我们|^联系我们|^热门排行$",
 }
 
 
+def whole_line(entries: Sequence[str]) -> str:
+    """A pattern for lines of these entries only, at most 20 of them, parted by bars or middle dots."""
+    one = f"(?:{'|'.join(entries)})"
+    return rf"^{one}(?: ?[|·] ?{one}){{0,19}}\.?$"
+
+
+BOILERPLATE = {lang: whole_line(entries) for lang, entries in FURNITURE.items()}
+
+
 @dataclass(frozen=True)
 class RuleCleaner:
     """Removes what is certainly an artifact, as column expressions. Doubtful text stays.

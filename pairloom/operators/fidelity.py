@@ -1,7 +1,7 @@
 """What cleaning lost: numbers, terms, structure, endings; and what it repeated.
 
-Each pair is judged on its own, so nearly all of this is row-local; only matched terms and the
-lines of pairs with a finding are ever shuffled.
+Each pair is judged on its own, so nearly all of this is row-local; only the terms of a lexicon that
+occur are ever shuffled.
 """
 
 from __future__ import annotations
@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from pairloom.functions import text as tx
 
 RAW, CLEAN = "raw", "clean"
-SMALL_TERMS = 10_000  # a larger lexicon is joined by shuffling
-SMALL_CHARACTERS = 1 << 20
-SALTS = 32
 
 
 def number_loss() -> Column:
@@ -30,19 +27,9 @@ def duplication_count() -> Column:
 
 
 def duplicated_lines(df: DataFrame, key: str) -> DataFrame:
-    """The lines behind :func:`duplication_count`: ``key, line, n_raw, n_clean``."""
-    affected = df.filter(duplication_count() > 0)
-
-    def side(name: str, raw: int) -> Column:
-        return F.transform(
-            tx.lines(F.col(name)), lambda v: F.struct(v.alias("line"), F.lit(raw).alias("r"), F.lit(1 - raw).alias("c"))
-        )
-
-    found = affected.select(key, F.explode(F.concat(side(RAW, 1), side(CLEAN, 0))).alias("_l"))
-    counts = found.groupBy(key, F.col("_l.line").alias("line")).agg(
-        F.sum("_l.r").alias("n_raw"), F.sum("_l.c").alias("n_clean")
-    )
-    return counts.filter("n_clean > n_raw")
+    """The lines behind :func:`duplication_count`: ``key, line, n_raw, n_clean``. Nothing is shuffled."""
+    found = tx.multiset_surplus(tx.lines(F.col(CLEAN)), tx.lines(F.col(RAW)))
+    return df.select(key, F.inline(found).alias("line", "n_clean", "n_raw")).select(key, "line", "n_raw", "n_clean")
 
 
 def list_items(text: Column) -> Column:
@@ -77,75 +64,76 @@ def term_loss(
 ) -> DataFrame:
     """``key, lang, kind, n_raw, n_clean, lost`` for pairs where a term of the lexicon occurs.
 
-    ``lexicon`` is ``lang, kind, term``: terms in lower case, each once per kind. Words are compared
-    whole. In languages that put no spaces between words (``unspaced``) a term counts wherever it
-    occurs. The texts are read once and not shuffled, only the terms found in them.
+    ``lexicon`` is ``lang, kind, term``: terms in lower case; repeated rows count once. Words are compared
+    whole. In languages that put no spaces between words (``unspaced``) a term counts wherever it occurs,
+    without overlap with itself. The texts are read once and not shuffled, only the terms found in them;
+    a lexicon of any size is joined, a frequent term is split by the adaptive skew join.
     """
-    pairs = df.select(key, "lang", RAW, CLEAN)
-    found = _term_matches(pairs, key, lexicon, unspaced)
-    per_term = found.groupBy(key, "lang", "kind", "term").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    lost = F.greatest(F.col("r") - F.col("c"), F.lit(0))
-    return per_term.groupBy(key, "lang", "kind").agg(
-        F.sum("r").alias("n_raw"), F.sum("c").alias("n_clean"), F.sum(lost).alias("lost")
+    listed = lexicon.select("lang", "kind", "term").where("term <> ''").distinct()
+    spaced = ~F.col("lang").isin(*unspaced) if unspaced else F.lit(True)
+    sizes = [r[0] for r in listed.where(~spaced).select(F.char_length("term")).distinct().collect()]
+    found = F.concat(_words(RAW, 0), _words(CLEAN, 1))
+    if sizes:
+        found = F.when(spaced, found).otherwise(F.concat(*[_runs(side, i, n) for i, side in enumerate((RAW, CLEAN)) for n in sizes]))
+    terms = df.select(key, "lang", F.inline(found)).join(listed, ["lang", "term"])
+    per_pair = terms.groupBy(key, "lang", "kind").agg(
+        F.array_sort(F.collect_list(F.struct("term", "side", "place", "size"))).alias("_found")
     )
+    return per_pair.select(key, "lang", "kind", _tally(F.col("_found")).alias("_n")).select(key, "lang", "kind", "_n.*")
 
 
-def _term_matches(pairs: DataFrame, key: str, lexicon: DataFrame, unspaced: Sequence[str]) -> DataFrame:
-    terms = _small_terms(lexicon)
-    if terms is None:
-        return _many_term_matches(pairs, key, lexicon, unspaced)
-    # most words are in no lexicon: they go before the explode
-    known = sorted({term for lang, term in terms if lang not in unspaced})
-    found = F.concat(_words(RAW, 1, known), _words(CLEAN, 0, known))
-    for lang in unspaced:
-        inside = sorted({term for its_lang, term in terms if its_lang == lang})
-        found = F.when(F.col("lang") == lang, _inside(inside)).otherwise(found)
-    exploded = pairs.select(key, "lang", F.explode(found).alias("_t")).select(key, "lang", "_t.*")
-    return exploded.join(F.broadcast(lexicon), ["lang", "term"])
-
-
-def _many_term_matches(pairs: DataFrame, key: str, lexicon: DataFrame, unspaced: Sequence[str]) -> DataFrame:
-    """The same for a lexicon too large to broadcast."""
-    spaced = ~F.col("lang").isin(*unspaced)
-    if _small_terms(lexicon.filter(~spaced)) is None:
-        raise ValueError(f"more than {SMALL_TERMS} terms in languages without spaces: each text is searched for each")
-    words = F.explode(F.concat(_words(RAW, 1), _words(CLEAN, 0))).alias("_t")
-    # a frequent word would fill one partition: spread its occurrences, repeat the lexicon
-    salted = pairs.filter(spaced).select(
-        key, "lang", words, F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int").alias("_salt")
-    )
-    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-    plain = salted.select(key, "lang", "_t.*", "_salt").join(
-        lexicon.filter(spaced).withColumn("_salt", salts), ["lang", "term", "_salt"]
+def _words(side: str, number: int) -> Column:
+    """Every word: ``term, side, place, size``, places apart by one."""
+    return F.transform(
+        F.coalesce(tx.words(F.col(side)), F.array().cast("array<string>")),
+        lambda w, i: F.struct(w.alias("term"), F.lit(number).alias("side"), i.alias("place"), F.lit(1).alias("size")),
     )
-    inside = _term_matches(pairs.filter(~spaced), key, lexicon.filter(~spaced), unspaced)
-    return plain.drop("_salt").unionByName(inside)
 
 
-def _words(side: str, raw: int, known: Sequence[str] | None = None) -> Column:
-    words = tx.words(F.col(side))
-    if known is not None:
-        words = F.filter(words, lambda w: w.isin(*known))
-    return F.transform(words, lambda w: F.struct(w.alias("term"), F.lit(raw).alias("r"), F.lit(1 - raw).alias("c")))
+def _runs(side: str, number: int, size: int) -> Column:
+    """Every run of ``size`` characters."""
+
+    def cut(chars: Column) -> Column:
+        n = F.size(chars) - size
+        return F.transform(
+            F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>")),
+            lambda i: F.struct(
+                F.array_join(F.slice(chars, i + 1, F.lit(size)), "").alias("term"), F.lit(number).alias("side"),
+                i.alias("place"), F.lit(size).alias("size"),
+            ),
+        )
+
+    # bound once: a lambda would split the text anew for every run
+    return F.flatten(F.transform(F.array(F.split(F.lower(F.coalesce(F.col(side), F.lit(""))), "")), cut))
 
 
-def _inside(terms: Sequence[str]) -> Column:
-    def counts(term: Column) -> Column:
+def _tally(found: Column) -> Column:
+    """``n_raw, n_clean, lost`` of occurrences sorted by term, side and place; overlapping ones count once."""
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(
+        F.lit(None).cast("string").alias("term"), F.lit(-1).alias("side"), F.lit(0).alias("end"), zero.alias("r"),
+        zero.alias("c"), zero.alias("n_raw"), zero.alias("n_clean"), zero.alias("lost"),
+    )
+
+    def step(s: Column, x: Column) -> Column:
+        same = F.coalesce(s["term"] == x["term"], F.lit(False))
+        new = ~same | (s["side"] != x["side"]) | (x["place"] >= s["end"])
+        raw, one = x["side"] == 0, F.when(new, 1).otherwise(0).cast("bigint")
         return F.struct(
-            term.alias("term"),
-            tx.occurrences(F.lower(RAW), term).alias("r"),
-            tx.occurrences(F.lower(CLEAN), term).alias("c"),
+            x["term"].alias("term"), x["side"].alias("side"),
+            F.when(new, x["place"] + x["size"]).otherwise(s["end"]).alias("end"),
+            (F.when(same, s["r"]).otherwise(zero) + F.when(raw, one).otherwise(zero)).alias("r"),
+            (F.when(same, s["c"]).otherwise(zero) + F.when(raw, zero).otherwise(one)).alias("c"),
+            (s["n_raw"] + F.when(raw, one).otherwise(zero)).alias("n_raw"),
+            (s["n_clean"] + F.when(raw, zero).otherwise(one)).alias("n_clean"),
+            (s["lost"] + F.when(same, zero).otherwise(F.greatest(s["r"] - s["c"], zero))).alias("lost"),
         )
 
-    listed = F.array(*[F.lit(t) for t in terms]).cast("array<string>")
-    return F.filter(F.transform(listed, counts), lambda t: (t["r"] > 0) | (t["c"] > 0))
-
+    def close(s: Column) -> Column:
+        last = F.greatest(s["r"] - s["c"], zero)
+        return F.struct(s["n_raw"].alias("n_raw"), s["n_clean"].alias("n_clean"), (s["lost"] + last).alias("lost"))
 
-def _small_terms(lexicon: DataFrame) -> list[tuple[str, str]] | None:
-    """The languages and terms of the lexicon, or None if there are too many."""
-    rows = lexicon.select("lang", "term").distinct().limit(SMALL_TERMS + 1).collect()
-    size = sum(len(row["term"]) for row in rows)
-    return None if len(rows) > SMALL_TERMS or size > SMALL_CHARACTERS else [tuple(row) for row in rows]
+    return F.aggregate(found, start, step, close)
 
 
 def fidelity_summary(df: DataFrame) -> DataFrame:

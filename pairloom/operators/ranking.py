@@ -7,13 +7,12 @@ nearly equal size; a count per bucket places each of them in the whole order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIGITS = 4  # hexadecimal digits of a bucket: at most 65,536 buckets
-MAX_ZONES = 1 << 18
+#: Zones at most: their borders, 32 characters each, stay under 64 MB.
+MAX_ZONES = 1 << 20
 
 
 def shuffle_key(key: str, seed: int) -> Column:
@@ -76,47 +75,37 @@ def zoned_rank(
     )
 
 
-def exact_rank(df: DataFrame, key: str, seed: int, name: str = "rank", digits: int = DIGITS) -> DataFrame:
-    """Add the 1-based rank of each row in the seeded order. ``key`` must be unique."""
-    return zoned_rank(df, key, seed, name, digits=digits).drop("zone")
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """``at``: one row with a hash per target. ``hot``: the hashes left out, 1,000 at most."""
-
-    at: DataFrame
-    hot: DataFrame | None
+def first_rows(df: DataFrame, key: str, seed: int, k: int, digits: int = DIGITS) -> DataFrame:
+    """Add ``rank`` and keep the rows ranked 1 to ``k``. Rows with equal keys follow in any order."""
+    keyed = _keyed(df, key, seed, digits)
+    reached = bucket_offsets(keyed).filter(F.col("_before") < k).select("_bucket", "_before")
+    inside = Window.partitionBy("_bucket").orderBy("_k", key)
+    ranked = keyed.join(F.broadcast(reached), "_bucket").withColumn(
+        "rank", F.col("_before") + F.row_number().over(inside)
+    )
+    return ranked.filter(F.col("rank") <= k).drop("_k", "_bucket", "_before")
 
 
-def cut_keys(keyed: DataFrame, targets: dict[str, Column], unique: bool = False, digits: int = DIGITS) -> Cuts:
-    """Per target, the largest hash up to which there are at most that many rows.
+def cut_keys(keyed: DataFrame, targets: dict[str, Column], digits: int = DIGITS) -> DataFrame:
+    """One row with a hash per target: the rows up to it are as near to the target as whole groups allow.
 
-    ``keyed`` has the hash as ``_k``; each target is a row count, given as an expression over
-    ``_total``. Rows with equal keys are on one side of a cut, so with a unique key the counts are
-    exact, and otherwise they fall short by less than one group of copies. So that this is little,
-    a group of more than a thousandth of all rows is left out: it counts for no target. Where the
-    caller knows the key to be ``unique``, there is no look for such groups.
+    ``keyed`` has the hash as ``_k``; each target is a row count, given as an expression over ``_total``.
+    Rows with equal keys are on one side of a cut, so the cut lies at the border of two groups: the one
+    nearest to the target, the lower of two equally near. With a unique key the counts are exact. Where
+    there are two groups, a target above zero gets one at least, and one below the total leaves one.
 
-    Only the hash is read. Passes: rows per bucket, rows per hash in the buckets too large to be
-    without a hot group (mostly none), rows per hash in the buckets where the targets fall. All
-    count before they shuffle, so a hash shared by a third of all rows arrives as one row per task.
+    Only the hash is read. Passes: rows per bucket, rows per hash in the buckets where the targets fall,
+    the least and largest hash. All count before they shuffle, so a hash shared by a third of all rows
+    arrives as one row per task.
     """
     keyed = keyed.select("_k", F.substring("_k", 1, digits).alias("_bucket"))
-    placed, hot = bucket_offsets(keyed), None
-    if not unique:
-        hot = _hot_hashes(keyed, placed)
-        placed = _without(placed, hot)
-        keyed = keyed.join(F.broadcast(hot.select("_k")), "_k", "left_anti")
-    last = F.max("_end").over(Window.partitionBy())
-    placed = placed.withColumn("_last", last).withColumns(
-        {f"_to_{name}": F.least(count, F.col("_last")) for name, count in targets.items()}
+    placed = bucket_offsets(keyed).withColumns(
+        {f"_to_{name}": F.least(count.cast("bigint"), F.col("_total")) for name, count in targets.items()}
     )
-    wanted = {name: F.col(f"_to_{name}") for name in targets}
     holds = F.lit(False)
-    for count in wanted.values():
-        holds = holds | ((F.col("_before") < count) & (count <= F.col("_end")))
-    carried = ["_before", *(f"_to_{name}" for name in targets)]
+    for name in targets:
+        holds = holds | ((F.col("_before") < F.col(f"_to_{name}")) & (F.col(f"_to_{name}") <= F.col("_end")))
+    carried = ["_before", "_total", *(f"_to_{name}" for name in targets)]
     edge = placed.filter(holds).select("_bucket", *carried)  # at most one bucket per target
     hashes = (
         keyed.join(F.broadcast(edge), "_bucket")
@@ -125,35 +114,28 @@ def cut_keys(keyed: DataFrame, targets: dict[str, Column], unique: bool = False,
     )
     inside = Window.partitionBy("_bucket").orderBy("_k")
     running = hashes.withColumn("_upto", F.col("_before") + F.sum("_copies").over(inside))
-    cuts = []
-    for name, count in wanted.items():
-        fits = F.max(F.when(F.col("_upto") <= count, F.col("_k")))
+    found = []
+    for name in targets:
+        count, here = F.col(f"_to_{name}"), F.struct(F.col("_upto").alias("n"), F.col("_k").alias("k"))
         # a bucket that starts below the target: its prefix sorts above all earlier hashes
-        floor = F.max(F.when(F.col("_before") < count, F.col("_bucket")))
-        cuts.append(F.greatest(fits, floor).alias(name))
-    return Cuts(running.agg(*cuts), hot)
-
-
-def _hot_hashes(keyed: DataFrame, buckets: DataFrame) -> DataFrame:
-    """The hashes of more than a thousandth of all rows: ``_bucket, _k, _copies``."""
-    share = F.greatest(F.lit(1), F.floor(F.col("_total") / 1000))
-    heavy = buckets.filter(F.col("_end") - F.col("_before") > share).select("_bucket", share.alias("_share"))
-    return (
-        keyed.join(F.broadcast(heavy), "_bucket")
-        .groupBy("_bucket", "_k")
-        .agg(F.count("*").alias("_copies"), F.max("_share").alias("_share"))
-        .filter("_copies > _share")
-        .drop("_share")
-    )
-
-
-def _without(buckets: DataFrame, hot: DataFrame) -> DataFrame:
-    """The buckets' places in the order of the rows whose hash is not hot."""
-    hot_rows = hot.groupBy("_bucket").agg(F.sum("_copies").alias("_hot"))
-    cold = F.col("_end") - F.col("_before") - F.coalesce(F.col("_hot"), F.lit(0))
-    end = F.sum("_cold").over(Window.orderBy("_bucket"))  # one row per bucket, as above
-    return (
-        buckets.join(F.broadcast(hot_rows), "_bucket", "left")
-        .select("_bucket", "_total", cold.alias("_cold"))
-        .select("_bucket", "_total", (end - F.col("_cold")).alias("_before"), end.alias("_end"))
-    )
+        floor = F.struct(F.col("_before").alias("n"), F.col("_bucket").alias("k"))
+        found += [
+            F.greatest(F.max(F.when(F.col("_upto") <= count, here)), F.max(F.when(F.col("_before") < count, floor))).alias(f"_low_{name}"),
+            F.min(F.when(F.col("_upto") >= count, here)).alias(f"_high_{name}"),
+            F.max(count).alias(f"_to_{name}"),
+        ]
+    ends = keyed.agg(F.min("_k").alias("_first"), F.max("_k").alias("_last"))
+    row = running.agg(F.max("_total").alias("_total"), *found).crossJoin(F.broadcast(ends))  # one row each
+    # just below the last hash, above all others
+    under = F.concat(F.expr("left(_last, length(_last) - 1)"), F.chr(F.ascii(F.right("_last", F.lit(1))) - 1), F.lit("g"))
+    cuts = []
+    for name in targets:
+        low, high, count = (F.col(f"_{part}_{name}") for part in ("low", "high", "to"))
+        nearest = F.when(count - low["n"] <= high["n"] - count, low).otherwise(high)
+        several = F.col("_first") != F.col("_last")
+        cuts.append(
+            F.when(several & (nearest["n"] == 0), F.col("_first"))
+            .when(several & (nearest["n"] == F.col("_total")) & (count < F.col("_total")), under)
+            .otherwise(nearest["k"]).alias(name)
+        )
+    return row.select(*cuts)

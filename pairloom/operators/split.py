@@ -5,44 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.operators.ranking import cut_keys, shuffle_key
-
-SORTED_LIMIT = 1000  # rows of a top-k that every task and the final merge may hold
+from pairloom.operators.ranking import cut_keys, first_rows, shuffle_key
 
 
 def split_pairs(
-    df: DataFrame,
-    key: str,
-    frac: float = 0.01,
-    seed: int = 42,
-    val_max: int | None = 4000,
-    unique: bool = False,
+    df: DataFrame, key: str, frac: float = 0.01, seed: int = 42, val_max: int | None = 4000
 ) -> DataFrame:
     """Add ``split``: ``val`` for ``ceil(frac * n)`` random rows, ``train`` for the others.
 
     Of more than ``val_max`` validation rows, the surplus goes to neither side: ``dropped``. The
     assignment compares each row's hash with two cut hashes, so the rows themselves are not
-    shuffled. With a key shared by copies (``content_key``) all copies land on one side: groups of
-    more than a thousandth of all rows in ``train``, and the others where their hash puts them, so
-    that a side can be smaller than its target by less than one such group. ``unique`` says that
-    no rows share a key, which saves looking for large groups.
+    shuffled. With a key shared by copies (``content_key``) all copies land on one side, and both
+    cuts lie at the border of groups nearest to their target: a side differs from its target by at
+    most half of the group there. Of two groups or more neither side stays empty, so a large first
+    group can make ``val`` larger than its cap.
     """
+    if not 0 <= frac <= 1:
+        raise ValueError(f"frac must be between 0 and 1, got {frac}")
     keyed = df.withColumn("_k", shuffle_key(key, seed))
     wanted = F.ceil(F.col("_total").cast("double") * F.lit(float(frac)))
     kept = wanted if val_max is None else F.least(wanted, F.lit(val_max).cast("bigint"))
-    cuts = cut_keys(keyed, {"val": kept, "surplus": wanted}, unique)
-    cut = cuts.at.select(F.struct("val", "surplus")).scalar()
+    cut = cut_keys(keyed, {"val": kept, "surplus": wanted}).select(F.struct("val", "surplus")).scalar()
     found = keyed.withColumn("_cut", cut)
-    hot = F.lit(False)
-    if cuts.hot is not None:
-        found = found.withColumn("_hot", cuts.hot.agg(F.collect_list("_k")).scalar())
-        hot = F.array_contains(F.col("_hot"), F.col("_k"))
     side = (
-        F.when((F.col("_k") > F.col("_cut.surplus")) | hot, "train")
-        .when(F.col("_k") > F.col("_cut.val"), "dropped")
-        .otherwise("val")
+        F.when(F.col("_k") <= F.col("_cut.val"), "val")
+        .when(F.col("_k") <= F.col("_cut.surplus"), "dropped")
+        .otherwise("train")
     )
-    return found.withColumn("split", side).drop("_k", "_cut", "_hot")
+    return found.withColumn("split", side).drop("_k", "_cut")
 
 
 def split_counts(split: DataFrame) -> DataFrame:
@@ -50,11 +40,5 @@ def split_counts(split: DataFrame) -> DataFrame:
 
 
 def shuffle_limit(df: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
-    """The first ``k`` rows of the seeded random order, in that order. ``key`` must be unique."""
-    keyed = df.withColumn("_k", shuffle_key(key, seed))
-    if k <= SORTED_LIMIT:
-        return keyed.orderBy("_k", key).limit(k).drop("_k")
-    # cut by hash, then sort only those rows, in parallel
-    target = F.least(F.col("_total"), F.lit(k).cast("bigint"))
-    cut = cut_keys(keyed, {"cut": target}, unique=True).at.scalar()
-    return keyed.filter(F.col("_k") <= cut).orderBy("_k", key).drop("_k")
+    """The first ``k`` rows of the seeded random order, in that order. Equal keys follow in any order."""
+    return first_rows(df, key, seed, k).orderBy("rank").drop("rank")

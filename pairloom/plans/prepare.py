@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pairloom.config import PrepareConfig
+from pairloom.config import PAIR_COLUMNS, PrepareConfig
 from pairloom.operators.fingerprint import dataset_fingerprint, digest_columns
 from pairloom.operators.prepare import budget_flags, skip_over_budget, tokenize_pairs
 from pairloom.operators.split import split_pairs
@@ -57,12 +57,14 @@ def prepare(
     model_family: str = "",
     base_model: str = "",
 ) -> Prepared:
-    """Validate, then write the prepared table under ``root``, or reuse an equal one there.
+    """Validate, then write the prepared table under ``root``, or reuse an equal one there: equal in texts,
+    keys and settings.
 
     The texts are read twice: once to validate and fingerprint them, once to write the table; the
     truncation counts are gathered while it is written.
     """
-    checked = validate_pairs(pairs, config.languages).agg(*reason_counts(), *digest_columns()).first()
+    identity = digest_columns((*PAIR_COLUMNS, key))
+    checked = validate_pairs(pairs, config.languages).agg(*reason_counts(), *identity).first()
     raise_if_invalid(checked)
     fingerprint = dataset_fingerprint(
         checked,

@@ -43,9 +43,14 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach; a local one only where the cluster names none."""
+    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
+
+    Only a local session, whose executors are this machine, gets a folder of its own where none is named.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="pairloom-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping, Sequence
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,21 +66,6 @@ def _position_key(path: str) -> Column:
     return F.concat_ws("#", inside, F.col("_metadata.row_index"))
 
 
-def spread_small(df: DataFrame, most_bytes: int = 1 << 30) -> DataFrame:
-    """Spread the rows of a small table over all cores.
-
-    A file is read in parallel only as far as it has row groups, so a small table can keep most
-    cores idle. A table of many files, or of more than ``most_bytes``, is left as it lies.
-    """
-    spark = df.sparkSession
-    files = [unquote(file) for file in df.inputFiles()]
-    cores = spark.sparkContext.defaultParallelism
-    if not files or len(files) >= cores:
-        return df
-    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
-    return df.repartition(cores) if size and size <= most_bytes else df
-
-
 def content_key(columns: Sequence[str] = PAIR_COLUMNS) -> Column:
-    """A key from the content: equal rows share it, so copies stay together."""
-    return F.md5(F.concat_ws(":", *[F.md5(F.col(c)) for c in columns]))
+    """A key from the content: equal rows share it, so copies stay together. Null is told from every text."""
+    return F.md5(F.concat_ws(":", *[F.coalesce(F.md5(F.col(c).cast("string")), F.lit("null")) for c in columns]))

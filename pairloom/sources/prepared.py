@@ -66,5 +66,8 @@ def write_prepared(df: DataFrame, path: str, manifest: dict[str, Any]) -> bool:
 
 
 def read_prepared(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
+    """The table of a finished prepare job; data without its manifest may be half written and is refused."""
+    if read_manifest(spark, path) is None:
+        raise ValueError(f"{path} has no manifest: it is no finished prepared data")
     df = spark.read.parquet(f"{path}/data")
     return df if split is None else df.filter(df["split"] == split)

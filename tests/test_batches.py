@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pairloom.operators import batches, ranking
 from pairloom.operators import prepare as prep
 from pairloom.operators.accuracy import masked_token_accuracy, with_argmax
-from pairloom.operators.ranking import exact_rank, zoned_rank
+from pairloom.operators.ranking import zoned_rank
 from pairloom.operators.split import shuffle_limit, split_pairs
 from pairloom.sources.pairs import content_key
 
@@ -18,10 +18,10 @@ def order(keys, seed=42):
 
 
 @pytest.mark.parametrize("n, frac, cap", [(1, 0.01, 4000), (7, 0.3, None), (500, 0.07, 20), (500, 0.5, 4000)])
-@pytest.mark.parametrize("parts, unique", [(1, True), (7, False), (64, True)])
-def test_split_is_exact_for_any_partitioning(spark, n, frac, cap, parts, unique):
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_split_is_exact_for_any_partitioning(spark, n, frac, cap, parts):
     df = spark.range(n).repartition(parts)
-    got = {r["id"]: r["split"] for r in split_pairs(df, "id", frac, 42, cap, unique).collect()}
+    got = {r["id"]: r["split"] for r in split_pairs(df, "id", frac, 42, cap).collect()}
     n_val = math.ceil(frac * n)
     kept = n_val if cap is None else min(n_val, cap)
     want = {}
@@ -30,36 +30,56 @@ def test_split_is_exact_for_any_partitioning(spark, n, frac, cap, parts, unique)
     assert got == want
 
 
-@pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("frac, cap", [(0.1, 900), (0.1, None), (0.9, None)])
-def test_split_with_hot_copies(spark, seed, frac, cap):
-    """A third of the rows are copies of one text, and the others come in pairs."""
-    rows = spark.range(6000).select(F.when(F.col("id") < 2000, -1).otherwise(F.expr("id div 2")).alias("n"))
+def nearest_border(sizes, target):
+    """Rows up to the group border nearest to the target; neither side empty where it need not be."""
+    borders = [0]
+    for size in sizes:
+        borders.append(borders[-1] + size)
+    best = min(borders, key=lambda b: (abs(b - target), b))
+    if len(sizes) > 1 and target > 0 and best == 0:
+        best = borders[1]
+    if len(sizes) > 1 and target < borders[-1] and best == borders[-1]:
+        best = borders[-2]
+    return best
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("n, hot", [(2, 0), (1998, 0), (2000, 666), (4000, 0), (6000, 2000)])
+@pytest.mark.parametrize("frac, cap", [(0.3, None), (0.1, 100), (0.9, None)])
+def test_split_keeps_copies_together(spark, seed, n, hot, frac, cap):
+    """Pairs of copies, and in some cases a third of all rows alike."""
+    rows = spark.range(n).select(F.when(F.col("id") < hot, -1).otherwise(F.expr("id div 2")).alias("n"))
     df = rows.select(F.lit("en").alias("lang"), F.col("n").cast("string").alias("raw"), F.lit("x").alias("clean"))
     split = split_pairs(df.withColumn("key", content_key()), "key", frac, seed, cap)
     got = {r["key"]: (r["split"], r["count"]) for r in split.groupBy("key", "split").count().collect()}
-    hot, pairs = max(got.items(), key=lambda g: g[1][1])[0], [k for k, g in got.items() if g[1] == 2]
-    # no key on two sides, the hot group in train, the pairs in the order of their hashes
-    assert len(got) == 2001 and got[hot] == ("train", 2000) and len(pairs) == 2000
-    wanted = min(math.ceil(frac * 6000), 4000)
-    kept = wanted if cap is None else min(wanted, cap)
-    for place, key in enumerate(order(pairs, seed)):
-        upto = 2 * (place + 1)
-        assert got[key][0] == ("val" if upto <= kept else "dropped" if upto <= wanted else "train")
+    assert sum(count for _, count in got.values()) == n and len(got) == (n - hot) // 2 + (hot > 0)
+    keys = order(got, seed)
+    sizes = [got[k][1] for k in keys]
+    wanted = math.ceil(frac * n)
+    val, surplus = nearest_border(sizes, wanted if cap is None else min(wanted, cap)), nearest_border(sizes, wanted)
+    upto = 0
+    for key, size in zip(keys, sizes):
+        upto += size
+        assert got[key][0] == ("val" if upto <= val else "dropped" if upto <= surplus else "train")
+    if len(keys) > 1:
+        assert {"val", "train"} <= {side for side, _ in got.values()}
 
 
 def test_split_of_an_empty_table(spark):
     assert split_pairs(spark.range(0), "id").count() == 0
 
 
-@pytest.mark.parametrize("limit", [0, 5, 10_000])
-def test_shuffle_limit_both_ways(spark, monkeypatch, limit):
-    monkeypatch.setattr("pairloom.operators.split.SORTED_LIMIT", limit)
+def test_shuffle_limit(spark):
     got = [r["id"] for r in shuffle_limit(spark.range(300).repartition(5), "id", 40, 1).collect()]
     assert got == order(range(300), 1)[:40]
     assert shuffle_limit(spark.range(30), "id", 400).count() == 30
 
 
+@pytest.mark.parametrize("k", [0, 999, 1000, 1001])
+def test_shuffle_limit_of_copies(spark, k):
+    assert shuffle_limit(spark.range(3000).select(F.expr("id div 7").alias("id")), "id", k).count() == k
+
+
 @pytest.mark.parametrize("digits", [1, 4])
 @pytest.mark.parametrize("unit, zones", [(1, 1 << 18), (7, 3), (50, 1), (10, 1 << 18), (1, 5)])
 def test_ranks_and_zones(spark, monkeypatch, digits, unit, zones):
@@ -74,12 +94,6 @@ def test_ranks_and_zones(spark, monkeypatch, digits, unit, zones):
     assert all(len(z) == 1 for z in run_zones.values())
 
 
-def test_exact_rank(spark):
-    rows = exact_rank(spark.range(50), "id", 3).collect()
-    assert {r["id"]: r["rank"] for r in rows} == {k: i + 1 for i, k in enumerate(order(range(50), 3))}
-    assert set(rows[0].asDict()) == {"id", "rank"}
-
-
 def tokens(spark, lengths, label=3):
     rows = [(i, list(range(1, n + 1)), list(range(1, label + 1)), n) for i, n in enumerate(lengths)]
     return spark.createDataFrame(rows, "id bigint, input_ids array<int>, labels array<int>, length int")

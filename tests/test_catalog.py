@@ -6,7 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from catalog.oracles import TABLES
+from catalog.oracles import ORACLES, TABLES
+from catalog.queries import QUERIES
 from check import by_name
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -23,10 +24,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
     df = queries()[name](spark, SF_DIR)
     result = con.execute(oracle_sql()[name])

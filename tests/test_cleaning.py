@@ -1,5 +1,3 @@
-from collections import Counter
-
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -8,48 +6,48 @@ from pairloom.config import CleanOptions
 from pairloom.operators import chunks, fidelity
 from pairloom.operators.cleaning import RuleCleaner, WorkerCleaner, clean_texts, run_cases
 
-# own texts, each with one kind of dirt
-CASES = [
-    ("journal", "id", "Vol.3  No.20x00Juni2019  ISSN:1234-56  7X~Analisis", "certain artifacts only"),
-    (
-        "dump", "id",
-        "Beranda | Profil | Bantuan\n3 Mei 2021\nKantor pos di desa itu buka kembali pada hari Senin.\n"
-        "Baca Juga: 3 cara hemat air\n(c) 2021 Warta Kita. All rights reserved.\nMenu\nSearch...",
-        "page furniture dropped, news and date kept",
-    ),
-    ("mojibake", "id", "\ufeffGuru\u00c2\u00a0itu\u00c2\u00a0berkata–ya.", "mark and spaces repaired"),
-    (
-        "web", "en",
-        "Skip to content Start Shop\nJUNE 2, 2020\nThe bridge now carries 15% more trains.\nShare on A Share on B\n"
-        "Subscribe to our newsletter\n(c) 2020 Rail Weekly. Privacy Policy",
-        "claim and date kept",
-    ),
-    (
-        "web", "zh", "首页 | 体育\n图书馆2019年6月1日开放\n本报讯（记者李某）参观者很多。\n版权所有 2019 晚报\n联系我们",
-        "title, date, byline and news kept",
-    ),
-    ("header", "id", "No. 7; Juni 2010  \nKlik di sini untuk mencetak halaman.  \nAnak itu suka membaca.", "control dropped"),
-    ("issn", "id", "Kata  Pe1ngantarISSN1357-24  6~X,-ISSN:8765-43K.", "left as it is"),
-]
-
-
-def cases(spark):
-    return spark.createDataFrame(CASES, "name string, lang string, raw string, expect string")
-
-
-def test_rule_cleaner_keeps_content_and_drops_furniture(spark):
-    rows = clean_texts(cases(spark), RuleCleaner()).collect()
-    assert {r["status"] for r in rows} == {"ok"}
-    journal, dump, mojibake, web, zh, header, issn = [r["cleaned"] for r in rows]
-    assert journal == "Vol.3  No.2Juni2019  ISSN:1234-56  7X~Analisis"
-    assert dump == "3 Mei 2021\nKantor pos di desa itu buka kembali pada hari Senin."
-    assert mojibake == "Guru itu berkata–ya."
-    assert web == "JUNE 2, 2020\nThe bridge now carries 15% more trains."
-    assert zh == "图书馆2019年6月1日开放\n本报讯（记者李某）参观者很多。"
-    assert header == "No. 7; Juni 2010  \nAnak itu suka membaca."
-    assert issn == CASES[6][2]
-    for r in rows:
-        assert not Counter(r["cleaned"].split("\n")) - Counter(r["raw"].replace("\u00c2\u00a0", " ").replace("\ufeff", "").replace("0x00", "").split("\n"))
+@pytest.mark.parametrize("rule, raw, cleaned", [
+    ("byte order mark", "\ufeffone\n\ufefftwo", "one\ntwo"),
+    ("no-break space", "a\u00c2\u00a0b\u00a0c", "a b\u00a0c"),
+    ("null in hex", "10x00 apples", "1 apples"),
+    ("nothing", "0x0 and \u00c2 stay", "0x0 and \u00c2 stay"),
+])
+def test_character_rules(spark, rule, raw, cleaned):
+    df = spark.createDataFrame([("en", raw)], "lang string, raw string")
+    assert clean_texts(df, RuleCleaner()).first()["cleaned"] == cleaned
+
+
+ENTRIES = {"en": ("Home", "Skip to content", "(c) 2001"), "id": ("Beranda", "Kembali ke atas", "Hak cipta 2001"),
+           "zh": ("首页", "返回顶部", "版权所有 2001")}
+SENTENCE = {"en": "The river rose by 3 metres.", "id": "Sungai naik 3 meter.", "zh": "河水上涨三米。"}
+
+
+@pytest.mark.parametrize("lang", ENTRIES)
+def test_only_lines_of_nothing_but_furniture_go(spark, lang):
+    """Furniture alone and in rows goes; content stays, also on one line with furniture and in one-line texts."""
+    sentence, rows = SENTENCE[lang], []
+    for entry in ENTRIES[lang]:
+        rows += [
+            (f"{entry}\n{sentence}\n {entry.upper()} ", sentence),
+            (f"{sentence}\n{' | '.join(ENTRIES[lang])}", sentence),
+            (f"{entry} {sentence}", f"{entry} {sentence}"),
+            (f"{sentence} {entry}", f"{sentence} {entry}"),
+            (f"{entry} | {sentence}", f"{entry} | {sentence}"),
+        ]
+    rows.append((f"{sentence} All rights reserved to nobody. Hak cipta dilindungi siapa? {sentence}",) * 2)
+    df = spark.createDataFrame([(lang, *r) for r in rows], "lang string, raw string, want string")
+    for r in clean_texts(df, RuleCleaner()).collect():
+        assert (r["status"], r["cleaned"]) == ("ok", r["want"])
+
+
+@pytest.mark.parametrize("unit", ["1,", "1.", "1", "home | ", "- a\n", "|a", "0x00", "1. ", "a ", "\n"])
+def test_patterns_hold_on_a_megabyte_of_one_unit(spark, unit):
+    text = unit * (1_000_000 // len(unit))
+    df = spark.createDataFrame([(0, "en", text, text)], "id int, lang string, raw string, clean string")
+    clean_texts(df, RuleCleaner(), max_input=1 << 30).select(F.length("cleaned")).collect()
+    assert df.select(fidelity.number_loss()).first()[0] == 0
+    fidelity.structure_loss(df).collect()
+    assert fidelity.fidelity_summary(df).count() == 2
 
 
 def test_cases_are_previewed(spark):
@@ -156,16 +154,14 @@ def test_duplicated_lines(pairs_of):
     assert rows == {("b", 2, 3), ("c", 0, 1)}
 
 
-@pytest.mark.parametrize("bound", [10_000, 0])
-def test_term_loss_with_either_join(spark, pairs_of, monkeypatch, bound):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_term_loss_with_either_join(spark, pairs_of, threshold):
     terms = [("en", "negation", "not"), ("en", "negation", "no"), ("en", "hedge", "may"), ("fr", "hedge", "may")]
     lexicon = spark.createDataFrame(terms, "lang string, kind string, term string")
-    monkeypatch.setattr(fidelity, "SMALL_TERMS", bound)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     df = pairs_of(
         ("en", "Not, no no; may! nothing", "no may may"), ("en", "plain", "not"), ("fr", "no may", "no"), ("en", "", "")
     )
-    if bound == 0:
-        lexicon = lexicon.repartition(3)
     rows = fidelity.term_loss(df, "id", lexicon, unspaced=()).collect()
     got = {(r["id"], r["kind"]): (r["n_raw"], r["n_clean"], r["lost"]) for r in rows}
     assert got == {
@@ -176,6 +172,7 @@ def test_term_loss_with_either_join(spark, pairs_of, monkeypatch, bound):
         ("en", "negation", False): 2, ("en", "hedge", False): 0, ("fr", "hedge", False): 1,
         (None, "negation", True): 2, (None, "hedge", True): 1,
     }
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_terms_without_spaces(spark, pairs_of):
