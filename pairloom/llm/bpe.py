@@ -13,9 +13,8 @@ empty text has no ids. Ids outside the vocabulary cannot be decoded and raise.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable
-from functools import lru_cache
-from itertools import chain
+from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +22,14 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import with_workers
+from pairloom.llm.shared import with_workers, worker_table
 
 #: Pieces whose encodings a worker remembers; beyond it starts again, so memory stays bounded.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
+#: Characters of texts whose pieces are held at once; one text may go beyond it.
+HELD = 1 << 21
+#: Pairs of tokens whose fit is remembered.
+FITS_KEPT = 200_000
 
 
 class Vocabulary:
@@ -35,10 +38,14 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.of_id = {i: token for token, i in ranks.items()}
-        self.longest = [0] * 256  # token length, by last byte
+        self.longest = max(map(len, ranks))
+        tails: dict[bytes, set[int]] = {}
         for token in ranks:
-            self.longest[token[-1]] = max(self.longest[token[-1]], len(token))
+            tails.setdefault(token[-3:], set()).add(len(token))
+        #: lengths of the tokens with these last three bytes (or of this whole token), the longest first
+        self.lengths = {tail: tuple(sorted(sizes, reverse=True)) for tail, sizes in tails.items()}
         self._fits: dict[tuple[int | None, int], bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
 
     @classmethod
     def from_rank_file(cls, path: str) -> Vocabulary:
@@ -46,26 +53,51 @@ class Vocabulary:
             pairs = (line.split() for line in file if line.strip())
             return cls({base64.b64decode(token): int(rank) for token, rank in pairs})
 
-    def merge(self, data: bytes) -> list[int]:
-        """Ids by the merge rule itself: always join the adjacent pair of lowest rank. For short strings."""
+    def merge(self, data: bytes, below: int = 1 << 40) -> list[int]:
+        """Ids by the merge rule itself: always join the adjacent pair of lowest rank, of ranks under ``below``."""
         parts = [data[i : i + 1] for i in range(len(data))]
         ranks = self.ranks
         while len(parts) > 1:
-            best, at = min((ranks.get(a + b, 1 << 40), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if best == 1 << 40:
+            best, at = min((ranks.get(a + b, below), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if best >= below:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [ranks[p] for p in parts]
 
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes ``token``; None for a single byte and for tokens no merge makes."""
+        if token not in self._halves:
+            data = self.of_id[token]
+            parts = self.merge(data, token) if len(data) > 1 else []
+            self._halves[token] = (parts[0], parts[1]) if len(parts) == 2 else None
+        return self._halves[token]
+
+    def _stays(self, left: int, right: int) -> bool:
+        """Whether merging the bytes of two tokens side by side gives back both.
+
+        Runs the merges backwards: of the two parts at the border, the one made later is undone. If at any
+        moment the two parts at the border could merge before one of them is used up, they would have.
+        """
+        used_left = used_right = 1 << 40
+        while True:
+            across = self.ranks.get(self.of_id[left] + self.of_id[right])
+            if across is not None and across < used_left and across <= used_right:
+                return False
+            if len(self.of_id[left]) > 1 and (left > right or len(self.of_id[right]) == 1):
+                used_left, left = left, self.halves(left)[1]
+            elif len(self.of_id[right]) > 1:
+                used_right, right = right, self.halves(right)[0]
+            else:
+                return True
+
     def fits(self, before: int | None, token: int) -> bool:
-        """Whether ``token`` may follow ``before`` (None: the start)."""
+        """Whether ``token`` may follow ``before`` (None: the start), which ends a valid encoding."""
         known = self._fits.get((before, token))
         if known is None:
-            if len(self._fits) > 400_000:
-                self._fits.clear()
-            head = [] if before is None else [before]
-            known = self.merge(b"".join(self.of_id[i] for i in [*head, token])) == [*head, token]
-            self._fits[before, token] = known
+            made = len(self.of_id[token]) == 1 or self.halves(token) is not None
+            known = made and (before is None or self._stays(before, token))
+            if len(self._fits) < FITS_KEPT:
+                self._fits[before, token] = known
         return known
 
 
@@ -80,7 +112,7 @@ class PrefixTable:
 
     def _entry(self, data: bytes, end: int, last: list[int | None]) -> int:
         voc = self.vocabulary
-        for size in range(min(end, voc.longest[data[end - 1]]), 0, -1):
+        for size in range(min(end, voc.longest), 0, -1):
             token = voc.ranks.get(data[end - size : end])
             if token is not None and voc.fits(last[end - size], token):
                 return token
@@ -101,7 +133,7 @@ class PrefixTable:
         """
         data = self.data[:start] + new + self.data[stop:]
         last, shift, same, done = self.last[: start + 1], len(new) - (stop - start), 0, 0
-        need = max(self.vocabulary.longest) + 1
+        need = self.vocabulary.longest + 1  # entries that later ones can look back to
         for end in range(start + 1, len(data) + 1):
             last.append(self._entry(data, end, last))
             done += 1
@@ -121,46 +153,89 @@ class PrefixTable:
         return out[::-1]
 
 
-class Pieces(dict):
-    """Piece of text to its ids, remembered up to a bound."""
+def encode_pieces(vocabulary: Vocabulary, pieces: list[bytes]) -> Iterator[list[int]]:
+    """Ids of each piece. Of sorted pieces, each takes over the table of the one before as far as they agree."""
+    ranks, lengths, fits_known, fits = vocabulary.ranks, vocabulary.lengths, vocabulary._fits, vocabulary.fits
+    last: list[int | None] = [None]
+    start = [0]
+    before = b""
+    for data in pieces:
+        same = 0
+        for x, y in zip(before, data):
+            if x != y:
+                break
+            same += 1
+        del last[same + 1 :], start[same + 1 :]
+        for end in range(same + 1, len(data) + 1):
+            tail = data[end - 3 : end] if end > 2 else b""
+            for size in (*lengths.get(tail, ()), 2, 1):
+                at = end - size
+                if at < 0:
+                    continue
+                token = ranks.get(data[at:end])
+                if token is not None:
+                    known = fits_known.get((last[at], token))
+                    if known or known is None and fits(last[at], token):
+                        break
+            else:
+                raise ValueError(f"no token of the vocabulary ends prefix {end}")
+            last.append(token)
+            start.append(at)
+        before, out, end = data, [], len(data)
+        while end:
+            out.append(last[end])
+            end = start[end]
+        yield out[::-1]
 
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(PrefixTable(self.vocabulary, piece.encode()).ids())
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+class Encoder:
+    """Texts to ids. Remembers two generations of pieces, so that frequent ones stay and memory is bounded."""
+
+    def __init__(self, vocabulary: Vocabulary, pattern: str):
+        self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
+        self.young: dict[str, bytes] = {}  # ids as 32-bit numbers
+        self.old: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [self.find(t) for t in texts]
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        known, old = self.young, self.old
+        unseen = [p for p in set().union(*cut) if p not in known]  # not by views, which walk all of `known`
+        known.update((p, old[p]) for p in unseen if p in old)
+        new = sorted(p.encode() for p in unseen if p not in known)
+        if len(new) > REMEMBERED or any(len(p) > 64 for p in new):  # not worth remembering
+            known = dict(known)
+        for piece, ids in zip(new, encode_pieces(self.vocabulary, new)):
+            known[piece.decode()] = pack(f"={len(ids)}i", *ids)
+        return [np.frombuffer(b"".join(map(known.__getitem__, pieces)), np.int32) for pieces in cut]
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> Callable[[str], chain]:
-    pieces, find = Pieces(Vocabulary.from_rank_file(path)), regex.compile(pattern).findall
-    return lambda text: chain.from_iterable(map(pieces.__getitem__, find(text)))
+def _encoder(path: str, pattern: str) -> Encoder:
+    return Encoder(Vocabulary.from_rank_file(path), pattern)
 
 
-@lru_cache(maxsize=2)
 def _token_bytes(path: str) -> pa.Array:
     of_id = Vocabulary.from_rank_file(path).of_id
     return pa.array([of_id.get(i) for i in range(max(of_id) + 1)], pa.large_binary())
 
 
 def encode_batch(texts: pa.Array, path: str, pattern: str) -> pa.Array:
-    encode, rows, borders = _encoder(path, pattern), [], np.zeros(len(texts) + 1, np.int32)
-    for i, text in enumerate(texts):
-        rows.append(np.fromiter(encode(text.as_py() or ""), np.int32))
-        borders[i + 1] = borders[i] + len(rows[-1])
+    encoder, rows, group, held = worker_table("bpe", _encoder, path, pattern), [], [], 0
+    for i in range(len(texts)):
+        group.append(texts[i].as_py() or "")
+        held += len(group[-1])
+        if held >= HELD or i == len(texts) - 1:
+            rows += encoder.encode(group)
+            group, held = [], 0
+    borders = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(borders), pa.array(np.concatenate(rows) if rows else [], pa.int32()))
 
 
 def decode_batch(ids: pa.Array, path: str) -> pa.Array:
     """The bytes of each row of ids: one gather of token bytes, whose buffer is the answer."""
     sizes = np.asarray(ids.value_lengths().fill_null(0), np.int64)
-    parts = _token_bytes(path).take(ids.flatten())
+    parts = worker_table("bpe", _token_bytes, path).take(ids.flatten())
     if parts.null_count:
         raise ValueError("an id is not in the vocabulary")
     borders = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset :][: len(parts) + 1] if len(parts) else [0]

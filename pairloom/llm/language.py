@@ -12,8 +12,6 @@ learned rows, then to the first in sorted order. Rows are kept one for one with
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import regex
@@ -21,7 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import with_workers
+from pairloom.llm.shared import with_workers, worker_table
 
 #: Bytes of learned text per language, and labelled rows looked at for them: the bounds of the sample.
 DICTIONARY_BYTES = 96 * 1024
@@ -72,7 +70,6 @@ def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     return {name: body for name, body in learned.items() if len(body) >= 8}
 
 
-@lru_cache(maxsize=2)
 def _compressors(learned: tuple[tuple[str, bytes], ...]) -> list[zstandard.ZstdCompressor]:
     out = []
     for _, body in learned:
@@ -93,7 +90,7 @@ def code_lengths(text: bytes, compressors: list[zstandard.ZstdCompressor]) -> np
 
 
 def identify_batch(texts: pa.Array, learned: tuple[tuple[str, bytes], ...]) -> pa.Array:
-    names, compressors = [name for name, _ in learned], _compressors(learned)
+    names, compressors = [name for name, _ in learned], worker_table("language", _compressors, learned)
     lang, score, margin, rejected = [], [], [], []
     for text in texts.to_pylist():
         if not names or not text or not _LETTER.search(text):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,24 @@ def with_workers(df: DataFrame) -> SparkSession:
     return spark
 
 
+_kept: dict[tuple, object] = {}
+
+
+def worker_table(operator: str, make: Callable, *key):
+    """``make(*key)``, kept in a Python worker for the operator at work; the tables of others are let go.
+
+    Workers live on from stage to stage, and all their tables together would outgrow them.
+    """
+    name = (operator, make.__name__, *key)
+    if name not in _kept:
+        for other in [k for k in _kept if k[0] != operator or k[1] == make.__name__]:
+            del _kept[other]
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _kept[name] = make(*key)
+    return _kept[name]
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z lower-cased and nothing else changed."""
     plain = F.octet_length(text) == F.char_length(text)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from pairloom.llm.shared import with_workers, written
+from pairloom.llm.shared import with_workers, worker_table, written
 from pairloom.llm.shingles import mix, shingle_sets
 
 #: The threshold as a percentage: 100 * intersection >= PERCENT * union.
@@ -40,7 +40,7 @@ PERCENT = 75
 #: A shingle in more than this share of the classes goes to the end of the order.
 STOP_SHARE = 1 / 200
 #: Shingles of one counting range and of one block of texts, about.
-RANGE_TOKENS = 1_500_000
+RANGE_TOKENS = 1_000_000
 FLUSH_TOKENS = 1_000_000
 #: Stop shingles that are sent to every task at most. With mean set size m there are at most m / STOP_SHARE.
 MOST_STOPS = 4_000_000
@@ -64,6 +64,7 @@ def profiles(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_table("similar_sets", dict)  # lets the tables of other operators go
         for batch in batches:
             sizes, keys, seen = [], [], {}
             for tokens in shingle_sets(batch.column(1)):

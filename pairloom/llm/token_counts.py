@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.bpe import Vocabulary
-from pairloom.llm.shared import with_workers
+from pairloom.llm.shared import with_workers, worker_table
 
 CHUNK = 256
 #: Characters of the stream that are worked on at once; one text may go beyond it.
@@ -269,13 +269,12 @@ def read_json_vocabulary(path: str) -> tuple[dict[bytes, int], tuple[str, ...]]:
     return ranks, tuple(t["content"] for t in spec["added_tokens"])
 
 
-@lru_cache(maxsize=2)
 def _counter(path: str) -> Counter:
     return Counter(*read_json_vocabulary(path))
 
 
 def count_batch(texts: pa.Array, path: str) -> pa.Array:
-    return pa.array(_counter(path).counts([t or "" for t in texts.to_pylist()]), pa.int64())
+    return pa.array(worker_table("token_counts", _counter, path).counts([t or "" for t in texts.to_pylist()]), pa.int64())
 
 
 def token_counts(df: DataFrame, text: Column, path: str) -> Column:

@@ -13,7 +13,6 @@ sorted order and the highest label count. Scored rows are kept one for one with
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import with_workers
+from pairloom.llm.shared import with_workers, worker_table
 from pairloom.llm.shingles import mix, text_batches, word_hashes
 
 #: Labelled rows learned from at most (about), and the longest text in bytes among them: the bounds of the sample.
@@ -119,7 +118,6 @@ def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: s
     return {r["feature"]: r["weight"] for r in found}
 
 
-@lru_cache(maxsize=2)
 def _dense(at: bytes, weights: bytes) -> np.ndarray:
     out = np.zeros(INTERCEPT + 1)
     out[np.frombuffer(at, np.int64)] = np.frombuffer(weights, np.float64)
@@ -129,7 +127,7 @@ def _dense(at: bytes, weights: bytes) -> np.ndarray:
 def score_batch(texts: pa.Array, at: bytes, weights: bytes) -> pa.Array:
     if not at:
         return pa.array(np.zeros(len(texts)))
-    w, out = _dense(at, weights), []
+    w, out = worker_table("toxicity", _dense, at, weights), []
     for data, borders in text_batches(texts):
         row, found = features(data, borders)
         heavy = w[found] != 0
