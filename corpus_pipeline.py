@@ -1,7 +1,7 @@
 """From raw documents to training ids: five stages, each one of the operators in ``pairloom.llm``.
 
 1. Language ID: documents whose language cannot be told go; a missing `lang` is filled with the one found.
-2. Near duplicates: of each group of linked texts the document with the least id stays.
+2. Near duplicates: of each group of linked texts the row with the least id stays (null ids last).
 3. Decontamination: documents that hold a benchmark passage go.
 4. Personal data: entities are replaced by surrogates, `n_chars` is counted anew.
 5. Byte-level BPE: every text becomes token ids, which are decoded again as a check.
@@ -29,22 +29,8 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that are not their group's least id go; repeated rows of the least id stay once.
-
-    Rows with a null id cannot be told apart: they stay if their group has no id at all.
-    """
-    groups = written(similar_sets.similar_groups(docs), "groups")
-    away = groups.where(F.col("id").isNotNull() & (F.col("id") != F.col("component_id"))).select("id").distinct()
-    away = away.withColumnRenamed("id", "away_id")
-    kept = docs.join(away, docs["doc_id"] == away["away_id"], "left_anti")
-    if groups.where("id IS NULL AND component_id IS NOT NULL").limit(1).count():
-        kept = kept.where(F.col("doc_id").isNotNull())
-    if groups.where("id = component_id").groupBy("id").count().where("count > 1").limit(1).count():
-        first = spare_name(docs, "first_row")
-        named = kept.where(F.col("doc_id").isNotNull())
-        named = named.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.hash(*docs.columns)).alias(first))
-        kept = named.select(f"{first}.*").unionByName(kept.where(F.col("doc_id").isNull()))
-    return kept.select(docs.columns)
+    """One row of every group of linked texts stays; ids decide only which one."""
+    return similar_sets.first_of_groups(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,11 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from pairloom.llm.shared import with_workers, worker_table, written
+from pairloom.llm.shared import spare_name, with_workers, worker_table, written
 from pairloom.llm.shingles import mix, shingle_sets
 
 #: The threshold as a percentage: 100 * intersection >= PERCENT * union.
@@ -59,7 +59,8 @@ def _set_key(tokens: np.ndarray) -> int:
 
 
 def profiles(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """`id`, `n`, `key` (null if n is 0) of every row; `common`, on a few rows: a batch's frequent shingles."""
+    """`id`, `digest` of the text, `n`, `key` (null if n is 0) of every row; `common`, on a few rows: a batch's
+    frequent shingles."""
     with_workers(docs)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -81,12 +82,17 @@ def profiles(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                 ]
             kinds = pa.list_(pa.struct([("token", pa.int64()), ("count", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(common, kinds)],
-                ["id", "n", "key", "common"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
+                 pa.array(common, kinds)],
+                ["id", "digest", "n", "key", "common"],
             )
 
-    schema = f"id {kind}, n bigint, key bigint, common array<struct<token bigint, count bigint>>"
-    return docs.select(id_col, text).mapInArrow(run, schema)
+    schema = f"id {kind}, digest binary, n bigint, key bigint, common array<struct<token bigint, count bigint>>"
+    return docs.select(id_col, text, _digest(text).alias("digest")).mapInArrow(run, schema)
+
+
+def _digest(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
 
 
 def _packed(tokens: np.ndarray) -> bytes:
@@ -387,8 +393,8 @@ def _links(alive: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """`id`, `n_shingles` and `component_id` (the least id reachable by links, its own included) of every row."""
+def _labelled(docs: DataFrame, id_col: str, text: str, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The profile of every row, and `key` and `label` of the sets that have links."""
     profile = written(profiles(docs, id_col, text), "profile")
     stats = profile.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count_distinct("key").alias("classes")).first()
     stops = (
@@ -402,8 +408,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     parts = max(1, -(-stats["tokens"] // RANGE_TOKENS))
     blocks = _blocks(docs, text, fixed, parts)
     alive = written(_alive(_counted(blocks, parts), percent), "alive")
-    labels = components(_links(alive, percent))
+    return profile, components(_links(alive, percent))
+
 
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """`id`, `n_shingles` and `component_id` (the least id reachable by links, its own included) of every row."""
+    profile, labels = _labelled(docs, id_col, text, percent)
     least = profile.where("n > 0").groupBy("key").agg(F.min("id").alias("least"))
     named = least.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     best = named.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("least").alias("component_id"))
@@ -411,3 +421,27 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     filled = profile.where("n > 0").select("id", "n", "key").join(of_key, "key", "left")
     alone = profile.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return filled.select("id", "n", "component_id").unionByName(alone).withColumnRenamed("n", "n_shingles")
+
+
+def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row of every group of linked texts, and all rows with an empty set; all columns stay.
+
+    A group's row is the one with the least id, null ids last, then with the least digest of its text. Groups are
+    told apart by texts alone: rows that share an id, or have none, stay for every group they are the first of.
+    """
+    profile, labels = _labelled(docs, id_col, text, percent)
+    same = profile.where("n > 0").groupBy("key", "id", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest", "copies")
+    first = same.groupBy("key").agg(F.min(rank).alias("first")).join(labels, "key", "left")
+    first = first.groupBy(F.coalesce("label", "key").alias("label")).agg(F.min("first").alias("first"))
+    first = written(first.select("first.id", "first.digest", "first.copies"), "first")
+
+    blank = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    digest, row = spare_name(docs, "text_digest"), spare_name(docs, "row")
+    rows = docs.where(~blank).withColumn(digest, _digest(text))
+    if first.where("copies > 1").limit(1).count():  # rows equal in id and text: one of them
+        rows = rows.groupBy(id_col, digest).agg(
+            F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias(row)
+        ).select(f"{row}.*", digest)
+    chosen = rows.join(first, rows[id_col].eqNullSafe(first["id"]) & (rows[digest] == first["digest"]), "left_semi")
+    return chosen.select(docs.columns).unionByName(docs.where(blank))
