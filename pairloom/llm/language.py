@@ -19,15 +19,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import with_workers, worker_table
+from pairloom.llm.shared import let, with_workers, worker_table
 
 #: Bytes of learned text per language, and labelled rows looked at for them: the bounds of the sample.
 DICTIONARY_BYTES = 96 * 1024
 SAMPLE_ROWS = 200
-#: Texts of more bytes are passed over by the sample, so that one text cannot fill a dictionary.
+#: Of texts of more bytes the sample takes its start, middle and end, so that one text cannot fill a dictionary.
 SAMPLE_TEXT_BYTES = 8 * 1024
-#: Languages learned at most, the most frequent ones.
-MAX_LANGUAGES = 64
+#: Bytes of all dictionaries; with more languages than fill it each dictionary is smaller, to LEAST_BYTES.
+ALL_BYTES = 64 * DICTIONARY_BYTES
+LEAST_BYTES = 2 * 1024
 BLOCK = 4 * 1024
 LEVEL = 6
 MARGIN = 0.002
@@ -42,32 +43,55 @@ def normal(text: str) -> str:
     return _NO_LETTERS.sub(" ", text.lower())
 
 
+def _pieces(text: Column) -> Column:
+    """``text`` alone; of one over SAMPLE_TEXT_BYTES start, middle and end of its letters."""
+    letters = F.regexp_replace(F.regexp_replace(text, r"[^\p{L}\n]++", " "), r" ?\n[ \n]*+", "\n")
+    size = F.lit(SAMPLE_TEXT_BYTES // 3)
+
+    def cut(body: Column) -> Column:
+        n = F.char_length(body)
+        starts = (F.lit(1), F.floor((n - size) / 2).cast("int"), n - size + 1)
+        return F.array(*[F.substring(body, F.greatest(F.lit(1), start), size) for start in starts])
+
+    return F.when(F.octet_length(text) <= SAMPLE_TEXT_BYTES, F.array(text)).otherwise(let(letters, cut))
+
+
+def _piece(text: str) -> str:
+    """At most SAMPLE_TEXT_BYTES / 3 bytes of ``text``."""
+    return text.encode()[: SAMPLE_TEXT_BYTES // 3].decode(errors="ignore")
+
+
 def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """A dictionary per language from a bounded sample of ``labelled``, the most frequent language first.
 
-    The sample takes the rows whose hashed key lies under a limit set by the language's row count, about
-    SAMPLE_ROWS rows a language, so it is the same for any partitioning. Rows with a null in any of the three
-    columns are not learned from.
+    The sample takes the rows whose hash lies under a limit set by the language's row count, about SAMPLE_ROWS
+    rows a language and one at least, so it is the same for any partitioning; equal rows count as one. Every
+    language with a letter in its sample is learned. Rows with a null in any of the three columns, or without any
+    letter, are not learned from.
     """
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    rows = rows.where(F.col("key").isNotNull() & (F.octet_length("text") <= SAMPLE_TEXT_BYTES))
-    sizes = rows.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    rows = rows.where(F.col("key").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.withColumn("place", F.pmod(F.xxhash64("key", "text"), F.lit(1 << 40)))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least")).collect()
     if not sizes:
         return {}
-    limits = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1 << 40, -(-(SAMPLE_ROWS << 40) // r["n"])))])
-    place = F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 40))
-    sample = rows.where(place < F.coalesce(F.try_element_at(limits, "lang"), F.lit(0)))
-    sample = sample.select("lang", place.alias("place"), "key", "text").orderBy("lang", "place", "key", "text")
+    sizes.sort(key=lambda r: (-r["n"], r["lang"]))
+    limits = [(r["lang"], max(r["least"] + 1, -(-(SAMPLE_ROWS << 40) // r["n"]))) for r in sizes]
+    limits = labelled.sparkSession.createDataFrame(limits, "lang string, below bigint")
+    sample = rows.join(F.broadcast(limits), "lang").where(F.col("place") < F.col("below"))
+    sample = sample.select("lang", "place", "key", _pieces(F.col("text")).alias("pieces")).distinct()
+    most = min(DICTIONARY_BYTES, max(LEAST_BYTES, ALL_BYTES // len(sizes)))
     bodies: dict[str, dict[bytes, None]] = {r["lang"]: {} for r in sizes}
     filled = dict.fromkeys(bodies, 0)
-    for row in sample.toLocalIterator():
-        body = normal(row["text"]).encode()
-        if filled[row["lang"]] < DICTIONARY_BYTES and body not in bodies[row["lang"]]:
+    for row in sample.orderBy("lang", "place", "key", "pieces").toLocalIterator():
+        pieces = row["pieces"] if len(row["pieces"]) == 1 else map(_piece, row["pieces"])
+        body = normal("\n".join(pieces)).encode()
+        if filled[row["lang"]] < most and body not in bodies[row["lang"]] and not body.isspace():
             bodies[row["lang"]][body] = None
             filled[row["lang"]] += len(body) + 1
-    learned = {name: b"\n".join(parts)[:DICTIONARY_BYTES] for name, parts in bodies.items()}
-    return {name: body for name, body in learned.items() if len(body) >= 8}
+    learned = {name: b"\n".join(parts)[:most] for name, parts in bodies.items() if parts}
+    # the library asks for 8 bytes
+    return {name: body if len(body) >= 8 else b"\n".join([body] * 8) for name, body in learned.items()}
 
 
 def _compressors(learned: tuple[tuple[str, bytes], ...]) -> list[zstandard.ZstdCompressor]:
