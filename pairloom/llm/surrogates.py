@@ -1,7 +1,7 @@
 """Personal data replaced by surrogates.
 
-Entities are found by patterns: email addresses, IPv4 addresses, card numbers, social security numbers, phone
-numbers, long hexadecimal secrets, and names behind a title. Each gets a replacement of its own kind, drawn from
+Entities are found by patterns: email addresses, IPv4 and IPv6 addresses, card numbers, social security numbers,
+phone numbers, long hexadecimal secrets, and names behind a title (any number of parts, initials and particles). Each gets a replacement of its own kind, drawn from
 a keyed hash of its type and normal form, so the same entity has the same surrogate in every document and
 writing (coreference), and without the key nobody can go back:
 
@@ -35,17 +35,32 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 MALE = ("Mr", "Herr", "Señor", "Monsieur", "Господин")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Госпожа")
 _TITLE = "(?:" + "|".join((*MALE, *FEMALE)) + r")\.? "
-_NAME = r"\p{Lu}[\p{Ll}]{1,24}+"
+#: A part of a name: `McDonald`, `O'Brien`, `Smith-Jones`, `JOHN`, `J.`, `J.R.R.`; the 's of a genitive is none.
+_MARKS = r"\p{L}\p{M}"
+_NAME = (
+    rf"(?:(?:\p{{Lu}}\.-?)++(?![{_MARKS}])|(?:\p{{Lu}}\.)*+(?:[dDlL]['’])?\p{{Lu}}[{_MARKS}]*+"
+    rf"(?:['’](?!(?i:s|ll|ve|re|d|m)(?![{_WORD}]))[{_MARKS}]++|[\-‐‑][{_MARKS}]++)*+){_END}"
+)
+_PARTICLE = (
+    "(?:(?:van|von|vom|der|den|de|du|da|di|do|dos|das|del|della|la|le|el|al|bin|ibn|ben|ter|ten|te|zu|zur|zum|af|av|y|e|und)"
+    " ){0,4}+"
+)
+_HEX4 = "[0-9a-fA-F]{1,4}"
 
 PATTERNS = {
     "email": rf"(?<![{_WORD}._%+\-])[{_WORD}._%+\-]{{1,64}}+@[{_WORD}\-]{{1,63}}+(?:\.[{_WORD}\-]{{1,63}}+){{1,8}}+",
     "secret": rf"{_EDGE}[0-9a-fA-F]{{32,128}}+{_END}",
     "ip": rf"(?<![{_WORD}_.])(?:{_OCTET}\.){{3}}{_OCTET}(?![{_WORD}_]|\.[0-9])",
-    "card": rf"{_EDGE}(?:[0-9]{{4}}([ \-])[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{4}}|[0-9]{{13,16}}){_END}",
+    "ip6": rf"(?<![{_WORD}_])(?<![0-9a-fA-F]:)(?:(?:{_HEX4}:){{7}}{_HEX4}|[23fF][0-9a-fA-F]{{3}}(?::{_HEX4}){{0,6}}::"
+           rf"(?:{_HEX4}(?::{_HEX4}){{0,5}})?)(?![{_WORD}_:])",
+    "card": rf"{_EDGE}(?:[0-9]{{4}}([ \-])[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{4}}(?:\1[0-9]{{3}})?"
+            rf"|[0-9]{{4}}(?:-[0-9]{{6}}-| [0-9]{{6}} )[0-9]{{5}}|[0-9]{{13,19}}){_END}",
     "ssn": rf"{_EDGE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_END}",
     "phone": rf"(?<![{_WORD}_+])(?:(?:\+?[0-9]{{1,3}}[ .\-]?)?\([0-9]{{3}}\)[ .\-]?|(?:\+?[0-9]{{1,3}}[ .\-])?[0-9]{{3}}[ .\-])"
-             rf"[0-9]{{3}}[ .\-][0-9]{{4}}{_END}",
-    "person": rf"{_EDGE}{_TITLE}{_NAME}(?: {_NAME})?{_END}",
+             rf"[0-9]{{3}}[ .\-][0-9]{{4}}{_END}"
+             rf"|(?<![{_WORD}_+])(?:[0-9]{{1,3}}[ .\-])?[0-9]{{10}}{_END}"
+             rf"|(?<![{_WORD}_+])\+[0-9](?:[ .\-/()]{{0,2}}[0-9]){{7,14}}{_END}",
+    "person": rf"{_EDGE}{_TITLE}{_PARTICLE}{_NAME}(?: {_PARTICLE}{_NAME})*+",
 }
 ANY = "|".join(PATTERNS.values())
 
@@ -77,7 +92,7 @@ def found(text: Column) -> Column:
 
 def type_of(entity: Column) -> Column:
     out = F.lit("person")
-    for name in ("phone", "ssn", "card", "ip", "secret", "email"):
+    for name in ("phone", "ssn", "card", "ip6", "ip", "secret", "email"):
         pattern = "@" if name == "email" else f"^(?:{PATTERNS[name]})$"
         out = F.when(entity.rlike(pattern), F.lit(name)).otherwise(out)
     return out
@@ -153,7 +168,7 @@ def drawn(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
         )
         return (
             F.when(kind == "ip", ip).when(kind == "person", _person(norm, stream, family))
-            .when(kind == "secret", _drawn(norm, stream, _HEX))
+            .when(kind.isin("secret", "ip6"), _drawn(norm, stream, _HEX))
             .when(kind == "card", F.concat(F.substring(norm, 1, 1), _drawn(F.substring(norm, 2, 99), stream, _SCRIPTS)))
             .otherwise(_drawn(norm, stream, _SCRIPTS))
         )
@@ -208,7 +223,8 @@ def _collision_free(entities: DataFrame, key: str) -> DataFrame:
     def losers(fresh: DataFrame, kept: DataFrame | None) -> DataFrame:
         best = fresh.groupBy("kind", "surrogate").agg(F.min("norm").alias("best"))
         checked = fresh.join(best, ["kind", "surrogate"]).join(
-            originals.withColumnRenamed("original", "surrogate").withColumn("theirs", F.lit(True)), ["kind", "surrogate"], "left"
+            originals.withColumnRenamed("kind", "their_kind").withColumn("theirs", F.lit(True)),
+            (F.col("kind") == F.col("their_kind")) & (F.lower("surrogate") == F.col("original")), "left",
         )
         bad = (F.col("norm") != F.col("best")) | F.col("theirs").isNotNull()
         if kept is not None:
