@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, contamination, language, quality, sharding, similar_sets, surrogates, token_counts, toxicity, url_rules
+from pairloom.llm import (
+    bpe, contamination, filter_audit, hard_negatives, language, packing, quality, sharding, similar_sets, surrogates,
+    token_counts, toxicity, url_rules,
+)
 from pairloom.llm.shared import documents
 
 TOKEN_LIMIT = 1024
@@ -118,6 +121,27 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"
+    )
+    # a sequence is one piece, so that no sequence crosses documents
+    return packing.bucketed(found).withColumn("offset", F.lit(0).cast("bigint"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = hard_negatives.usable(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    moved = F.coalesce(F.col("id") % 7 == 0, F.lit(False)) & (F.col("id") != hard_negatives.NO_ID)
+    vectors = vectors.withColumn("label", F.when(moved, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_surrogates": op2_surrogates,
@@ -129,6 +153,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_quality_cascade": op10_quality_cascade,
+    "op11_packing": op11_packing,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
@@ -222,4 +249,76 @@ ORACLES: dict[str, str] = {
                 AND 10 * n_dup_lines <= n AS kept
         FROM judged
     """,
+    "op12_filter_audit": r"""
+        WITH orders AS (
+            SELECT a || b || c || d || e AS filter_order FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) t1(a),
+                (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) t2(b), (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) t3(c),
+                (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) t4(d), (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) t5(e)
+            WHERE len(list_distinct([a, b, c, d, e])) = 5
+        ),
+        steps AS (
+            SELECT filter_order, step::INTEGER AS step, filter_order[step:step] AS own, filter_order[1:step - 1] AS before
+            FROM orders, range(1, 6) r(step)
+        ),
+        texts AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+                min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+            FROM documents
+        ),
+        known AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+        fails AS (
+            SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad,
+                CASE WHEN len(words) < 100 THEN 'A' ELSE '' END
+                || CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END
+                || CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text)
+                    THEN 'C' ELSE '' END
+                || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+                || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS failed
+            FROM texts LEFT JOIN known USING (doc_id)
+        ),
+        counts AS (
+            SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+            FROM fails GROUP BY ALL
+        )
+        SELECT part, filter_order, step,
+            coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+            coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+            coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+            coalesce(sum(n) FILTER (failed = own), 0)::BIGINT AS unique_fails,
+            coalesce(sum(good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost,
+            coalesce(sum(bad) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost,
+            coalesce(sum(n * 120 // greatest(length(failed), 1)) FILTER (hit), 0)::BIGINT AS shapley
+        FROM (
+            SELECT counts.*, steps.*, contains(failed, own) AS hit,
+                len(list_filter(string_split(before, ''), lambda f: f <> '' AND contains(failed, f))) > 0 AS gone
+            FROM counts, steps
+        )
+        GROUP BY part, filter_order, step
+    """,
+    "op13_hard_negatives": """
+        WITH rows AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+                list_dot_product(a.v, c.v)::BIGINT AS score
+            FROM (SELECT DISTINCT * FROM rows WHERE vec_id % 100 = 0) a, rows c
+        ),
+        positives AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored
+            WHERE same AND id IS DISTINCT FROM anchor_id
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id NULLS LAST) <= 5
+        )
+        SELECT p.anchor_id, positive_id,
+            (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.id NULLS LAST))::INTEGER AS rank,
+            n.id AS negative_id, positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+            AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
 }
