@@ -20,7 +20,7 @@ from catalog.tables import (
 from pairloom.config import IGNORED_LABEL, PrepareConfig
 from pairloom.functions import text as tx
 from pairloom.functions.arrays import digest, digest_rows, pad_right
-from pairloom.operators import accuracy, batches, chunks, cleaning, fidelity, shards
+from pairloom.operators import accuracy, batches, chunks, cleaning, fidelity, shards, terms
 from pairloom.operators import prepare as prep
 from pairloom.operators import split as splits
 from pairloom.operators import validate as valid
@@ -403,7 +403,7 @@ def number_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fidelity.term_loss(lossy_pairs(spark, sf_dir), "doc_id", lexicon(spark), unspaced=("es",))
+    return terms.term_loss(lossy_pairs(spark, sf_dir), "doc_id", lexicon(spark), unspaced=("es",))
 
 
 def structure_loss(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,10 +62,15 @@ def occurrences(text: Column, term: Column) -> Column:
 def multiset_excess(items: Column, other: Column) -> Column:
     """How many items are left of ``items`` when each item of ``other`` cancels one equal item.
 
-    Both arrays belong to one row, so this needs no shuffle. The two are sorted together, with
-    ``other`` first among equals, and one fold over the result keeps a balance per value: the
-    cost is that of the sort, however often one value repeats.
+    Both arrays belong to one row, so this needs no shuffle. Where no item repeats it is a set
+    difference. Else the two are sorted together, with ``other`` first among equals, and one fold over
+    the result keeps a balance per value: the cost is that of the sort, however often one value repeats.
     """
+    unique = F.size(F.array_distinct(items)) == F.size(items)
+    return F.when(unique, F.size(F.array_except(items, other))).otherwise(_folded_excess(items, other))
+
+
+def _folded_excess(items: Column, other: Column) -> Column:
     tagged = F.array_sort(
         F.concat(
             F.transform(other, lambda v: F.struct(v.alias("v"), F.lit(0).alias("side"))),

@@ -1,13 +1,10 @@
-"""What cleaning lost: numbers, terms, structure, endings; and what it repeated.
+"""What cleaning lost: numbers, structure, endings; and what it repeated. Lost terms are in ``terms.py``.
 
-Each pair is judged on its own, so nearly all of this is row-local; only the terms of a lexicon that
-occur are ever shuffled.
+Each pair is judged on its own, so all of this is row-local.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,83 +56,6 @@ def ending_kept() -> Column:
     return F.contains(F.col(CLEAN), tx.last_line(F.col(RAW)))
 
 
-def term_loss(
-    df: DataFrame, key: str, lexicon: DataFrame, unspaced: Sequence[str] = ("zh",)
-) -> DataFrame:
-    """``key, lang, kind, n_raw, n_clean, lost`` for pairs where a term of the lexicon occurs.
-
-    ``lexicon`` is ``lang, kind, term``: terms in lower case; repeated rows count once. Words are compared
-    whole. In languages that put no spaces between words (``unspaced``) a term counts wherever it occurs,
-    without overlap with itself. The texts are read once and not shuffled, only the terms found in them;
-    a lexicon of any size is joined, a frequent term is split by the adaptive skew join.
-    """
-    listed = lexicon.select("lang", "kind", "term").where("term <> ''").distinct()
-    spaced = ~F.col("lang").isin(*unspaced) if unspaced else F.lit(True)
-    sizes = [r[0] for r in listed.where(~spaced).select(F.char_length("term")).distinct().collect()]
-    found = F.concat(_words(RAW, 0), _words(CLEAN, 1))
-    if sizes:
-        found = F.when(spaced, found).otherwise(F.concat(*[_runs(side, i, n) for i, side in enumerate((RAW, CLEAN)) for n in sizes]))
-    terms = df.select(key, "lang", F.inline(found)).join(listed, ["lang", "term"])
-    per_pair = terms.groupBy(key, "lang", "kind").agg(
-        F.array_sort(F.collect_list(F.struct("term", "side", "place", "size"))).alias("_found")
-    )
-    return per_pair.select(key, "lang", "kind", _tally(F.col("_found")).alias("_n")).select(key, "lang", "kind", "_n.*")
-
-
-def _words(side: str, number: int) -> Column:
-    """Every word: ``term, side, place, size``, places apart by one."""
-    return F.transform(
-        F.coalesce(tx.words(F.col(side)), F.array().cast("array<string>")),
-        lambda w, i: F.struct(w.alias("term"), F.lit(number).alias("side"), i.alias("place"), F.lit(1).alias("size")),
-    )
-
-
-def _runs(side: str, number: int, size: int) -> Column:
-    """Every run of ``size`` characters."""
-
-    def cut(chars: Column) -> Column:
-        n = F.size(chars) - size
-        return F.transform(
-            F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>")),
-            lambda i: F.struct(
-                F.array_join(F.slice(chars, i + 1, F.lit(size)), "").alias("term"), F.lit(number).alias("side"),
-                i.alias("place"), F.lit(size).alias("size"),
-            ),
-        )
-
-    # bound once: a lambda would split the text anew for every run
-    return F.flatten(F.transform(F.array(F.split(F.lower(F.coalesce(F.col(side), F.lit(""))), "")), cut))
-
-
-def _tally(found: Column) -> Column:
-    """``n_raw, n_clean, lost`` of occurrences sorted by term, side and place; overlapping ones count once."""
-    zero = F.lit(0).cast("bigint")
-    start = F.struct(
-        F.lit(None).cast("string").alias("term"), F.lit(-1).alias("side"), F.lit(0).alias("end"), zero.alias("r"),
-        zero.alias("c"), zero.alias("n_raw"), zero.alias("n_clean"), zero.alias("lost"),
-    )
-
-    def step(s: Column, x: Column) -> Column:
-        same = F.coalesce(s["term"] == x["term"], F.lit(False))
-        new = ~same | (s["side"] != x["side"]) | (x["place"] >= s["end"])
-        raw, one = x["side"] == 0, F.when(new, 1).otherwise(0).cast("bigint")
-        return F.struct(
-            x["term"].alias("term"), x["side"].alias("side"),
-            F.when(new, x["place"] + x["size"]).otherwise(s["end"]).alias("end"),
-            (F.when(same, s["r"]).otherwise(zero) + F.when(raw, one).otherwise(zero)).alias("r"),
-            (F.when(same, s["c"]).otherwise(zero) + F.when(raw, zero).otherwise(one)).alias("c"),
-            (s["n_raw"] + F.when(raw, one).otherwise(zero)).alias("n_raw"),
-            (s["n_clean"] + F.when(raw, zero).otherwise(one)).alias("n_clean"),
-            (s["lost"] + F.when(same, zero).otherwise(F.greatest(s["r"] - s["c"], zero))).alias("lost"),
-        )
-
-    def close(s: Column) -> Column:
-        last = F.greatest(s["r"] - s["c"], zero)
-        return F.struct(s["n_raw"].alias("n_raw"), s["n_clean"].alias("n_clean"), (s["lost"] + last).alias("lost"))
-
-    return F.aggregate(found, start, step, close)
-
-
 def fidelity_summary(df: DataFrame) -> DataFrame:
     """The row-local measures per language and, marked ``is_total``, over all: one scan."""
     # each text is searched once per pattern: the arrays are columns of their own
@@ -167,7 +87,7 @@ def fidelity_summary(df: DataFrame) -> DataFrame:
 
 
 def term_summary(losses: DataFrame) -> DataFrame:
-    """:func:`term_loss` per language and kind and, marked ``is_total``, per kind over all."""
+    """:func:`pairloom.operators.terms.term_loss` per language and kind and, marked ``is_total``, per kind over all."""
     return losses.groupingSets([["lang", "kind"], ["kind"]], "lang", "kind").agg(
         (F.grouping("lang") == 1).alias("is_total"), F.sum("n_raw").alias("n_raw"), F.sum("lost").alias("lost")
     )

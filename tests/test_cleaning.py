@@ -1,9 +1,11 @@
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pairloom.config import CleanOptions
-from pairloom.operators import chunks, fidelity
+from pairloom.operators import chunks, fidelity, terms
 from pairloom.operators.cleaning import RuleCleaner, WorkerCleaner, clean_texts, run_cases
 
 @pytest.mark.parametrize("rule, raw, cleaned", [
@@ -154,31 +156,63 @@ def test_duplicated_lines(pairs_of):
     assert rows == {("b", 2, 3), ("c", 0, 1)}
 
 
-@pytest.mark.parametrize("threshold", ["10m", "-1"])
-def test_term_loss_with_either_join(spark, pairs_of, threshold):
-    terms = [("en", "negation", "not"), ("en", "negation", "no"), ("en", "hedge", "may"), ("fr", "hedge", "may")]
-    lexicon = spark.createDataFrame(terms, "lang string, kind string, term string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+@pytest.mark.parametrize("part_bytes", [1 << 20, 40])
+def test_term_loss(spark, pairs_of, monkeypatch, part_bytes):
+    monkeypatch.setattr(terms, "LEXICON_BYTES", part_bytes)  # the small one makes a part of every term or two
+    listed = [("en", "negation", "not"), ("en", "negation", "no"), ("en", "hedge", "may"), ("fr", "hedge", "may"),
+              ("en", "hedge", "may"), ("en", "hedge", None), ("en", "hedge", ""), (None, "hedge", "may")]
+    lexicon = spark.createDataFrame(listed, "lang string, kind string, term string")
     df = pairs_of(
-        ("en", "Not, no no; may! nothing", "no may may"), ("en", "plain", "not"), ("fr", "no may", "no"), ("en", "", "")
+        ("en", "Not, no no; may! nothing", "no may may"), ("en", "plain", "not"), ("fr", "no may", "no"), ("en", "", ""),
+        (None, "may", ""), ("en", None, "may"), ("en", "may", None), ("de", "may", ""),
     )
-    rows = fidelity.term_loss(df, "id", lexicon, unspaced=()).collect()
-    got = {(r["id"], r["kind"]): (r["n_raw"], r["n_clean"], r["lost"]) for r in rows}
+    losses = terms.term_loss(df, "id", lexicon, unspaced=())
+    got = {(r["id"], r["kind"]): (r["n_raw"], r["n_clean"], r["lost"]) for r in losses.collect()}
     assert got == {
         (0, "negation"): (3, 1, 2), (0, "hedge"): (1, 2, 0), (1, "negation"): (0, 1, 0), (2, "hedge"): (1, 0, 1),
+        (5, "hedge"): (0, 1, 0), (6, "hedge"): (1, 0, 1),
     }
-    total = {(r["lang"], r["kind"], r["is_total"]): r["lost"] for r in fidelity.term_summary(fidelity.term_loss(df, "id", lexicon, ())).collect()}
+    total = {(r["lang"], r["kind"], r["is_total"]): r["lost"] for r in fidelity.term_summary(losses).collect()}
     assert total == {
-        ("en", "negation", False): 2, ("en", "hedge", False): 0, ("fr", "hedge", False): 1,
-        (None, "negation", True): 2, (None, "hedge", True): 1,
+        ("en", "negation", False): 2, ("en", "hedge", False): 1, ("fr", "hedge", False): 1,
+        (None, "negation", True): 2, (None, "hedge", True): 2,
     }
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_word_is_shuffled_for_terms(spark, pairs_of):
+    lexicon = spark.createDataFrame([("en", "hedge", "may")], "lang string, kind string, term string")
+    found = terms.term_loss(pairs_of(("en", "may", "")), "id", lexicon)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" in plan
+
+
+def test_an_empty_lexicon_finds_nothing(spark, pairs_of):
+    lexicon = spark.createDataFrame([], "lang string, kind string, term string")
+    assert terms.term_loss(pairs_of(("en", "may", "")), "id", lexicon).collect() == []
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_finder_equals_a_search_per_term(whole):
+    rng = random.Random(3)
+    words = ["a", "ab", "aba", "b a", "né", "9", "不"]
+    for _ in range(200):
+        text = "".join(rng.choice("ab é不9n,") for _ in range(rng.randrange(40)))
+        expect = {}
+        for word in words:
+            at = n = 0
+            while (at := text.find(word, at)) >= 0:
+                end = at + len(word)
+                touched = whole and (text[at - 1 : at].isalnum() or text[end : end + 1].isalnum())
+                n, at = (n, at + 1) if touched else (n + 1, end)
+            if n:
+                expect[word] = n
+        assert terms.Finder(words, whole).count(text) == expect
 
 
 def test_terms_without_spaces(spark, pairs_of):
     lexicon = spark.createDataFrame([("zh", "negation", "不"), ("zh", "hedge", "可能")], "lang string, kind string, term string")
     df = pairs_of(("zh", "他不不可能来", "他可能来"), ("zh", "无", "无"))
-    rows = fidelity.term_loss(df, "id", lexicon).collect()
+    rows = terms.term_loss(df, "id", lexicon).collect()
     assert {(r["id"], r["kind"]): r["lost"] for r in rows} == {(0, "negation"): 2, (0, "hedge"): 0}
 
 
