@@ -17,7 +17,7 @@ from catalog.tables import (
     lossy_pairs,
     pairs,
 )
-from pairloom.config import IGNORED_LABEL, PrepareConfig
+from pairloom.config import IGNORED_LABEL, MAX_INPUT, PrepareConfig
 from pairloom.functions import text as tx
 from pairloom.functions.arrays import digest, digest_rows, pad_right
 from pairloom.operators import accuracy, batches, chunks, cleaning, fidelity, shards, terms
@@ -335,7 +335,10 @@ def attention_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def collate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = batches.collate(_batched(spark, sf_dir))
+    """Batches formed from lengths; the texts are tokenised behind the shuffle."""
+    length = F.least(prep.BYTES.count(prep.model_input()), F.lit(MAX_INPUT))
+    batched = batches.length_batches(pairs(spark, sf_dir).withColumn("length", length), "doc_id", BATCH, MEGA)
+    df = batches.collate_texts(batched)
     return df.select(
         "batch_id",
         F.size("input_ids").cast("bigint").alias("n_rows"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.config import IGNORED_LABEL
 from pairloom.functions.arrays import argmax_ids
+from pairloom.session import ship_package
 
 
 def with_argmax(df: DataFrame, logits: str = "logits", name: str = "predictions") -> DataFrame:
@@ -14,14 +17,44 @@ def with_argmax(df: DataFrame, logits: str = "logits", name: str = "predictions"
     return df.withColumn(name, argmax_ids(F.col(logits))).drop(logits)
 
 
-def hits(predictions: Column, labels: Column, ignore: int = IGNORED_LABEL) -> Column:
-    """Positions that count and are predicted right, in one row."""
-    right = F.zip_with(predictions, labels, lambda p, y: (y != ignore) & (p == y))
-    return F.size(F.filter(right, lambda x: x))
+def _counts(ignore: int):
+    @F.arrow_udf("struct<h: bigint, c: bigint>")
+    def counts(predictions: pa.Array, labels: pa.Array) -> pa.Array:
+        from pairloom.operators.accuracy import count_batch
 
+        return count_batch(predictions, labels, ignore)
 
-def counted(labels: Column, ignore: int = IGNORED_LABEL) -> Column:
-    return F.size(F.filter(labels, lambda y: y != ignore))
+    return counts
+
+
+def count_batch(predictions: pa.Array, labels: pa.Array, ignore: int) -> pa.Array:
+    """Per row the positions that count and are predicted right (`h`), and those that count (`c`).
+
+    Whole batches are compared as two lines of numbers. A null sequence has no count; a null in one is
+    like an ignored label, or a wrong prediction.
+    """
+    n_p, n_y = (np.asarray(x.value_lengths().fill_null(0), np.int64) for x in (predictions, labels))
+    p, y = (np.asarray(x.flatten().fill_null(ignore)) for x in (predictions, labels))
+    counting = y != ignore
+    if (n_p == n_y).all():
+        right = counting & (p == y)
+    else:
+        row = np.repeat(np.arange(len(n_y)), n_y)
+        place = np.arange(len(y)) - np.repeat(np.cumsum(n_y) - n_y, n_y)
+        at = np.flatnonzero(place < n_p[row])
+        right = np.zeros(len(y), bool)
+        right[at] = counting[at] & (p[(np.cumsum(n_p) - n_p)[row[at]] + place[at]] == y[at])
+    ends = np.cumsum(n_y)
+
+    def per_row(flags: np.ndarray) -> np.ndarray:
+        total = np.concatenate(([0], np.cumsum(flags)))
+        return total[ends] - total[ends - n_y]
+
+    no_y = np.asarray(labels.is_null())
+    none = no_y | np.asarray(predictions.is_null())
+    return pa.StructArray.from_arrays(
+        [pa.array(per_row(right), mask=none), pa.array(per_row(counting), mask=no_y)], ["h", "c"]
+    )
 
 
 def masked_token_accuracy(
@@ -33,12 +66,11 @@ def masked_token_accuracy(
     shorter one count as wrong where the label counts.
     """
     p, y = F.col(predictions), F.col(labels)
-    rows = df.select(
-        hits(p, y, ignore).alias("h"), counted(y, ignore).alias("c"), (F.size(p) != F.size(y)).alias("m")
-    )
+    ship_package(df.sparkSession)
+    rows = df.select(_counts(ignore)(p, y).alias("n"), (F.size(p) != F.size(y)).alias("m"))
     sums = rows.agg(
-        F.coalesce(F.sum("h"), F.lit(0)).alias("n_hits"),
-        F.coalesce(F.sum("c"), F.lit(0)).alias("n_counted"),
+        F.coalesce(F.sum("n.h"), F.lit(0)).alias("n_hits"),
+        F.coalesce(F.sum("n.c"), F.lit(0)).alias("n_counted"),
         F.count_if("m").alias("mismatched"),
     )
     return sums.withColumn(

@@ -2,7 +2,8 @@
 
 Both offer ``encode(text, budget)``, a column ``struct<n, ids>``: the length before any cut and the
 ids, cut to the budget with the end marker kept as last id. ``count(text)`` is the length alone.
-``identity()`` is what a fingerprint of prepared data must depend on.
+``identity()`` is what a fingerprint of prepared data must depend on. ``worker()`` is the tokenizer as
+pickled factory, for operators whose Python functions tokenise themselves.
 """
 
 from __future__ import annotations
@@ -12,16 +13,18 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import tokens
+from pairloom.session import ship_package
 
 
 @dataclass(frozen=True)
 class ByteTokenizer:
-    """UTF-8 bytes as ids; no Python involved."""
+    """UTF-8 bytes as ids; lengths are known without building them."""
 
     name: str = "utf8-bytes"
     pad_id: int = tokens.PAD_ID
@@ -36,6 +39,34 @@ class ByteTokenizer:
     def identity(self) -> dict[str, Any]:
         return {"name": self.name, "offset": tokens.BYTE_OFFSET, "pad_id": self.pad_id, "eos_id": self.eos_id}
 
+    def worker(self) -> bytes:
+        return pickle.dumps(ByteLibrary)
+
+
+class ByteLibrary:
+    """What a plug-in library is asked for, for bytes."""
+
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(t.encode(), np.uint8).astype(np.int32) + tokens.BYTE_OFFSET for t in texts]
+
+    def count_batch(self, texts: list[str]) -> list[int]:
+        return [len(t) if t.isascii() else len(t.encode()) for t in texts]
+
+
+def count_batch(library: Any, texts: list[str]) -> list[int]:
+    """Tokens of each text, without special ids; a library may count faster than it encodes."""
+    if hasattr(library, "count_batch"):
+        return list(library.count_batch(texts))
+    return [len(ids) for ids in library.encode_batch(texts)]
+
+
+def cut_ids(ids: Any, eos_id: int, budget: int | None) -> np.ndarray:
+    """A sequence of a model: ids with the end marker, cut so that the marker still fits in the budget."""
+    kept = ids if budget is None else ids[: max(budget - 1, 0)]
+    out = np.empty(len(kept) + 1, np.int64)
+    out[:-1], out[-1] = kept, eos_id
+    return out if budget != 0 else out[:0]
+
 
 @dataclass(frozen=True)
 class WorkerTokenizer:
@@ -68,8 +99,12 @@ class WorkerTokenizer:
             "eos_id": self.eos_id,
         }
 
+    def worker(self) -> bytes:
+        return pickle.dumps(self.factory)
+
     def _encoder(self, budget: int | None) -> Callable[[Column], Column]:
-        factory, eos_id = pickle.dumps(self.factory), self.eos_id
+        ship_package(SparkSession.active())
+        factory, eos_id = self.worker(), self.eos_id
 
         def encode(texts: pa.Array) -> pa.Array:
             from pairloom.operators.tokenizers import encode_batch, worker_object
@@ -100,7 +135,6 @@ def encode_batch(library: Any, batch: pa.Array, eos_id: int, budget: int | None)
         if text is None:
             encoded.append(None)
             continue
-        body = list(next(bodies))
-        kept = body if budget is None else body[: max(budget - 1, 0)]
-        encoded.append({"n": len(body) + 1, "ids": kept + [eos_id] if budget != 0 else []})
+        body = next(bodies)
+        encoded.append({"n": len(body) + 1, "ids": cut_ids(body, eos_id, budget).tolist()})
     return pa.array(encoded, ENCODED)

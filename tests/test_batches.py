@@ -1,13 +1,15 @@
 import hashlib
 import math
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pairloom.operators import batches, ranking
 from pairloom.operators import prepare as prep
-from pairloom.operators.accuracy import masked_token_accuracy, with_argmax
+from pairloom.operators.accuracy import count_batch, masked_token_accuracy, with_argmax
 from pairloom.operators.ranking import zoned_rank
 from pairloom.operators.split import shuffle_limit, split_pairs
 from pairloom.sources.pairs import content_key
@@ -142,6 +144,47 @@ def test_row_level_padding_agrees_with_collate(spark):
             assert row["labels"] == r["labels"][pos]
 
 
+def test_texts_are_tokenised_behind_the_shuffle(spark, pairs_of):
+    df = pairs_of(*[("en", "x" * (i * 13 % 40), "é" * (i % 7)) for i in range(50)])
+    tokenised = prep.tokenize_pairs(df, max_input=30, max_target=9, keep=("id",))
+    want = batches.collate(batches.length_batches(tokenised, "id", batch=4, mega=3)).orderBy("batch_id").collect()
+    sized = df.withColumn("length", F.least(prep.BYTES.count(prep.model_input()), F.lit(30)))
+    batched = batches.length_batches(sized, "id", batch=4, mega=3)
+    got = batches.collate_texts(batched, max_input=30, max_target=9)
+    assert got.orderBy("batch_id").collect() == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("FlatMapGroupsInArrow") :]
+    assert below.count("Exchange hashpartitioning(zone") == 1 and "input_ids" not in below.split("\n", 1)[1]
+    assert below.index("Window") < below.index("Exchange")  # nothing is moved after the batches are formed
+
+
+def test_rows_out_of_order_are_refused():
+    def part(*places):
+        z, m, b, p = zip(*places)
+        return pa.RecordBatch.from_pydict({"zone": z, "mega_id": m, "batch_id": b, "pos": p})
+
+    def read(batch):
+        return [(np.ones(2), np.ones(1))] * len(batch)
+
+    fine = [part((0, 0, 0, 0), (0, 0, 0, 1)), part((0, 0, 1, 0))]
+    (record,) = batches.assemble(iter(fine), read, 0, -100, 8)
+    assert record.column(0).to_pylist() == [0, 1]
+    with pytest.raises(RuntimeError, match="out of order"):
+        list(batches.assemble(iter(fine[::-1]), read, 0, -100, 8))
+
+
+@pytest.mark.parametrize("p, y", [
+    ([[1, None], [2]], [[1, -100], None]), ([None, [1, 2]], [[3], [1, 5, 2]]), ([[1, 2, 3], []], [[1], [4]]), ([], []),
+])
+def test_counts_equal_a_loop(p, y):
+    kind = pa.list_(pa.int32())
+    got = count_batch(pa.array(p, kind), pa.array(y, kind), -100).to_pylist()
+    for row, a, b in zip(got, p, y):
+        assert row["c"] == (None if b is None else sum(v not in (None, -100) for v in b))
+        right = None if a is None or b is None else sum(u == v != -100 for u, v in zip(a, b))
+        assert row["h"] == right
+
+
 @pytest.mark.parametrize("wrong", [[], None])
 @pytest.mark.parametrize("column", ["input_ids", "labels"])
 def test_empty_sequences_are_errors(spark, column, wrong):

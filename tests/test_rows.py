@@ -1,3 +1,5 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,12 +45,20 @@ TEXTS = ["", "a", "aé中\n\x00😀", "\x1c \t", "x" * 30]
 
 
 @pytest.mark.parametrize("budget", [None, 1, 2, 5, 31])
-@pytest.mark.parametrize("block", [1 << 16, 3])
-def test_byte_ids(spark, monkeypatch, block, budget):
-    monkeypatch.setattr(tokens, "BLOCK", block)
-    df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+def test_byte_ids(spark, budget):
+    df = spark.createDataFrame([(t,) for t in [None, *TEXTS, None]], "t string").coalesce(1)
     got = [r[0] for r in df.select(byte_ids(F.col("t"), budget)).collect()]
-    assert got == [python_ids(t, budget) for t in TEXTS]
+    assert got == [None, *(python_ids(t, budget) for t in TEXTS), None]
+
+
+def test_byte_ids_of_slices():
+    """Nulls over bytes, slices and empty batches."""
+    whole = pa.Array.from_buffers(
+        pa.binary(), 4, [pa.py_buffer(bytes([0b1011])), pa.py_buffer(np.array([0, 1, 2, 4, 4], np.int32)), pa.py_buffer(b"abcd")]
+    )
+    assert tokens.ids_of_bytes(whole).to_pylist() == [[100, 1], [101, 1], None, [1]]
+    assert tokens.ids_of_bytes(whole.slice(1, 2)).to_pylist() == [[101, 1], None]
+    assert tokens.ids_of_bytes(whole.slice(4)).to_pylist() == []
 
 
 def test_budgets_at_their_border(pairs_of):
