@@ -81,16 +81,22 @@ def lang_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs(spark, sf_dir).select("doc_id", F.md5(prep.model_input()).alias("prefixed_md5"))
 
 
+def _tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prep.tokenize_pairs(pairs(spark, sf_dir), max_input=None, max_target=None, keep=("doc_id",))
+
+
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = prep.tokenize_pairs(pairs(spark, sf_dir), max_input=None, max_target=None, keep=("doc_id",))
-    return df.select(
+    return _tokenised(spark, sf_dir).select(
         "doc_id", digest(F.col("input_ids")).alias("input_digest"), digest(F.col("labels")).alias("label_digest")
     )
 
 
+def _truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prep.tokenize_pairs(pairs(spark, sf_dir), keep=("doc_id",))
+
+
 def token_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = prep.tokenize_pairs(pairs(spark, sf_dir), keep=("doc_id",))
-    return df.select("doc_id", F.col("length").cast("bigint").alias("length"))
+    return _truncated(spark, sf_dir).select("doc_id", F.col("length").cast("bigint").alias("length"))
 
 
 def budget_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,8 +104,7 @@ def budget_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truncate_to_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = prep.tokenize_pairs(pairs(spark, sf_dir), keep=("doc_id",))
-    return df.select(
+    return _truncated(spark, sf_dir).select(
         "doc_id",
         F.array_size("input_ids").cast("bigint").alias("n_input"),
         F.array_size("labels").cast("bigint").alias("n_label"),
@@ -334,12 +339,15 @@ def attention_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "batch_id", digest(F.col("attention_mask")).alias("mask_digest"))
 
 
-def collate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _collated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches formed from lengths; the texts are tokenised behind the shuffle."""
     length = F.least(prep.BYTES.count(prep.model_input()), F.lit(MAX_INPUT))
     batched = batches.length_batches(pairs(spark, sf_dir).withColumn("length", length), "doc_id", BATCH, MEGA)
-    df = batches.collate_texts(batched)
-    return df.select(
+    return batches.collate_texts(batched)
+
+
+def collate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _collated(spark, sf_dir).select(
         "batch_id",
         F.size("input_ids").cast("bigint").alias("n_rows"),
         digest_rows(F.col("input_ids")).alias("input_digest"),
@@ -437,3 +445,6 @@ QUERIES = {
         term_loss, structure_loss, ending_kept, fidelity_summary,
     )
 }
+
+#: The operators' own results, where the queries above only give checksums of them for the comparison with SQL.
+PLAIN = {"tokenize": _tokenised, "truncate_to_budget": _truncated, "collate": _collated}
