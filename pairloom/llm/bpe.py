@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 from struct import pack
 
 import numpy as np
@@ -29,7 +30,7 @@ REMEMBERED = 250_000
 #: Characters of texts whose pieces are held at once; one text may go beyond it.
 HELD = 1 << 21
 #: Pairs of tokens whose fit is remembered.
-FITS_KEPT = 200_000
+FITS_KEPT = 500_000
 
 
 class Vocabulary:
@@ -39,12 +40,8 @@ class Vocabulary:
         self.ranks = ranks
         self.of_id = {i: token for token, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        tails: dict[bytes, set[int]] = {}
-        for token in ranks:
-            tails.setdefault(token[-3:], set()).add(len(token))
-        #: lengths of the tokens with these last three bytes (or of this whole token), the longest first
-        self.lengths = {tail: tuple(sorted(sizes, reverse=True)) for tail, sizes in tails.items()}
-        self._fits: dict[tuple[int | None, int], bool] = {}
+        self._fits: dict[int, dict[int | None, bool]] = {}  # by token, then by the token before it
+        self._n_fits = 0
         self._halves: dict[int, tuple[int, int] | None] = {}
 
     @classmethod
@@ -92,13 +89,56 @@ class Vocabulary:
 
     def fits(self, before: int | None, token: int) -> bool:
         """Whether ``token`` may follow ``before`` (None: the start), which ends a valid encoding."""
-        known = self._fits.get((before, token))
-        if known is None:
+        return self.learn(before, token, self.followed(token))
+
+    def followed(self, token: int) -> dict[int | None, bool]:
+        """What is known of ``token`` behind other tokens."""
+        return self._fits.setdefault(token, {})
+
+    def learn(self, before: int | None, token: int, known: dict[int | None, bool]) -> bool:
+        """:meth:`fits`, with the answers known of ``token``; remembers FITS_KEPT answers in all."""
+        found = known.get(before)
+        if found is None:
             made = len(self.of_id[token]) == 1 or self.halves(token) is not None
-            known = made and (before is None or self._stays(before, token))
-            if len(self._fits) < FITS_KEPT:
-                self._fits[before, token] = known
-        return known
+            found = made and (before is None or self._stays(before, token))
+            if self._n_fits >= FITS_KEPT:
+                for answers in self._fits.values():
+                    answers.clear()
+                self._n_fits = 0
+            known[before] = found
+            self._n_fits += 1
+        return found
+
+
+class Endings:
+    """The tokens that end at each byte of a text, by an automaton whose states are compiled when first met.
+
+    The state is the longest ending of the bytes read that begins a token, so every token that ends here is an
+    ending of it.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.heads = {token[:i] for token in vocabulary.ranks for i in range(1, len(token) + 1)}
+        self.texts, self.numbers = [b""], {b"": 0}
+        #: by state: size, token and what is known of the token, the longest first
+        self.tokens: list[list[tuple[int, int, dict[int | None, bool]]]] = [[]]
+        self.steps: dict[int, int] = {}
+
+    def compile(self, state: int, byte: int) -> int:
+        text = self.texts[state] + bytes((byte,))
+        while text not in self.heads:
+            text = text[1:]
+            if not text:
+                raise ValueError(f"no token of the vocabulary begins with byte {byte}")
+        number = self.numbers.get(text)
+        if number is None:
+            number = self.numbers[text] = len(self.texts)
+            self.texts.append(text)
+            ending = [(len(text) - i, self.vocabulary.ranks.get(text[i:])) for i in range(len(text))]
+            self.tokens.append([(n, t, self.vocabulary.followed(t)) for n, t in ending if t is not None])
+        self.steps[state << 8 | byte] = number
+        return number
 
 
 class PrefixTable:
@@ -153,34 +193,38 @@ class PrefixTable:
         return out[::-1]
 
 
-def encode_pieces(vocabulary: Vocabulary, pieces: list[bytes]) -> Iterator[list[int]]:
+def encode_pieces(endings: Endings, pieces: list[bytes]) -> Iterator[list[int]]:
     """Ids of each piece. Of sorted pieces, each takes over the table of the one before as far as they agree."""
-    ranks, lengths, fits_known, fits = vocabulary.ranks, vocabulary.lengths, vocabulary._fits, vocabulary.fits
+    learn, ranks = endings.vocabulary.learn, endings.vocabulary.ranks
+    steps, tokens, compile = endings.steps, endings.tokens, endings.compile
     last: list[int | None] = [None]
-    start = [0]
+    start, states = [0], [0]
     before = b""
     for data in pieces:
+        whole = ranks.get(data)
+        if whole is not None:  # a token is its own encoding
+            yield [whole]
+            continue
         same = 0
         for x, y in zip(before, data):
             if x != y:
                 break
             same += 1
-        del last[same + 1 :], start[same + 1 :]
+        del last[same + 1 :], start[same + 1 :], states[same + 1 :]
+        state = states[same]
         for end in range(same + 1, len(data) + 1):
-            tail = data[end - 3 : end] if end > 2 else b""
-            for size in (*lengths.get(tail, ()), 2, 1):
-                at = end - size
-                if at < 0:
-                    continue
-                token = ranks.get(data[at:end])
-                if token is not None:
-                    known = fits_known.get((last[at], token))
-                    if known or known is None and fits(last[at], token):
-                        break
+            byte = data[end - 1]
+            following = steps.get(state << 8 | byte)
+            state = compile(state, byte) if following is None else following
+            for size, token, known in tokens[state]:
+                fit = known.get(last[end - size])
+                if fit or fit is None and learn(last[end - size], token, known):
+                    break
             else:
                 raise ValueError(f"no token of the vocabulary ends prefix {end}")
+            states.append(state)
             last.append(token)
-            start.append(at)
+            start.append(end - size)
         before, out, end = data, [], len(data)
         while end:
             out.append(last[end])
@@ -193,6 +237,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
+        self.endings = Endings(vocabulary)
         self.young: dict[str, bytes] = {}  # ids as 32-bit numbers
         self.old: dict[str, bytes] = {}
 
@@ -201,12 +246,12 @@ class Encoder:
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
         known, old = self.young, self.old
-        unseen = [p for p in set().union(*cut) if p not in known]  # not by views, which walk all of `known`
+        unseen = set(filterfalse(known.__contains__, chain.from_iterable(cut)))
         known.update((p, old[p]) for p in unseen if p in old)
         new = sorted(p.encode() for p in unseen if p not in known)
         if len(new) > REMEMBERED or any(len(p) > 64 for p in new):  # not worth remembering
             known = dict(known)
-        for piece, ids in zip(new, encode_pieces(self.vocabulary, new)):
+        for piece, ids in zip(new, encode_pieces(self.endings, new)):
             known[piece.decode()] = pack(f"={len(ids)}i", *ids)
         return [np.frombuffer(b"".join(map(known.__getitem__, pieces)), np.int32) for pieces in cut]
 
