@@ -9,6 +9,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+_own_folders: dict[str, str] = {}
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -48,9 +49,11 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session, whose executors are this machine, gets a folder of its own where none is named.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="pairloom-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="pairloom-shared-")
+    return _own_folders[context.applicationId]
