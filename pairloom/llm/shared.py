@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,14 +49,40 @@ def worker_table(operator: str, make: Callable, *key):
     """
     name = (operator, make.__name__, *key)
     if name not in _kept:
-        for other in [k for k in _kept if k[0] != operator or k[1] == make.__name__]:
-            del _kept[other]
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        let_go(operator, make.__name__)
         _kept[name] = make(*key)
     return _kept[name]
 
 
+def let_go(operator: str, table: str = "") -> None:
+    """Drop what a Python worker keeps for other operators, and the operator's ``table`` itself.
+
+    Every worker function that has no table of its own calls it first.
+    """
+    others = [k for k in _kept if k[0] != operator or k[1] == table]
+    for other in others:
+        del _kept[other]
+    if others:
+        give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory of a Python worker back to the machine, where its other workers and the JVM need it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc(), "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def _libc() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL(None)
+    except (OSError, TypeError):
+        return None
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z lower-cased and nothing else changed."""
     plain = F.octet_length(text) == F.char_length(text)

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WIDTH = 5
-#: Texts are hashed in pieces of about so many bytes, cut at white space: bounded memory for any length.
+#: Texts are hashed in pieces of so many bytes: bounded memory for any length of text and word.
 PIECE = 1 << 20
 
 _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -37,32 +37,36 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-_UP, _DOWN = _powers(2 * PIECE)
+_UP, _DOWN = _powers(PIECE + 1)
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every word in UTF-8 bytes; A-Z counts as a-z, words end at ASCII white space."""
-    global _UP, _DOWN
-    starts, hashes, at = [], [], 0
-    while at < len(data):
-        end = min(len(data), at + PIECE)
-        while end < len(data):  # to the next white space
-            ahead = np.flatnonzero(_SPACE[data[end : end + PIECE]])
-            if len(ahead):
-                end += int(ahead[0])
-                break
-            end = min(len(data), end + PIECE)
-        part = data[at:end]
-        if len(part) + 1 > len(_UP):
-            _UP, _DOWN = _powers(2 * len(part))
+    """Start and hash of every word in UTF-8 bytes; A-Z counts as a-z, words end at ASCII white space.
+
+    A word's hash is a sum over its bytes, so one that goes on beyond a piece is carried to the next one.
+    """
+    starts, hashes = [], []
+    open_at, open_sum, open_size = -1, 0, 0
+    for at in range(0, len(data), PIECE):
+        part = data[at : at + PIECE]
         solid = np.concatenate(([False], ~_SPACE[part], [False]))
         edge = np.flatnonzero(solid[1:] != solid[:-1])
         first, last = edge[::2], edge[1::2]
         total = np.zeros(len(part) + 1, dtype=np.uint64)
         np.cumsum(_BYTES[part] * _UP[: len(part)], out=total[1:], dtype=np.uint64)
-        starts.append(first + at)
-        hashes.append(mix((total[last] - total[first]) * _DOWN[first] + (last - first).astype(np.uint64)))
-        at = end
+        start, size, sums = first + at, last - first, (total[last] - total[first]) * _DOWN[first]
+        if open_at >= 0 and len(first) and first[0] == 0:  # the open word goes on
+            start[0], size[0] = open_at, size[0] + open_size
+            sums[0] = (open_sum + int(sums[0]) * pow(_BASE, open_size, 1 << 64)) % (1 << 64)
+        elif open_at >= 0:  # it ended with the piece before
+            start, size = np.append(open_at, start), np.append(open_size, size)
+            sums = np.append(np.array([open_sum], np.uint64), sums)
+        open_at = -1
+        if len(last) and last[-1] == len(part) and at + PIECE < len(data):
+            open_at, open_sum, open_size = int(start[-1]), int(sums[-1]), int(size[-1])
+            start, size, sums = start[:-1], size[:-1], sums[:-1]
+        starts.append(start)
+        hashes.append(mix(sums + size.astype(np.uint64)))
     return (np.concatenate(starts), np.concatenate(hashes)) if starts else (np.zeros(0, int), np.zeros(0, np.uint64))
 
 

@@ -28,11 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from pairloom.llm.shared import spare_name, with_workers, worker_table, written
+from pairloom.llm.shared import give_back, let_go, spare_name, with_workers, written
 from pairloom.llm.shingles import mix, shingle_sets
 
 #: The threshold as a percentage: 100 * intersection >= PERCENT * union.
@@ -41,9 +41,12 @@ PERCENT = 75
 STOP_SHARE = 1 / 200
 #: Shingles of one counting range and of one block of texts, about.
 RANGE_TOKENS = 1_000_000
-FLUSH_TOKENS = 1_000_000
-#: Stop shingles that are sent to every task at most. With mean set size m there are at most m / STOP_SHARE.
-MOST_STOPS = 4_000_000
+FLUSH_TOKENS = 500_000
+#: Tasks of a counting step at most; beyond it a task works through several ranges, one after the other.
+MOST_TASKS = 20_000
+#: Stop shingles at most: 8 MB that go to every task. Where more are frequent, the most frequent ones are taken; of
+#: T shingles in all, one that is left out then occurs T / MOST_STOPS times at most.
+MOST_STOPS = 1_000_000
 
 #: Lists of more members carry their prefixes into the second reading; the result does not depend on it.
 LONG_LIST = 32
@@ -65,7 +68,7 @@ def profiles(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_table("similar_sets", dict)  # lets the tables of other operators go
+        let_go("similar_sets")
         for batch in batches:
             sizes, keys, seen = [], [], {}
             for tokens in shingle_sets(batch.column(1)):
@@ -152,6 +155,7 @@ def _blocks(docs: DataFrame, text: str, stops: np.ndarray, parts: int) -> DataFr
         yield pa.RecordBatch.from_pylist(rows, _BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go("similar_sets")
         sets: dict[int, np.ndarray] = {}
         held = 0
         for batch in batches:
@@ -164,6 +168,7 @@ def _blocks(docs: DataFrame, text: str, stops: np.ndarray, parts: int) -> DataFr
                 if held >= FLUSH_TOKENS:
                     yield from flush(sets)
                     sets, held = {}, 0
+                    give_back()
         if sets:
             yield from flush(sets)
 
@@ -181,6 +186,7 @@ def _counted(blocks: DataFrame, buckets: int) -> DataFrame:
     """Of each hash range: the shingles found in two sets or more, with their counts, by bucket of sets."""
 
     def run(table: pa.Table) -> pa.Table:
+        let_go("similar_sets")
         parts: dict[bool, list] = {False: [], True: []}
         for row in table.to_pylist():
             parts[row["stop"]].append(_open(row))
@@ -210,7 +216,8 @@ def _counted(blocks: DataFrame, buckets: int) -> DataFrame:
         columns = list(zip(*rows)) if rows else [[]] * 5
         return pa.table({name: pa.array(c, k) for name, c, k in zip(names, columns, kinds)})
 
-    return blocks.groupBy("part").applyInArrow(run, _SHARED_DDL)
+    # as many partitions as hash ranges: a task holds about one
+    return blocks.repartition(min(buckets, MOST_TASKS), "part").groupBy("part").applyInArrow(run, _SHARED_DDL)
 
 
 _ALIVE = pa.schema([
@@ -219,10 +226,11 @@ _ALIVE = pa.schema([
 ])
 
 
-def _alive(shared: DataFrame, percent: int) -> DataFrame:
+def _alive(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
     """Sets whose prefix holds a shared shingle: size, prefix (and its first position), all shared shingles."""
 
     def run(table: pa.Table) -> pa.Table:
+        let_go("similar_sets")
         kinds = {"key": np.int64, "size": np.int64, "token": np.uint64, "n": np.int64}
         key, size, token, n = (
             np.concatenate([np.frombuffer(x, k) for x in table[c].to_pylist()]) for c, k in kinds.items()
@@ -245,12 +253,13 @@ def _alive(shared: DataFrame, percent: int) -> DataFrame:
                 })
         return pa.Table.from_pylist(rows, _ALIVE)
 
-    return shared.groupBy("bucket").applyInArrow(
+    return shared.repartition(min(buckets, MOST_TASKS), "bucket").groupBy("bucket").applyInArrow(
         run, "key bigint, n bigint, first bigint, prefix array<bigint>, tokens binary"
     )
 
 
 def _overlaps(a: pa.Array, b: pa.Array) -> pa.Array:
+    let_go("similar_sets")
     out = np.empty(len(a), np.int64)
     for i, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist())):
         x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -393,21 +402,29 @@ def _links(alive: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _most_frequent(stops: DataFrame) -> DataFrame:
+    """The tokens of ``stops`` (token, n) above the least count that leaves MOST_STOPS or fewer.
+
+    Any choice gives the same links: the order of shingles only has to be the same for all sets.
+    """
+    by_count = stops.groupBy("n").agg(F.count(F.lit(1)).alias("tokens"))  # one row per count that occurs
+    upto = by_count.withColumn("upto", F.sum("tokens").over(Window.orderBy(F.desc("n"))))
+    least = upto.agg(F.max(F.when(F.col("upto") > MOST_STOPS, F.col("n")))).first()[0]
+    return stops.where(F.col("n") > (least or 0)).select("token")
+
+
 def _labelled(docs: DataFrame, id_col: str, text: str, percent: int) -> tuple[DataFrame, DataFrame]:
     """The profile of every row, and `key` and `label` of the sets that have links."""
     profile = written(profiles(docs, id_col, text), "profile")
     stats = profile.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count_distinct("key").alias("classes")).first()
     stops = (
         profile.where(F.col("common").isNotNull()).select(F.inline("common")).groupBy("token")
-        .agg(F.sum("count").alias("n")).where(F.col("n") > max(2.0, stats["classes"] * STOP_SHARE)).select("token")
+        .agg(F.sum("count").alias("n")).where(F.col("n") > max(2.0, stats["classes"] * STOP_SHARE))
     )
-    n_stops = stops.count()
-    if n_stops > MOST_STOPS:
-        raise ValueError(f"{n_stops} frequent shingles; raise STOP_SHARE")
-    fixed = np.sort(np.array([r[0] for r in stops.toLocalIterator()], np.int64).view(np.uint64))
+    fixed = np.sort(np.array([r[0] for r in _most_frequent(stops).toLocalIterator()], np.int64).view(np.uint64))
     parts = max(1, -(-stats["tokens"] // RANGE_TOKENS))
     blocks = _blocks(docs, text, fixed, parts)
-    alive = written(_alive(_counted(blocks, parts), percent), "alive")
+    alive = written(_alive(_counted(blocks, parts), parts, percent), "alive")
     return profile, components(_links(alive, percent))
 
 

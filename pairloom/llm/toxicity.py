@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from pairloom.llm.shared import with_workers, worker_table
 from pairloom.llm.shingles import mix, text_batches, word_hashes
 
-#: Labelled rows learned from at most (about), and the longest text in bytes among them: the bounds of the sample.
+#: Labelled rows learned from at most, and characters of a text: of a longer one its start, middle and end are
+#: learned from. These are the bounds of the sample.
 SAMPLE_ROWS = 15_000
-SAMPLE_TEXT_BYTES = 32 * 1024
+SAMPLE_TEXT = 32 * 1024
 BITS = 20
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.0
@@ -93,12 +94,20 @@ def sampled(labels: DataFrame, docs: DataFrame, key: str = "doc_id", label: str
     return docs.drop(label).join(F.broadcast(ids), key)
 
 
+def _bounded(text: Column) -> Column:
+    """``text``, or start, middle and end of one with more than SAMPLE_TEXT characters."""
+    n, size = F.char_length(text), SAMPLE_TEXT // 3
+    starts = (F.lit(1), F.floor((n - size) / 2).cast("int"), n - size + 1)
+    parts = [F.substring(text, start, F.lit(size)) for start in starts]
+    return F.when(n <= SAMPLE_TEXT, text).otherwise(F.concat_ws("\n", *parts))
+
+
 def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> dict[int, float]:
     """Weights by feature number from rows with a key, a text and a label of 0 or 1; {} if there are none."""
     with_workers(labelled)
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("label"))
     rows = rows.where(F.col("key").isNotNull() & F.col("label").isNotNull())
-    rows = rows.where(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
+    rows = rows.where(F.col("text").isNotNull()).withColumn("text", _bounded(F.col("text")))
     rows = rows.groupBy("key").agg(F.min("text").alias("text"), F.max("label").cast("int").alias("label"))
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -3,8 +3,10 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pairloom.llm import contamination, sharding, similar_sets
+from pairloom.llm import shingles as hashed
 
 SCHEMA = "doc_id bigint, text string, n bigint, key string, digest string"
 
@@ -61,8 +63,11 @@ def near_copies(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed, long_list, share", [(1, 32, 1 / 200), (2, 2, 1 / 200), (3, 32, 1 / 20), (4, 2, 1 / 4)])
-def test_groups_equal_all_pairs(spark, monkeypatch, seed, long_list, share):
+@pytest.mark.parametrize("seed, long_list, share, most", [
+    (1, 32, 1 / 200, 1000), (2, 2, 1 / 200, 1000), (3, 32, 1 / 20, 1000), (4, 2, 1 / 4, 1000), (5, 32, 1 / 200, 10), (6, 32, 1 / 200, 0),
+])
+def test_groups_equal_all_pairs(spark, monkeypatch, seed, long_list, share, most):
+    monkeypatch.setattr(similar_sets, "MOST_STOPS", most)
     monkeypatch.setattr(similar_sets, "LONG_LIST", long_list)
     monkeypatch.setattr(similar_sets, "STOP_SHARE", share)
     monkeypatch.setattr(similar_sets, "RANGE_TOKENS", 500)
@@ -161,3 +166,24 @@ def test_place_takes_the_highest_dot_product():
     shard = sharding.place(np.array([[4, 4], [4, 1], [1, 4], [1, 1]], float), 2)
     assert shard[0] != shard[1]
     assert len(set(shard)) == 2
+
+
+def test_words_longer_than_a_piece_are_hashed_in_steps(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = ["", " ", "a" * 40, " " + "b" * 16 + " c", "x" * 15 + " ", "x" * 16 + "y"]
+    texts += ["".join(rng.choice(list("ab \n"), 90)) for _ in range(200)]
+    whole = [hashed.word_hashes(np.frombuffer(t.encode(), np.uint8)) for t in texts]
+    monkeypatch.setattr(hashed, "PIECE", 16)
+    for text, (starts, hashes) in zip(texts, whole):
+        got = hashed.word_hashes(np.frombuffer(text.encode(), np.uint8))
+        assert got[0].tolist() == starts.tolist() and got[1].tolist() == hashes.tolist()
+        words = text.lower().split()
+        assert len(starts) == len(words) and len(set(hashes.tolist())) == len(set(words))
+
+
+@pytest.mark.parametrize("most", [0, 3, 1000])
+def test_the_number_of_stop_shingles_is_bounded(spark, monkeypatch, most):
+    monkeypatch.setattr(similar_sets, "MOST_STOPS", most)
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate([9, 9, 8, 7, 7, 7, 3])], "token bigint, n bigint")
+    kept = {r["token"] for r in similar_sets._most_frequent(rows).collect()}
+    assert kept == {0: set(), 3: {0, 1, 2}, 1000: set(range(7))}[most]
