@@ -176,30 +176,37 @@ ORACLES = {
         SELECT doc_id, n::BIGINT AS n_tokens, CASE WHEN raw IS NULL THEN 'bad_text'
             WHEN lang NOT IN ('en', 'fr', 'de') THEN 'bad_lang' WHEN raw = '' THEN 'empty'
             WHEN n > 4096 THEN 'over_budget' ELSE 'ok' END AS status FROM s""",
-    "chunk_pairs": f"""WITH RECURSIVE {PAIRS}, texts AS (
-            SELECT doc_id, lang, raw, CASE WHEN lang = 'es' THEN {keep_lines('clean', 'licen[sc]e|rights reserved')} ELSE clean END AS clean
+    # the lines that cleaning kept are the matched ones; dropped ones stay with the kept line before them
+    "chunk_pairs": f"""WITH RECURSIVE {PAIRS}, split AS (
+            SELECT doc_id, lang, raw, {lines('raw')} AS rl, {lines('clean')} AS cl,
+                list_transform({lines('clean')}, lambda l: NOT (lang = 'es' AND regexp_matches(l, '(?i)licen[sc]e|rights reserved'))) AS kept,
+                1024 - 1 - strlen('<' || lang || '> ') AS room
             FROM pairs
-        ), split AS (
-            SELECT *, {lines('raw')} AS rl, {lines('clean')} AS cl, 1024 - 1 - strlen('<' || lang || '> ') AS room FROM texts
-        ), aligned AS (SELECT * FROM split WHERE len(rl) = len(cl)),
-        walk AS (
-            SELECT doc_id, 1 AS i, 0 AS chunk_no, strlen(rl[1]) AS r, strlen(cl[1]) AS c FROM aligned
+        ), texts AS (
+            SELECT *, coalesce(array_to_string(list_filter(cl, lambda l, i: kept[i]), {NL}), '') AS clean FROM split
+        ), long AS (SELECT * FROM texts WHERE strlen(raw) > room OR strlen(clean) > 767
+        ), placed AS (
+            SELECT doc_id, i, greatest(len(list_filter(kept[1:i], lambda k: k)), 1) AS unit, strlen(rl[i]) + 1 AS r,
+                CASE WHEN kept[i] THEN strlen(cl[i]) + 1 ELSE 0 END AS c
+            FROM (SELECT *, unnest(range(1, len(rl) + 1)) AS i FROM long WHERE list_contains(kept, true))
+        ), units AS (
+            SELECT doc_id, unit, sum(r) AS r, sum(c) AS c FROM placed GROUP BY doc_id, unit
+        ), walk AS (
+            SELECT doc_id, unit, 0 AS chunk_no, r, c FROM units WHERE unit = 1
             UNION ALL
-            SELECT w.doc_id, w.i + 1,
-                w.chunk_no + (w.r + 1 + strlen(a.rl[w.i + 1]) > a.room OR w.c + 1 + strlen(a.cl[w.i + 1]) > 767)::INT,
-                CASE WHEN w.r + 1 + strlen(a.rl[w.i + 1]) > a.room OR w.c + 1 + strlen(a.cl[w.i + 1]) > 767
-                    THEN strlen(a.rl[w.i + 1]) ELSE w.r + 1 + strlen(a.rl[w.i + 1]) END,
-                CASE WHEN w.r + 1 + strlen(a.rl[w.i + 1]) > a.room OR w.c + 1 + strlen(a.cl[w.i + 1]) > 767
-                    THEN strlen(a.cl[w.i + 1]) ELSE w.c + 1 + strlen(a.cl[w.i + 1]) END
-            FROM walk w JOIN aligned a USING (doc_id) WHERE w.i < len(a.rl)
+            SELECT doc_id, u.unit, w.chunk_no + (w.r + u.r - 1 > room OR w.c + u.c - 1 > 767)::INT,
+                u.r + CASE WHEN w.r + u.r - 1 > room OR w.c + u.c - 1 > 767 THEN 0 ELSE w.r END,
+                u.c + CASE WHEN w.r + u.r - 1 > room OR w.c + u.c - 1 > 767 THEN 0 ELSE w.c END
+            FROM walk w JOIN units u USING (doc_id) JOIN long USING (doc_id) WHERE u.unit = w.unit + 1
         ), joined AS (
             SELECT doc_id, chunk_no, any_value(room) AS room, string_agg(rl[i], {NL} ORDER BY i) AS raw,
-                string_agg(cl[i], {NL} ORDER BY i) AS clean
-            FROM walk JOIN aligned USING (doc_id) GROUP BY doc_id, chunk_no)
+                coalesce(string_agg(cl[i], {NL} ORDER BY i) FILTER (kept[i]), '') AS clean
+            FROM walk JOIN placed USING (doc_id, unit) JOIN long USING (doc_id) GROUP BY doc_id, chunk_no)
         SELECT doc_id, chunk_no::BIGINT AS chunk_no,
             CASE WHEN strlen(raw) > room OR strlen(clean) > 767 THEN 'over_budget' ELSE 'ok' END AS status,
             md5(raw) AS raw_md5, md5(clean) AS clean_md5 FROM joined
-        UNION ALL SELECT doc_id, 0, 'unaligned', md5(raw), md5(clean) FROM split WHERE len(rl) <> len(cl)""",
+        UNION ALL SELECT doc_id, 0, 'ok', md5(raw), md5(clean) FROM texts WHERE strlen(raw) <= room AND strlen(clean) <= 767
+        UNION ALL SELECT doc_id, 0, 'unaligned', md5(raw), md5(clean) FROM long WHERE NOT list_contains(kept, true)""",
     "strip_text": f"""SELECT doc_id, md5(trim(' ' || chr(12288) || chr(10) || chr(28) || text || chr(8233) || chr(133)
         || chr(160), {SPACES})) AS stripped_md5 FROM documents""",
     "empty_passthrough": """SELECT doc_id, CASE WHEN lang IN ('en', 'fr') THEN 'ok' ELSE 'empty' END AS status,

@@ -5,8 +5,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pairloom.config import CleanOptions
+from pairloom.functions import align
 from pairloom.operators import chunks, fidelity, terms
 from pairloom.operators.cleaning import RuleCleaner, WorkerCleaner, clean_texts, run_cases
+from pairloom.operators.tokenizers import WorkerTokenizer
 
 @pytest.mark.parametrize("rule, raw, cleaned", [
     ("byte order mark", "\ufeffone\n\ufefftwo", "one\ntwo"),
@@ -108,7 +110,7 @@ def test_chunks_join_to_the_pair_and_fit(spark, pairs_of):
     clean = "\n".join("c" * (i * 5 % 23) for i in range(200))
     df = pairs_of(
         ("en", raw, clean), ("en", "a\nb", "a"), ("zh", "", ""), ("en", "x" * 99 + "\ny\nz", "1\n2\n3"),
-        ("en", "\n\n", "\n\n"),
+        ("en", "\n\n", "\n\n"), ("en", "a b\n" * 20 + "c", "d"), (None, "a" * 99, "b" * 99), ("en", None, "b" * 99),
     )
     rows = chunks.chunk_pairs(df, "id", 60, 50).collect()
     by_id = {}
@@ -116,6 +118,9 @@ def test_chunks_join_to_the_pair_and_fit(spark, pairs_of):
         by_id.setdefault(r["id"], []).append(r)
     source = {r["id"]: r for r in df.collect()}
     for i, parts in by_id.items():
+        if i > 5:  # a null stays as it is
+            assert [(p["chunk_no"], p["status"], p["raw"], p["clean"]) for p in parts] == [(0, "null", *source[i][2:])]
+            continue
         assert [p["chunk_no"] for p in parts] == list(range(len(parts)))
         assert "\n".join(p["raw"] for p in parts) == source[i]["raw"]
         assert "\n".join(p["clean"] for p in parts) == source[i]["clean"]
@@ -127,10 +132,87 @@ def test_chunks_join_to_the_pair_and_fit(spark, pairs_of):
     for a, b in zip(by_id[0], by_id[0][1:]):
         first_raw, first_clean = b["raw"].split("\n")[0], b["clean"].split("\n")[0]
         assert len(f"<en> {a['raw']}\n{first_raw}") + 1 > 60 or len(f"{a['clean']}\n{first_clean}") + 1 > 50
-    assert [p["status"] for p in by_id[1]] == ["unaligned"]
+    assert [p["status"] for p in by_id[1]] == ["ok"]  # it fits
     assert [p["status"] for p in by_id[2]] == ["ok"]
     assert [p["status"] for p in by_id[3]] == ["over_budget", "ok"]
     assert len(by_id[4]) == 1
+    assert [p["status"] for p in by_id[5]] == ["unaligned"]
+
+
+def lossy(seed, n=300):
+    """Lines, and the lines that are left when a tenth is dropped and some are changed; with the true pairs."""
+    rng = random.Random(seed)
+    lines = [" ".join(rng.choice("abcdefghij") * rng.randrange(1, 4) for _ in range(rng.randrange(1, 9))) for _ in range(n)]
+    kept = [i for i in range(n) if rng.random() >= 0.1]
+    return lines, [lines[i] + (" #" if rng.random() < 0.1 else "") for i in kept], kept
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_pairs_that_lost_lines_are_cut_at_matching_places(spark, pairs_of, seed):
+    raw, clean, kept = lossy(seed)
+    rows = chunks.chunk_pairs(pairs_of(("en", "\n".join(raw), "\n".join(clean))), "id", 400, 400).orderBy("chunk_no").collect()
+    assert len(rows) > 10 and {r["status"] for r in rows} == {"ok"}
+    assert "\n".join(r["raw"] for r in rows) == "\n".join(raw)
+    assert "\n".join(r["clean"] for r in rows) == "\n".join(clean)
+    i = j = 0
+    for r in rows[:-1]:
+        i, j = i + r["raw"].count("\n") + 1, j + r["clean"].count("\n") + 1
+        assert kept[j] == i  # the next chunk begins with two versions of one line
+
+
+class HalfLibrary:
+    """A token for every two characters: fewer for a chunk than for its lines together."""
+
+    def encode_batch(self, texts):
+        return [[5] * -(-len(t) // 2) for t in texts]
+
+
+class GreedyLibrary:
+    """Lines cost more together than alone, so chunks turn out too long at first."""
+
+    def encode_batch(self, texts):
+        return [[5] * (len(t) + 3 * t.strip().count("\n")) for t in texts]
+
+
+@pytest.mark.parametrize("library", [HalfLibrary, GreedyLibrary])
+def test_chunks_fit_by_the_tokens_of_a_plug_in(spark, pairs_of, library):
+    raw, clean, _ = lossy(9, 80)
+    df = pairs_of(("en", "\n".join(raw), "\n".join(clean)), ("en", "short", "short"))
+    rows = chunks.chunk_pairs(df, "id", 90, 80, WorkerTokenizer(library, "plug-in", eos_id=1)).orderBy("id", "chunk_no").collect()
+    parts = [r for r in rows if r["id"] == 0]
+    assert "\n".join(r["raw"] for r in parts) == "\n".join(raw) and len(parts) > 5
+    for r in parts:
+        n, m = (len(ids) + 1 for ids in library().encode_batch([f"<en> {r['raw']}", r["clean"]]))
+        assert (r["status"] == "ok") == (n <= 90 and m <= 80)
+    assert sum(r["status"] == "ok" for r in parts) > 5 and rows[-1]["status"] == "ok"
+
+
+def best_by_trial(a, b):
+    """The largest sum of likenesses over all rising matchings."""
+    if not a or not b:
+        return 0.0
+    like = 1.0 if a[0] == b[0] else align.likeness(align.words_of(a[0]), align.words_of(b[0]))
+    together = like + best_by_trial(a[1:], b[1:]) if like else 0.0
+    return max(together, best_by_trial(a[1:], b), best_by_trial(a, b[1:]))
+
+
+def test_matching_equals_trying_all():
+    rng = random.Random(8)
+    for _ in range(150):
+        a, b = ([" ".join(rng.choices("xyz", k=rng.randrange(3))) for _ in range(rng.randrange(7))] for _ in range(2))
+        pairs = list(align.best_matching(a, b))
+        assert all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:]))
+        total = sum(1.0 if a[i] == b[j] else align.likeness(align.words_of(a[i]), align.words_of(b[j])) for i, j in pairs)
+        assert total == pytest.approx(best_by_trial(a, b))
+        every = align.matched_lines(a, b)
+        assert all(i < k and j < m for (i, j), (k, m) in zip(every, every[1:]))
+        if len(a) == len(b) and not set(a) & set(b):
+            assert every == [(i, i) for i in range(len(a))]
+
+
+def test_gaps_beyond_the_bound_stay_whole(monkeypatch):
+    monkeypatch.setattr(align, "CELLS", 1)
+    assert align.matched_lines(["p", "x", "x y", "q"], ["p", "y", "q"]) == [(0, 0), (3, 2)]
 
 
 def test_losses(spark, pairs_of):
