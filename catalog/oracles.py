@@ -130,7 +130,9 @@ FINDINGS = f"""{FOOTERS}, gaps AS (
 
 ORACLES = {
     "scan_pairs": f"WITH {PAIRS} SELECT doc_id, lang, md5(raw) AS raw_md5, md5(clean) AS clean_md5 FROM pairs",
-    "list_shards": " UNION ALL ".join(f"SELECT '{t}.parquet' AS name, true AS top_level" for t in TABLES),
+    "list_shards": """WITH n AS (SELECT (count(*) + 499) // 500 AS m FROM documents)
+        SELECT format('train-{:05d}-of-{:05d}.parquet', i, m) AS name, true AS top_level
+        FROM (SELECT m, unnest(range(greatest(m, 1))) AS i FROM n)""",
     "scan_footers": " UNION ALL ".join(
         f"SELECT '{t}.parquet' AS name, (SELECT count(*) FROM {t}) AS n_rows,"
         f" (SELECT count(*) FROM (DESCRIBE {t})) AS n_cols, true AS readable"
@@ -219,9 +221,10 @@ ORACLES = {
         || (list_position(embedding, list_min(embedding)) - 1) AS predictions FROM embeddings""",
     "shard_names": f"WITH {LISTING} SELECT path, valid, idx, of_m FROM (SELECT path, valid,"
     " CASE WHEN valid THEN idx END AS idx, CASE WHEN valid THEN of_m END AS of_m FROM shards)",
-    "shard_gaps": f"""WITH {LISTING}
-        SELECT dataset, unnest(range(0, max(idx) + 1)) AS idx FROM shards WHERE valid GROUP BY dataset
-        EXCEPT SELECT dataset, idx FROM shards WHERE valid""",
+    "shard_gaps": f"""WITH {LISTING}, present AS (
+            SELECT dataset, idx, lag(idx, 1, -1) OVER (PARTITION BY dataset ORDER BY idx) AS before
+            FROM (SELECT DISTINCT dataset, idx FROM shards WHERE valid))
+        SELECT dataset, before + 1 AS first, idx - 1 AS last, idx - before - 1 AS n FROM present WHERE idx > before + 1""",
     "shard_duplicates": f"""WITH {LISTING} SELECT dataset, idx, count(*) AS n_files FROM shards WHERE valid
         GROUP BY dataset, idx HAVING count(*) > 1""",
     "shard_total_mismatch": f"""WITH {LISTING}, files AS (
@@ -258,9 +261,23 @@ ORACLES = {
         SELECT dataset, CASE WHEN count(*) FILTER (severity = 'fail') > 0 THEN 'fail' ELSE 'pass' END AS verdict,
             count(*) FILTER (severity = 'fail') AS n_fail, count(*) FILTER (severity = 'warn') AS n_warn,
             max(ck) FILTER (r = 1) AS first_failure FROM ranked GROUP BY dataset""",
-    "audit_dataset": f"""SELECT 2::INT AS step, 'stray_files' AS "check", 'fail' AS severity, name AS subject,
-            14::BIGINT AS n
-        FROM (SELECT unnest([{', '.join(f"'{t}.parquet'" for t in TABLES)}]) AS name) ORDER BY name LIMIT 5""",
+    "audit_dataset": """SELECT 7::INT AS step, 'expected_rows' AS "check", 'warn' AS severity, 'shards' AS subject,
+            count(*) AS n FROM documents HAVING count(*) <> 1431369
+        UNION ALL SELECT 8, 'invalid_values', 'fail', 'lang_unsupported', count(*) FILTER (lang NOT IN ('id', 'en', 'zh'))
+        FROM documents HAVING count(*) FILTER (lang NOT IN ('id', 'en', 'zh')) > 0""",
+    "audit_report": f"""WITH {FINDINGS}, ranked AS (
+            SELECT *, CASE WHEN severity = 'fail' THEN row_number() OVER (
+                PARTITION BY dataset, severity ORDER BY step, subject, ck) END AS r FROM findings
+        ), judged AS (
+            SELECT dataset, count(*) FILTER (severity = 'fail') AS n_fail, count(*) FILTER (severity = 'warn') AS n_warn,
+                max(ck) FILTER (r = 1) AS first_failure FROM ranked GROUP BY dataset
+        ), stats AS (
+            SELECT dataset, count(*) AS n_files, sum(n_rows)::BIGINT AS total_rows, min(n_rows) AS min_rows,
+                max(n_rows) AS max_rows FROM footers WHERE error IS NULL GROUP BY dataset)
+        SELECT dataset, CASE WHEN n_fail > 0 THEN 'fail' ELSE 'pass' END AS verdict, coalesce(n_fail, 0) AS n_fail,
+            coalesce(n_warn, 0) AS n_warn, first_failure, coalesce(n_files, 0) AS n_files,
+            coalesce(total_rows, 0)::BIGINT AS total_rows, min_rows, max_rows
+        FROM (SELECT DISTINCT dataset FROM listing) LEFT JOIN judged USING (dataset) LEFT JOIN stats USING (dataset)""",
     "masked_token_accuracy": f"""WITH {PAIRS}, ids AS (
             SELECT {byte_ids('raw')} AS p, {byte_ids('clean')} AS y FROM pairs
         ), s AS (
@@ -320,6 +337,29 @@ ORACLES = {
             UNION ALL SELECT doc_id, unnest(({lines('clean')})[1:2]), 0, 1 FROM pairs)
         SELECT doc_id, md5(line) AS line_md5, sum(r)::BIGINT AS n_raw, sum(c)::BIGINT AS n_clean FROM both_sides
         GROUP BY doc_id, line HAVING sum(c) > sum(r)""",
+    "repeated_spans": f"""WITH {PAIRS}, words AS (
+            SELECT doc_id, list_filter(string_split_regex(raw, '\\s+'), lambda w: w <> '') AS before,
+                list_filter(string_split_regex(clean || ' ' || array_to_string((string_split_regex(clean, '\\s+'))[1:14], ' '), '\\s+'),
+                    lambda w: w <> '') AS after
+            FROM pairs
+        ), known AS (
+            SELECT doc_id, run, count(*) AS allowed FROM (
+                SELECT doc_id, array_to_string(before[i:i + 7], ' ') AS run
+                FROM (SELECT *, unnest(range(1, len(before) - 6)) AS i FROM words))
+            GROUP BY doc_id, run
+        ), runs AS (
+            SELECT doc_id, i, array_to_string(after[i:i + 7], ' ') AS run
+            FROM (SELECT *, unnest(range(1, len(after) - 6)) AS i FROM words)
+        ), again AS (
+            SELECT doc_id, i FROM (
+                SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY i) AS k FROM runs) r
+            LEFT JOIN known USING (doc_id, run) WHERE k > greatest(coalesce(allowed, 1), 1)
+        ), islands AS (
+            SELECT doc_id, min(i) AS a, max(i) AS b FROM (
+                SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM again)
+            GROUP BY doc_id, island)
+        SELECT doc_id, a - 1 AS start, b - a + 8 AS n_words, md5(array_to_string(after[a:b + 7], ' ')) AS span_md5
+        FROM islands JOIN words USING (doc_id)""",
     "number_loss": f"""WITH {LOSSY}, e AS ({item_excess(regex_all('raw', NUMBERS), regex_all('clean', NUMBERS), 'lossy')})
         SELECT doc_id, len({regex_all('raw', NUMBERS)})::BIGINT AS n_raw, coalesce(excess, 0)::BIGINT AS lost
         FROM lossy LEFT JOIN e USING (doc_id)""",

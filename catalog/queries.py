@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from catalog.tables import (
 from pairloom.config import IGNORED_LABEL, MAX_INPUT, PrepareConfig
 from pairloom.functions import text as tx
 from pairloom.functions.arrays import digest, digest_rows, pad_right
-from pairloom.operators import accuracy, batches, chunks, cleaning, fidelity, shards, terms
+from pairloom.operators import accuracy, batches, chunks, cleaning, fidelity, repeats, shards, terms
 from pairloom.operators import prepare as prep
 from pairloom.operators import split as splits
 from pairloom.operators import validate as valid
@@ -28,7 +30,7 @@ from pairloom.operators.fingerprint import content_digest
 from pairloom.plans import audit
 from pairloom.plans.prepare import prepare
 from pairloom.session import shared_folder, ship_package
-from pairloom.sources.files import list_files, read_footers
+from pairloom.sources.files import list_files, read_footers, write_shards
 from pairloom.sources.pairs import read_pairs
 from pairloom.sources.prepared import read_prepared
 
@@ -44,8 +46,19 @@ def scan_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "lang", F.md5("raw").alias("raw_md5"), F.md5("clean").alias("clean_md5"))
 
 
+SHARD_ROWS = 500
+
+
+def _shards(spark: SparkSession, sf_dir: str) -> str:
+    """The pairs as a sharded dataset of about SHARD_ROWS rows a file; its folder."""
+    table = pairs(spark, sf_dir).drop("doc_id")
+    folder = f"{shared_folder(spark)}/shards/{uuid.uuid4().hex}"
+    write_shards(table, folder, max(1, -(-table.count() // SHARD_ROWS)))
+    return folder
+
+
 def list_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_files(spark, sf_dir).select("name", "top_level")
+    return list_files(spark, _shards(spark, sf_dir)).select("name", "top_level")
 
 
 def scan_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,8 +270,18 @@ def audit_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deep audit of the pairs as shards."""
     ship_package(spark)
-    return audit.audit_dataset(spark, sf_dir).select("step", "check", "severity", "subject", "n")
+    folder = _shards(spark, sf_dir)
+    found = audit.audit_dataset(spark, folder, deep=True)
+    return found.select("step", "check", "severity", F.replace("subject", F.lit(folder), F.lit("shards")).alias("subject"), "n")
+
+
+def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict and row statistics for every dataset of the listing."""
+    table = listing(spark, sf_dir)
+    findings = audit.listing_findings(table).unionByName(audit.footer_findings(footers(spark, sf_dir)))
+    return audit.audit_report(findings, table, footers(spark, sf_dir))
 
 
 # scores, fingerprint
@@ -405,6 +428,14 @@ def no_duplication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.md5("line").alias("line_md5"), "n_raw", "n_clean")
 
 
+def repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 14 words repeated at the end of the last line."""
+    first = F.array_join(F.slice(F.split("clean", r"\s+"), 1, 14), " ")
+    df = pairs(spark, sf_dir).withColumn("clean", F.concat("clean", F.lit(" "), first))
+    found = repeats.repeated_spans(df, "doc_id", 8)
+    return found.select("doc_id", "start", "n_words", F.md5("span").alias("span_md5"))
+
+
 # what cleaning lost
 
 
@@ -439,10 +470,10 @@ QUERIES = {
         reject_over_budget, chunk_pairs, strip_text, empty_passthrough, preview_text, argmax_ids, shard_names,
         shard_gaps, shard_duplicates, shard_total_mismatch, tmp_shards, stray_files, corrupt_shards, unknown_schema,
         mixed_schema, shard_row_stats, expected_rows, sequence_stats, empty_sequences, audit_verdict, audit_dataset,
-        masked_token_accuracy, dataset_fingerprint, split_counts, train_val_split, val_cap, shuffle_limit,
+        audit_report, masked_token_accuracy, dataset_fingerprint, split_counts, train_val_split, val_cap, shuffle_limit,
         length_groups, batch_widths, pad_inputs, pad_labels, attention_mask, collate, padding_report, clean_texts,
-        eval_cases, rule_bom, rule_mojibake, rule_hex_artifact, rule_boilerplate, no_duplication, number_loss,
-        term_loss, structure_loss, ending_kept, fidelity_summary,
+        eval_cases, rule_bom, rule_mojibake, rule_hex_artifact, rule_boilerplate, no_duplication, repeated_spans,
+        number_loss, term_loss, structure_loss, ending_kept, fidelity_summary,
     )
 }
 

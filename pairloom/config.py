@@ -15,6 +15,8 @@ PREPARE_VERSION = 3
 MAX_INPUT = 4096
 MAX_TARGET = 512
 FULL_CORPUS_ROWS = 1_431_369
+# what becomes of pairs over a budget
+OVERSIZED = ("truncate", "skip", "chunk")
 
 
 def _positive_int(name: str, value: object) -> None:
@@ -42,8 +44,8 @@ class PrepareConfig:
             _positive_int(name, getattr(self, name))
         if not math.isfinite(self.val_frac) or not 0 < self.val_frac < 1:
             raise ValueError(f"val_frac must lie strictly between 0 and 1, got {self.val_frac!r}")
-        if self.oversized not in ("truncate", "skip"):
-            raise ValueError(f"oversized must be 'truncate' or 'skip', got {self.oversized!r}")
+        if self.oversized not in OVERSIZED:
+            raise ValueError(f"oversized must be one of {', '.join(OVERSIZED)}, got {self.oversized!r}")
         if not self.languages:
             raise ValueError("languages must not be empty")
 

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from pairloom.config import LANGUAGES, MAX_INPUT, CleanOptions
 from pairloom.functions.text import lines, prefixed, preview_text, strip_text
-from pairloom.operators.tokenizers import ByteTokenizer
+from pairloom.operators.tokenizers import ByteTokenizer, WorkerTokenizer, count_batch
+from pairloom.session import ship_package
 
 BYTES = ByteTokenizer()
 
@@ -88,26 +90,35 @@ def drop_lines(text: Column, pattern: str) -> Column:
     return F.array_join(kept, "\n")
 
 
+#: Texts that are sorted by length together.
+BUFFER = 1024
+
+
 @dataclass(frozen=True)
 class WorkerCleaner:
     """A cleaner that runs in the Python workers, such as a model.
 
     ``factory`` is a picklable callable, importable on the executors. It takes the options and
     returns a callable ``(list of tagged texts) -> list of texts``. It is called once per worker
-    process, so a model is loaded once.
+    process, so a model is loaded once. It is asked for batches of texts of similar length, whose
+    padded size is ``batch_tokens`` at most (a longer text is a batch of its own), counted by ``tokenizer``.
     """
 
     factory: Callable[[CleanOptions], Callable[[list[str]], list[str]]]
     options: CleanOptions = CleanOptions()
+    batch_tokens: int = 1 << 14
+    tokenizer: ByteTokenizer | WorkerTokenizer = BYTES
 
     def column(self, text: Column, lang: Column) -> Column:
-        loader = pickle.dumps(_Loader(self.factory, self.options))
+        ship_package(SparkSession.active())
+        loader, counter = pickle.dumps(_Loader(self.factory, self.options)), self.tokenizer.worker()
+        budget = self.batch_tokens
 
         def clean(texts: pa.Array) -> pa.Array:
             from pairloom.operators.cleaning import clean_batch
             from pairloom.operators.tokenizers import worker_object
 
-            return clean_batch(worker_object(loader), texts)
+            return clean_batch(worker_object(loader), texts, worker_object(counter), budget)
 
         return F.arrow_udf(clean, StringType())(prefixed(lang, text))
 
@@ -121,11 +132,36 @@ class _Loader:
         return self.factory(self.options)
 
 
-def clean_batch(cleaner: Callable[[list[str]], list[str]], batch: pa.Array) -> pa.Array:
-    """Null in, null out: the cleaner sees only texts it is meant to clean."""
-    texts = batch.to_pylist()
-    cleaned = iter(cleaner([t for t in texts if t is not None]))
-    return pa.array([None if t is None else next(cleaned) for t in texts], pa.string())
+def dynamic_batches(sizes: Sequence[int], budget: int) -> Iterator[list[int]]:
+    """Places of texts, the longest first, in batches whose longest text times their number is ``budget`` at most."""
+    batch: list[int] = []
+    for place in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        if batch and sizes[batch[0]] * (len(batch) + 1) > budget:
+            yield batch
+            batch = []
+        batch.append(place)
+    if batch:
+        yield batch
+
+
+def clean_batch(
+    cleaner: Callable[[list[str]], list[str]], column: pa.Array, library: Any, budget: int, buffer: int = BUFFER
+) -> pa.Array:
+    """Null in, null out: the cleaner sees only texts it is meant to clean. The order of the rows is kept."""
+    cleaned: list[str | None] = []
+    for start in range(0, len(column), buffer):
+        texts = column.slice(start, buffer).to_pylist()
+        places = [i for i, t in enumerate(texts) if t is not None]
+        out: list[str | None] = [None] * len(texts)
+        for batch in dynamic_batches(count_batch(library, [texts[i] for i in places]), budget):
+            asked = [places[i] for i in batch]
+            answers = list(cleaner([texts[i] for i in asked]))
+            if len(answers) != len(asked):
+                raise ValueError(f"the cleaner gave {len(answers)} texts for {len(asked)}")
+            for i, answer in zip(asked, answers):
+                out[i] = answer
+        cleaned += out
+    return pa.array(cleaned, pa.string())
 
 
 def _is_string(df: DataFrame, column: str) -> Column:
@@ -188,10 +224,10 @@ def clean_texts(
 
 
 def run_cases(
-    cases: DataFrame, cleaner, languages: Sequence[str] = LANGUAGES, max_input: int = MAX_INPUT
+    cases: DataFrame, cleaner, languages: Sequence[str] = LANGUAGES, max_input: int = MAX_INPUT, tokenizer=BYTES
 ) -> DataFrame:
     """Clean a table of cases ``name, lang, raw, expect``; previews of both texts, side by side."""
-    cleaned = clean_texts(cases, cleaner, languages, max_input)
+    cleaned = clean_texts(cases, cleaner, languages, max_input, tokenizer=tokenizer)
     return cleaned.select(
         "name",
         "lang",

@@ -76,14 +76,49 @@ def zoned_rank(
 
 
 def first_rows(df: DataFrame, key: str, seed: int, k: int, digits: int = DIGITS) -> DataFrame:
-    """Add ``rank`` and keep the rows ranked 1 to ``k``. Rows with equal keys follow in any order."""
+    """Add ``rank`` and keep the rows ranked 1 to ``k``. Rows with equal keys follow in the order of a hash of
+    the whole row.
+
+    The rows are cut out by hashes before any of them is sorted, so at most ``k`` rows are sorted, also where
+    a third of the table shares one key: first by the hash of the key, then, of the rows with the hash at the
+    edge, by the hash of the row. Rows equal in that, too, are copies, of which any will do.
+    """
     keyed = _keyed(df, key, seed, digits)
-    reached = bucket_offsets(keyed).filter(F.col("_before") < k).select("_bucket", "_before")
-    inside = Window.partitionBy("_bucket").orderBy("_k", key)
-    ranked = keyed.join(F.broadcast(reached), "_bucket").withColumn(
+    chosen, taken = _cut_out(keyed, "_k", k, digits)
+    edge, missing = taken
+    if missing:
+        same = keyed.where(F.col("_k") == edge).withColumn("_row", F.md5(F.to_json(F.struct(*df.columns))))
+        inside, (last, more) = _cut_out(same, "_row", missing, digits)
+        chosen = chosen.unionByName(inside.drop("_row"))
+        if more:
+            chosen = chosen.unionByName(same.where(F.col("_row") == last).drop("_row").limit(more))
+    offsets = bucket_offsets(chosen).select("_bucket", "_before")
+    whole = F.md5(F.to_json(F.struct(*df.columns)))
+    inside = Window.partitionBy("_bucket").orderBy("_k", key, whole)
+    ranked = chosen.join(F.broadcast(offsets), "_bucket").withColumn(
         "rank", F.col("_before") + F.row_number().over(inside)
     )
-    return ranked.filter(F.col("rank") <= k).drop("_k", "_bucket", "_before")
+    return ranked.drop("_k", "_bucket", "_before")
+
+
+def _cut_out(df: DataFrame, hashes: str, k: int, digits: int) -> tuple[DataFrame, tuple[str, int]]:
+    """The rows with the least hashes, whole groups of equal ones, ``k`` at most; the next hash, and how many of
+    its rows are missing to ``k`` (0 if none are).
+
+    Rows are only counted, by a prefix of the hash and then by the hash inside the bucket where ``k`` falls.
+    """
+    bucketed = df.select(F.col(hashes).alias("_h"), F.substring(hashes, 1, digits).alias("_bucket"))
+    placed = bucket_offsets(bucketed).where((F.col("_before") < k) & (F.col("_end") >= k)).first()
+    if placed is None:  # fewer rows than asked for, or none asked for
+        return (df, ("", 0)) if k > 0 else (df.where(F.lit(False)), ("", 0))
+    groups = bucketed.where(F.col("_bucket") == placed["_bucket"]).groupBy("_h").agg(F.count("*").alias("_n"))
+    # one row per hash of one bucket of 16**digits
+    upto = groups.withColumn("_upto", placed["_before"] + F.sum("_n").over(Window.orderBy("_h")))
+    row = upto.where(F.col("_upto") >= k).orderBy("_h").first()
+    before = row["_upto"] - row["_n"]
+    if row["_upto"] == k:
+        return df.where(F.col(hashes) <= row["_h"]), ("", 0)
+    return df.where(F.col(hashes) < row["_h"]), (row["_h"], k - before)
 
 
 def cut_keys(keyed: DataFrame, targets: dict[str, Column], digits: int = DIGITS) -> DataFrame:

@@ -18,7 +18,6 @@ from pairloom.config import FULL_CORPUS_ROWS, PAIR_COLUMNS, TOKEN_COLUMNS
 SHARD_NAME = r"^train-([0-9]+)-of-([0-9]+)\.parquet$"
 SHARD_GLOB = r"^train-.*\.parquet$"
 TMP_GLOB = r"^tmp-.*\.parquet$"
-BLOCK = 4096
 
 
 def train_files(listing: DataFrame) -> DataFrame:
@@ -37,25 +36,15 @@ def shard_names(listing: DataFrame) -> DataFrame:
 
 
 def shard_gaps(names: DataFrame) -> DataFrame:
-    """One row per index missing between 0 and the largest one present.
+    """``dataset, first, last, n``: runs of indexes missing between 0 and the largest one present.
 
-    The full range is made block by block in parallel, so no task holds it whole.
+    Every index present is compared with the one before it, so the cost is that of the listing, however large
+    the numbers in the names are.
     """
-    present = names.filter("valid").select("dataset", "idx")
-    blocks = (
-        present.groupBy("dataset")
-        .agg(F.max("idx").alias("_last"))
-        .select("dataset", "_last", F.explode(F.expr(f"sequence(0L, _last div {BLOCK})")).alias("_block"))
-    )
-    wanted = blocks.select(
-        "dataset",
-        F.explode(
-            F.sequence(
-                F.col("_block") * BLOCK, F.least(F.col("_last"), F.col("_block") * BLOCK + (BLOCK - 1))
-            )
-        ).alias("idx"),
-    )
-    return wanted.join(present, ["dataset", "idx"], "left_anti")
+    present = names.filter("valid").select("dataset", "idx").distinct()
+    before = F.lag("idx", 1, -1).over(Window.partitionBy("dataset").orderBy("idx"))
+    runs = present.withColumn("first", before + 1).withColumn("last", F.col("idx") - 1)
+    return runs.filter("first <= last").select("dataset", "first", "last", (F.col("idx") - F.col("first")).alias("n"))
 
 
 def shard_duplicates(names: DataFrame) -> DataFrame:

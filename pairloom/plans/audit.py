@@ -8,6 +8,7 @@ at the finding with the smallest ``(step, subject)``; the verdict names it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pairloom.config import FULL_CORPUS_ROWS, LANGUAGES, PAIR_COLUMNS, TOKEN_COLUMNS
 from pairloom.operators import shards
 from pairloom.operators.validate import invalid_counts, validate_pairs
-from pairloom.sources.files import list_files, read_footers
+from pairloom.sources.files import FOOTER_SCHEMA, list_files, read_footers
 
 STEP_TMP, STEP_STRAY, STEP_NAMES, STEP_ORDER, STEP_OPEN, STEP_MIXED, STEP_ROWS, STEP_VALUES = range(1, 9)
 
@@ -44,7 +45,7 @@ def listing_findings(listing: DataFrame) -> DataFrame:
     tmp = shards.tmp_shards(listing).groupBy("dataset").agg(count)
     invalid = names.filter("not valid").groupBy("dataset").agg(count)
     gaps = shards.shard_gaps(names).groupBy("dataset").agg(
-        count, F.min("idx").alias("first"), F.max("idx").alias("last")
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")
     )
     duplicates = shards.shard_duplicates(names).groupBy("dataset").agg(count, F.min("idx").alias("first"))
     totals = shards.shard_totals(names).filter("mismatch")
@@ -131,10 +132,13 @@ def value_findings(spark: SparkSession, dataset: str, kind: str, languages: Sequ
     )
 
 
-def audit_verdict(findings: DataFrame) -> DataFrame:
-    """Per dataset with findings: ``pass`` unless something failed, the counts, the first failure."""
+def audit_verdict(findings: DataFrame, datasets: DataFrame | None = None) -> DataFrame:
+    """Per dataset: ``pass`` unless something failed, the counts, the first failure.
+
+    Without ``datasets`` (column ``dataset``, further ones are kept) only datasets with findings have a row.
+    """
     failed = F.col("severity") == "fail"
-    return findings.groupBy("dataset").agg(
+    judged = findings.groupBy("dataset").agg(
         F.when(F.count_if(failed) > 0, "fail").otherwise("pass").alias("verdict"),
         F.count_if(failed).alias("n_fail"),
         F.count_if(F.col("severity") == "warn").alias("n_warn"),
@@ -142,6 +146,25 @@ def audit_verdict(findings: DataFrame) -> DataFrame:
             F.when(failed, F.col("check")), F.when(failed, F.struct("step", "subject", "check"))
         ).alias("first_failure"),
     )
+    if datasets is None:
+        return judged
+    return datasets.join(judged, "dataset", "left").fillna({"verdict": "pass", "n_fail": 0, "n_warn": 0})
+
+
+def audit_report(findings: DataFrame, datasets: DataFrame, footers: DataFrame) -> DataFrame:
+    """One row per audited dataset, sound ones included: the verdict, and files and rows of its readable shards."""
+    stats = shards.shard_row_stats(footers)
+    return audit_verdict(findings, datasets.select("dataset").distinct()).join(stats, "dataset", "left").fillna(
+        {"n_files": 0, "total_rows": 0}
+    )
+
+
+@dataclass(frozen=True)
+class Audit:
+    """The findings of an audit and its report, one row per folder asked for."""
+
+    findings: DataFrame
+    report: DataFrame
 
 
 def audit_dataset(
@@ -151,7 +174,18 @@ def audit_dataset(
     deep: bool = False,
     languages: Sequence[str] = LANGUAGES,
 ) -> DataFrame:
-    """All findings for one or more dataset folders.
+    """The findings of :func:`audit_folders`."""
+    return audit_folders(spark, folders, expected, deep, languages).findings
+
+
+def audit_folders(
+    spark: SparkSession,
+    folders: str | Sequence[str],
+    expected: int | None = FULL_CORPUS_ROWS,
+    deep: bool = False,
+    languages: Sequence[str] = LANGUAGES,
+) -> Audit:
+    """All findings for one or more dataset folders, and a report on each.
 
     ``deep`` reads the values too, of datasets without a failure so far. A folder that does not
     exist or holds no parquet file gives an ``info`` finding.
@@ -159,6 +193,7 @@ def audit_dataset(
     folders = [folders] if isinstance(folders, str) else list(folders)
     present = [folder for folder in folders if _exists(spark, folder)]
     found = [_empty_findings(spark, [f for f in folders if f not in present], "no such folder")]
+    footers = spark.createDataFrame([], FOOTER_SCHEMA)
     if present:
         listing = list_files(spark, present)
         # one row per file, read once and used by each check below
@@ -169,7 +204,9 @@ def audit_dataset(
         if deep:
             for dataset, kind in _sound(shallow, footers):
                 found.append(value_findings(spark, dataset, kind, languages))
-    return _union(found)
+    findings = _union(found)
+    asked = spark.createDataFrame([(f,) for f in folders], "dataset string")
+    return Audit(findings, audit_report(findings, asked, footers))
 
 
 def _sound(shallow: DataFrame, footers: DataFrame) -> list[tuple[str, str]]:

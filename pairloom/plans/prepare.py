@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pairloom.config import PAIR_COLUMNS, PrepareConfig
+from pairloom.operators.chunks import chunk_pairs
 from pairloom.operators.fingerprint import dataset_fingerprint, digest_columns
 from pairloom.operators.prepare import budget_flags, skip_over_budget, tokenize_pairs
 from pairloom.operators.split import split_pairs
@@ -39,12 +40,19 @@ def tokenised_split(
 ) -> DataFrame:
     """``key, lang, split``, the id sequences, their length and the truncation flags.
 
-    Over-budget pairs are skipped first if the config says so, as the split is of what remains; a
-    plug-in tokenizer then runs in the passes that find the split, too.
+    Over-budget pairs are skipped or cut into chunks first if the config says so, as the split is of what
+    remains; a plug-in tokenizer then runs in the passes that find the split, too. All chunks of a pair are on
+    one side of the split, and have the pair's key with their number as key; what cannot be cut to fit is left
+    out.
     """
+    pairs = pairs.select(key, "lang", "raw", "clean")
     if config.oversized == "skip":
         pairs = skip_over_budget(budget_flags(pairs, tokenizer, config.max_input, config.max_target))
-    split = split_pairs(pairs.select(key, "lang", "raw", "clean"), key, config.val_frac, config.seed, config.val_max)
+    if config.oversized == "chunk":
+        pairs = chunk_pairs(pairs, key, config.max_input, config.max_target, tokenizer).filter("status = 'ok'")
+    split = split_pairs(pairs, key, config.val_frac, config.seed, config.val_max)
+    if config.oversized == "chunk":
+        split = split.withColumn(key, F.concat_ws("#", key, "chunk_no"))
     return tokenize_pairs(split, tokenizer, config.max_input, config.max_target, keep=(key, "lang", "split"))
 
 

@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+# Fixed value: the name of the file a model's settings are kept in beside the model.
+SIDECAR = "cleaning_config.json"
 MANIFEST_SCHEMA = "model_family string, base_model string, max_input int, max_target int, fingerprint string"
 
 
@@ -21,17 +23,19 @@ def write_manifest(spark: SparkSession, path: str, manifest: dict[str, Any]) ->
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict[str, Any] | None:
-    """The manifest's values, or None where there is none."""
-    try:
-        found = spark.read.text(f"{path}/manifest", wholetext=True).take(2)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    if not found:
+    """The manifest's values, or None where there is none.
+
+    ``path`` is a folder with a ``manifest`` folder or a ``cleaning_config.json`` file, or such a file itself.
+    """
+    places = [path] if path.endswith(".json") else [f"{path}/manifest", f"{path}/{SIDECAR}"]
+    for place in places:
+        found = _texts(spark, place)
+        if found:
+            break
+    else:
         return None
     try:
-        manifest = json.loads(found[0]["value"]) if len(found) == 1 else None
+        manifest = json.loads(found[0]) if len(found) == 1 else None
     except json.JSONDecodeError:
         manifest = None
     if not isinstance(manifest, dict):
@@ -39,6 +43,15 @@ def read_manifest(spark: SparkSession, path: str) -> dict[str, Any] | None:
     return manifest
 
 
+def _texts(spark: SparkSession, path: str) -> list[str]:
+    try:
+        return [r["value"] for r in spark.read.text(path, wholetext=True).take(2)]
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
 def input_budget(spark: SparkSession, path: str, model_family: str, default: int) -> int:
     """The input budget the data was prepared with; it must be of the same model family."""
     manifest = read_manifest(spark, path)

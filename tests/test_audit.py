@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.operators import shards
-from pairloom.plans.audit import audit_dataset, audit_verdict
+from pairloom.plans.audit import audit_dataset, audit_folders, audit_verdict
 from pairloom.sources.files import list_files
 
 RAW = pa.table({"lang": ["en", "id"], "raw": ["a", "b"], "clean": ["a", ""], "extra": [1, 2]})
@@ -146,8 +146,28 @@ def test_values_of_tokenised_shards(spark, folder):
     assert tuple(stats) == (0, 2, 0, 3)
 
 
-def test_gaps_over_block_borders(spark):
-    names = spark.createDataFrame([("d", 0), ("d", 4095), ("d", 4096), ("d", 8193), ("e", 1)], "dataset string, idx bigint")
-    got = {(r["dataset"], r["idx"]) for r in shards.shard_gaps(names.withColumn("valid", F.lit(True))).collect()}
-    want = {("d", i) for i in range(8194) if i not in (0, 4095, 4096, 8193)} | {("e", 0)}
-    assert got == want
+def test_gaps_are_runs(spark):
+    rows = [("d", 0), ("d", 4095), ("d", 4096), ("d", 4096), ("d", 8193), ("e", 1), ("f", 0), ("f", 1)]
+    names = spark.createDataFrame(rows, "dataset string, idx bigint").withColumn("valid", F.lit(True))
+    got = {tuple(r) for r in shards.shard_gaps(names).collect()}
+    assert got == {("d", 1, 4094, 4094), ("d", 4097, 8192, 4096), ("e", 0, 0, 1)}
+
+
+def test_a_large_number_in_a_name_is_one_gap(spark, folder):
+    root = folder("large", **{"train-0-of-2.parquet": RAW, f"train-{10**18}-of-2.parquet": RAW})
+    found = audit_dataset(spark, root, None).filter("check = 'shard_gaps'").first()
+    assert (found["n"], found["detail"]) == (10**18 - 1, f"between 1 and {10**18 - 1}")
+
+
+def test_every_folder_has_a_line_in_the_report(spark, folder, tmp_path):
+    sound = folder("sound", **{"train-0-of-2.parquet": RAW, "train-1-of-2.parquet": RAW.slice(0, 1)})
+    broken = folder("broken", **{"train-0-of-2.parquet": RAW, "train-1-of-2.parquet": b"no"})
+    missing = str(tmp_path / "missing")
+    report = {r["dataset"]: r.asDict() for r in audit_folders(spark, [sound, broken, missing], None).report.collect()}
+    assert set(report) == {sound, broken, missing}
+    assert report[sound] == {
+        "dataset": sound, "verdict": "pass", "n_fail": 0, "n_warn": 0, "first_failure": None, "n_files": 2,
+        "total_rows": 3, "min_rows": 1, "max_rows": 2,
+    }
+    assert (report[broken]["verdict"], report[broken]["first_failure"], report[broken]["n_files"]) == ("fail", "corrupt_shards", 1)
+    assert (report[missing]["verdict"], report[missing]["n_files"]) == ("pass", 0)

@@ -1,4 +1,5 @@
 import hashlib
+import json
 import math
 
 import numpy as np
@@ -249,3 +250,31 @@ def test_accuracy_reports_mismatched_lengths(spark):
 def test_logits_to_predictions(spark):
     df = spark.createDataFrame([([[0.1, 0.9], [0.8, 0.2]], [1, 1])], "logits array<array<float>>, labels array<int>")
     assert masked_token_accuracy(with_argmax(df)).first()["token_accuracy"] == 0.5
+
+
+@pytest.mark.parametrize("k", [0, 1, 9, 40, 119, 120, 500])
+def test_a_sample_sorts_its_own_rows_only(spark, k):
+    """Eighty rows share one key, among them copies."""
+    rows = [(i if i < 40 else 7, f"t{i % 60}") for i in range(120)]
+    df = spark.createDataFrame(rows, "key int, text string").repartition(5)
+    picked = ranking.first_rows(df, "key", 3, k)
+    got = sorted((r["rank"], r["key"], r["text"]) for r in picked.collect())
+
+    def place(row):
+        key, text = row
+        whole = json.dumps({"key": key, "text": text}, separators=(",", ":"))
+        return hashlib.md5(f"3:{key}".encode()).hexdigest(), hashlib.md5(whole.encode()).hexdigest()
+
+    assert [g[1:] for g in got] == sorted(rows, key=place)[:k]
+    assert [g[0] for g in got] == list(range(1, min(k, 120) + 1))
+    assert ranking.first_rows(df, "key", 3, k).drop("rank").exceptAll(df).count() == 0
+    again = ranking.first_rows(df.repartition(2), "key", 3, k).collect()
+    assert sorted((r["rank"], r["key"], r["text"]) for r in again) == got
+
+
+def test_a_hot_key_is_cut_before_it_is_sorted(spark):
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) as key", "concat('text ', id) as text")
+    picked = ranking.first_rows(df, "key", 1, 1500)
+    assert picked.count() == 1500
+    chosen = picked.drop("rank")
+    assert chosen.exceptAll(df.select(*chosen.columns)).count() == 0

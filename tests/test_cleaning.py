@@ -1,14 +1,15 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pairloom.config import CleanOptions
 from pairloom.functions import align
-from pairloom.operators import chunks, fidelity, terms
-from pairloom.operators.cleaning import RuleCleaner, WorkerCleaner, clean_texts, run_cases
-from pairloom.operators.tokenizers import WorkerTokenizer
+from pairloom.operators import chunks, fidelity, repeats, terms
+from pairloom.operators.cleaning import RuleCleaner, WorkerCleaner, clean_batch, clean_texts, dynamic_batches, run_cases
+from pairloom.operators.tokenizers import ByteLibrary, WorkerTokenizer
 
 @pytest.mark.parametrize("rule, raw, cleaned", [
     ("byte order mark", "\ufeffone\n\ufefftwo", "one\ntwo"),
@@ -304,3 +305,71 @@ def test_summary(spark, pairs_of):
     assert set(rows) == {("en", False), ("zh", False), (None, True)}
     assert rows[None, True]["numbers"] == 3 and rows[None, True]["numbers_lost"] == 1
     assert rows["en", False]["endings_kept"] == 0 and rows["zh", False]["endings_kept"] == 1
+
+
+def test_dynamic_batches_keep_to_their_budget():
+    rng = random.Random(2)
+    for _ in range(50):
+        sizes = [rng.randrange(1, 60) for _ in range(rng.randrange(40))]
+        batches = list(dynamic_batches(sizes, 100))
+        assert sorted(i for b in batches for i in b) == list(range(len(sizes)))
+        for a, b in zip(batches, batches[1:]):  # longest first, and no batch could have taken the next text
+            assert min(sizes[i] for i in a) >= max(sizes[i] for i in b)
+            assert sizes[a[0]] * (len(a) + 1) > 100
+        assert all(len(b) == 1 or sizes[b[0]] * len(b) <= 100 for b in batches)
+
+
+def test_a_model_is_asked_in_batches_and_rows_keep_their_order():
+    asked = []
+
+    def model(texts):
+        asked.append([len(t) for t in texts])
+        return [t.upper() for t in texts]
+
+    texts = ["aaaa", None, "b", "cc" * 9, "d", "", "eee"]
+    got = clean_batch(model, pa.array(texts), ByteLibrary(), 8, buffer=5)
+    assert got.to_pylist() == [t if t is None else t.upper() for t in texts]
+    assert asked == [[18], [4, 1], [1], [3, 0]]
+    with pytest.raises(ValueError, match="1 texts for 2"):
+        clean_batch(lambda t: t[:1], pa.array(["a", "b"]), ByteLibrary(), 8)
+
+
+def spans_by_search(raw, clean, least):
+    """Starts of runs that are one too many, found by comparing runs one by one."""
+    before, after = raw.split(), clean.split()
+    runs = [after[i : i + least] for i in range(len(after) - least + 1)]
+    flagged = []
+    for i, run in enumerate(runs):
+        allowed = max(1, sum(before[j : j + least] == run for j in range(len(before) - least + 1)))
+        flagged.append(sum(r == run for r in runs[: i + 1]) > allowed)
+    out, i = [], 0
+    while i < len(flagged):
+        if flagged[i]:
+            j = i
+            while j < len(flagged) and flagged[j]:
+                j += 1
+            out.append((i, j - i + least - 1, " ".join(after[i : j + least - 1])))
+            i = j
+        i += 1
+    return out
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 5, 8])
+def test_repeated_spans_equal_a_search(least):
+    rng = random.Random(least)
+    for _ in range(150):
+        raw, clean = (" ".join(rng.choices("abc", k=rng.randrange(30))) for _ in range(2))
+        got = [(s["start"], s["n_words"], s["span"]) for s in repeats.spans_of(raw, clean, least)]
+        assert got == spans_by_search(raw, clean, least)
+
+
+def test_a_sentence_doubled_in_a_one_line_text_is_found(spark, pairs_of):
+    one = "The river rose by three metres in a single night."
+    df = pairs_of(
+        ("en", one, f"{one} {one}"), ("en", f"{one} {one}", f"{one} {one}"), ("zh", "河水一夜之间上涨三米", "河水一夜之间上涨三米河水一夜之间上涨三米"),
+        ("en", None, f"{one} {one}"), (None, one, None), ("en", "", ""),
+    )
+    got = {(r["id"], r["start"], r["n_words"], r["span"]) for r in repeats.repeated_spans(df, "id").collect()}
+    assert got == {(0, 10, 10, one), (2, 10, 10, "河水一夜之间上涨三米"), (3, 10, 10, one)}
+    with pytest.raises(ValueError, match="least"):
+        repeats.repeated_spans(df, "id", 0)

@@ -98,3 +98,23 @@ def test_row_operators_accept_a_stream(spark, tmp_path):
     rows = {r["id"]: r for r in spark.read.parquet(out).collect()}
     assert len(rows) == 8
     assert rows[5]["status"] == "ok" and rows[6]["status"] == "over_budget" and rows[6]["is_input_truncated"]
+
+
+def test_long_pairs_are_cut_into_chunks_before_the_split(spark, tmp_path):
+    lines = [[f"line {i} of {n}" for i in range(n)] for n in range(1, 31)]
+    rows = [(n, "en", "\n".join(x), "\n".join(x)) for n, x in enumerate(lines)]
+    rows.append((99, "en", "x" * 200, "y" * 200))  # cannot be cut
+    config = PrepareConfig(max_input=120, max_target=100, val_frac=0.3, oversized="chunk")
+    done = prepare(spark.createDataFrame(rows, SCHEMA), "id", str(tmp_path), config)
+    table = read_prepared(spark, done.path).collect()
+    assert done.counts["all"][1:] == (0, 0)  # nothing is truncated
+    sides = {}
+    texts = {}
+    for r in table:
+        pair, _, number = r["id"].partition("#")
+        sides.setdefault(pair, set()).add(r["split"])
+        texts.setdefault(int(pair), {})[int(number)] = bytes(i - 3 for i in r["labels"][:-1]).decode()
+    assert all(len(s) == 1 for s in sides.values()) and len({r["id"] for r in table}) == len(table)
+    assert {pair: "\n".join(parts[i] for i in range(len(parts))) for pair, parts in texts.items()} == {
+        n: "\n".join(x) for n, x in enumerate(lines)
+    }

@@ -1,11 +1,13 @@
+import io
 import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from pairloom.sources.files import list_files, read_footers
+from pairloom.sources.files import _far_footers, _footer, list_files, read_footers, write_shards
 from pairloom.sources.pairs import content_key, read_pairs
 from pairloom.sources.prepared import input_budget, read_manifest, write_manifest
 
@@ -82,6 +84,70 @@ def test_listing_shows_empty_and_broken_files(spark, tmp_path):
         assert footers[name]["error"] and footers[name]["n_rows"] is None
 
 
+def test_only_broken_data_is_a_finding(spark, tmp_path):
+    write(str(tmp_path / "whole.parquet"), [("en", "a", "b")] * 50)
+    whole = (tmp_path / "whole.parquet").read_bytes()
+    for size in (4, 20, len(whole) // 2, len(whole) - 1, len(whole) - 9):
+        (tmp_path / f"cut{size}.parquet").write_bytes(whole[:size])
+    (tmp_path / "bad.parquet").write_bytes(whole[:-60] + b"\xff" * 40 + whole[-20:])
+    footers = {r["name"]: r["error"] for r in read_footers(list_files(spark, str(tmp_path))).collect()}
+    assert footers.pop("whole.parquet") is None and len(footers) == 6 and all(footers.values())
+
+
+def test_a_file_that_went_away_fails_the_job(spark, tmp_path):
+    write(str(tmp_path / "a.parquet"), [("en", "a", "b")])
+    files = list_files(spark, str(tmp_path))
+    gone = files.withColumn("path", F.concat(F.lit("file:"), F.lit(str(tmp_path)), F.lit("/gone.parquet")))
+    with pytest.raises(PySparkException, match="gone.parquet"):
+        read_footers(gone).collect()
+
+
+@pytest.mark.parametrize("error", [PermissionError(13, "refused"), OSError("AWS Error ACCESS_DENIED")])
+@pytest.mark.parametrize("at_once", [True, False])
+def test_a_refused_file_is_no_finding(error, at_once):
+    class Refusing(io.RawIOBase):
+        def readable(self):
+            return True
+
+        def seekable(self):
+            return True
+
+        def seek(self, *how):
+            raise error
+
+    class Store:
+        def open_input_file(self, path):
+            if at_once:
+                raise error
+            return pa.PythonFile(Refusing(), mode="r")
+
+    with pytest.raises(OSError):
+        _footer(Store(), "x")
+
+
+def test_stores_that_only_spark_opens_are_read_by_spark(spark, tmp_path):
+    write(str(tmp_path / "train-0-of-1.parquet"), [("en", "a", "b")] * 3)
+    (tmp_path / "train-1-of-1.parquet").write_bytes(b"no")
+    found = {r["name"]: r for r in _far_footers(list_files(spark, str(tmp_path))).collect()}
+    assert found["train-0-of-1.parquet"]["n_rows"] == 3 and found["train-1-of-1.parquet"]["error"]
+
+
+@pytest.mark.parametrize("rows", [0, 2, 9])
+def test_shards_are_written_under_their_names(spark, tmp_path, rows):
+    df = spark.range(rows).selectExpr("id")
+    write_shards(df, str(tmp_path / "out"), 3)
+    names = {r["name"] for r in list_files(spark, str(tmp_path / "out")).collect()}
+    assert names == {f"train-0000{i}-of-00003.parquet" for i in range(3)}
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(rows))
+
+
+def test_manifest_as_one_file(spark, tmp_path):
+    file = tmp_path / "cleaning_config.json"
+    file.write_text('{"model_family": "fam", "max_input": 33}')
+    assert input_budget(spark, str(tmp_path), "fam", 4096) == input_budget(spark, str(file), "fam", 4096) == 33
+    assert input_budget(spark, str(tmp_path / "none.json"), "fam", 4096) == 4096
+
+
 def test_manifest_round_trip(spark, tmp_path):
     path = str(tmp_path)
     assert read_manifest(spark, path) is None
