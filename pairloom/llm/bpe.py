@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import with_workers, worker_table
+from pairloom.llm.shared import give_back, with_workers, worker_table
 
 #: Pieces whose encodings a worker remembers; beyond it starts again, so memory stays bounded.
 REMEMBERED = 250_000
@@ -273,6 +273,7 @@ def encode_batch(texts: pa.Array, path: str, pattern: str) -> pa.Array:
         if held >= HELD or i == len(texts) - 1:
             rows += encoder.encode(group)
             group, held = [], 0
+    give_back()
     borders = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(borders), pa.array(np.concatenate(rows) if rows else [], pa.int32()))
 

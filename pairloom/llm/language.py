@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import let, with_workers, worker_table
+from pairloom.llm.shared import give_back, let, with_workers, worker_table
 
 #: Bytes of learned text per language, and labelled rows looked at for them: the bounds of the sample.
 DICTIONARY_BYTES = 96 * 1024
@@ -128,6 +128,7 @@ def identify_batch(texts: pa.Array, learned: tuple[tuple[str, bytes], ...]) -> p
         score.append(float(1 / np.exp2(-8.0 * np.minimum(sizes - sizes[best], 100)).sum()))
         margin.append(gap)
         rejected.append(gap < MARGIN)
+    give_back()
     return pa.StructArray.from_arrays(
         [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64()),
          pa.array(rejected, pa.bool_())],

@@ -63,12 +63,12 @@ def let_go(operator: str, table: str = "") -> None:
     for other in others:
         del _kept[other]
     if others:
+        gc.collect()
         give_back()
 
 
 def give_back() -> None:
     """Hand freed memory of a Python worker back to the machine, where its other workers and the JVM need it."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(_libc(), "malloc_trim", None)  # of the GNU library only
     if trim is not None:

@@ -42,6 +42,8 @@ STOP_SHARE = 1 / 200
 #: Shingles of one counting range and of one block of texts, about.
 RANGE_TOKENS = 1_000_000
 FLUSH_TOKENS = 500_000
+#: Steps in which a counting range is worked through.
+SUBRANGES = 4
 #: Tasks of a counting step at most; beyond it a task works through several ranges, one after the other.
 MOST_TASKS = 20_000
 #: Stop shingles at most: 8 MB that go to every task. Where more are frequent, the most frequent ones are taken; of
@@ -89,6 +91,8 @@ def profiles(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                  pa.array(common, kinds)],
                 ["id", "digest", "n", "key", "common"],
             )
+            del seen
+            give_back()
 
     schema = f"id {kind}, digest binary, n bigint, key bigint, common array<struct<token bigint, count bigint>>"
     return docs.select(id_col, text, _digest(text).alias("digest")).mapInArrow(run, schema)
@@ -171,6 +175,8 @@ def _blocks(docs: DataFrame, text: str, stops: np.ndarray, parts: int) -> DataFr
                     give_back()
         if sets:
             yield from flush(sets)
+        del sets
+        give_back()
 
     return docs.select(text).mapInArrow(run, _BLOCK_DDL)
 
@@ -187,24 +193,10 @@ def _counted(blocks: DataFrame, buckets: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         let_go("similar_sets")
-        parts: dict[bool, list] = {False: [], True: []}
-        for row in table.to_pylist():
-            parts[row["stop"]].append(_open(row))
-        out = []
-        for stop, opened in parts.items():
-            if not opened:
-                continue
-            token, key, size = (np.concatenate(x) for x in zip(*opened))
-            order = np.lexsort((key, token))
-            token, key, size = token[order], key[order], size[order]
-            new_token = np.concatenate(([True], token[1:] != token[:-1]))
-            once = new_token | np.concatenate(([True], key[1:] != key[:-1]))
-            token, key, size, new_token = token[once], key[once], size[once], new_token[once]
-            run_of = np.cumsum(new_token) - 1
-            n = np.bincount(run_of)[run_of].astype(np.int64) if not stop else np.full(len(token), _LAST)
-            out.append((token[n > 1], key[n > 1], size[n > 1], n[n > 1]))
+        out = shared_tokens(table, buckets)
+        bucket = np.concatenate([_part_of(mix(key.view(np.uint64)), buckets) for _, key, _, _ in out])
         token, key, size, n = (np.concatenate(x) for x in zip(*out))
-        bucket = _part_of(mix(key.view(np.uint64)), buckets)
+        del out
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
         rows = []
@@ -214,12 +206,59 @@ def _counted(blocks: DataFrame, buckets: int) -> DataFrame:
         names = ["bucket", "key", "size", "token", "n"]
         kinds = [pa.int64(), *[pa.binary()] * 4]
         columns = list(zip(*rows)) if rows else [[]] * 5
-        return pa.table({name: pa.array(c, k) for name, c, k in zip(names, columns, kinds)})
+        done = pa.table({name: pa.array(c, k) for name, c, k in zip(names, columns, kinds)})
+        del token, key, size, n, bucket, order, rows, columns
+        give_back()
+        return done
 
     # as many partitions as hash ranges: a task holds about one
     return blocks.repartition(min(buckets, MOST_TASKS), "part").groupBy("part").applyInArrow(run, _SHARED_DDL)
 
 
+def shared_tokens(table: pa.Table, parts: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Token, key, size and count of what two sets or more share, from the blocks of one range; stop shingles all.
+
+    The range is worked through in SUBRANGES steps, so that the blocks are never all open at once.
+    """
+    columns = [table.column(name) for name in _BLOCK.names]
+
+    def opened(stop: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for i, is_stop in enumerate(columns[1]):
+            if is_stop.as_py() == stop:
+                yield _open({name: column[i].as_py() for name, column in zip(_BLOCK.names, columns)})
+
+    first = int(columns[0][0].as_py())
+    width = (1 << 64) // parts
+    inner = np.array([first * width + width * i // SUBRANGES for i in range(1, SUBRANGES)], np.uint64)
+    out = []
+    for step in (*range(SUBRANGES), None):  # None: the stop shingles, which come by set
+        pieces = []
+        for token, key, size in opened(step is None):
+            if step is not None:
+                edges = [0, *np.searchsorted(token, inner).tolist(), len(token)]
+                token, key, size = (x[edges[step] : edges[step + 1]].copy() for x in (token, key, size))
+            pieces.append((token, key, size))
+        if not pieces:
+            continue
+        token, key, size = (np.concatenate(x) for x in zip(*pieces))
+        del pieces
+        if not len(token):
+            continue
+        order = np.lexsort((key, token))
+        token, key, size = token[order], key[order], size[order]
+        new_token = np.concatenate(([True], token[1:] != token[:-1]))
+        once = new_token | np.concatenate(([True], key[1:] != key[:-1]))
+        token, key, size, new_token = token[once], key[once], size[once], new_token[once]
+        if step is None:
+            out.append((token, key, size, np.full(len(token), _LAST)))
+            continue
+        run_of = np.cumsum(new_token) - 1
+        n = np.bincount(run_of)[run_of].astype(np.int64)
+        out.append((token[n > 1], key[n > 1], size[n > 1], n[n > 1]))
+    none = np.zeros(0, np.int64)
+    return out or [(none.view(np.uint64), none, none, none)]
+
+
 _ALIVE = pa.schema([
     ("key", pa.int64()), ("n", pa.int64()), ("first", pa.int64()), ("prefix", pa.list_(pa.int64())),
     ("tokens", pa.binary()),
@@ -251,7 +290,11 @@ def _alive(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
                     "key": int(key[a]), "n": total, "first": alone, "prefix": own[:reach].view(np.int64).tolist(),
                     "tokens": np.sort(own).tobytes(),
                 })
-        return pa.Table.from_pylist(rows, _ALIVE)
+        del key, size, token, order, fresh, n
+        done = pa.Table.from_pylist(rows, _ALIVE)
+        del rows
+        give_back()
+        return done
 
     return shared.repartition(min(buckets, MOST_TASKS), "bucket").groupBy("bucket").applyInArrow(
         run, "key bigint, n bigint, first bigint, prefix array<bigint>, tokens binary"
@@ -267,6 +310,8 @@ def _overlaps(a: pa.Array, b: pa.Array) -> pa.Array:
             x, y = y, x
         at = np.searchsorted(y, x)
         out[i] = (y[np.minimum(at, len(y) - 1)] == x).sum() if len(y) else 0
+    del x, y
+    give_back()
     return pa.array(out)
 
 
