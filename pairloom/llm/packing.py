@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 import tiktoken
 import tokenizers
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.llm.shared import spare_name, with_workers, worker_table, written
@@ -103,6 +103,18 @@ def _ranked(spec: dict) -> tiktoken.Encoding | None:
     return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+def token_lengths(df: DataFrame, text: Column, path: str) -> Column:
+    """The number of ids of ``text``, without the end id; null counts as empty."""
+    with_workers(df)
+
+    @F.arrow_udf("bigint")
+    def lengths(texts: pa.Array) -> pa.Array:
+        encoder = worker_table("packing", Encoder, path)
+        return pa.array([sum(map(len, encoder.encode(t.as_py()))) if t.as_py() else 0 for t in texts], pa.int64())
+
+    return lengths(text)
+
+
 def cut(n: int, longest: int = LONGEST) -> list[int]:
     """Lengths of the pieces of ``n`` ids: powers of two, none above ``longest``, in falling order."""
     rest = n % longest

@@ -74,7 +74,9 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = sharding.pack(documents(spark, sf_dir).select("doc_id", "text"))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    tokens = packing.token_lengths(docs, F.col("text"), public_tokenizers.path("byte_bpe_50k.json"))
+    packed = sharding.pack(docs, tokens=tokens)
     return packed.select(
         F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),

@@ -7,7 +7,8 @@ writing (coreference), and without the key nobody can go back:
 
 * letters become letters of the same script and case, digits become digits, separators stay;
 * a phone number keeps its country code, a card its first digit, an address stays an address;
-* a name gets a first name of the gender of its title and a surname, both in its script; the title stays.
+* a name gets a first name of the gender of its title and a surname, both in its script (Latin, Cyrillic, Greek,
+  Armenian), in capitals if it was; the title stays.
 
 The surrogates of all entities of the table are checked against each other and against all originals. Where two
 entities of one type meet in one surrogate, or a surrogate is somebody's original, all but one are drawn anew with
@@ -15,7 +16,8 @@ the next attempt until nothing collides; after ROUNDS attempts (a form too short
 become `[type-hash]`, which is distinct but not of the form. Only redrawn entities are carried to the documents;
 all others are rewritten where they stand.
 
-Texts without entities stay as they are, null stays null. Rows, also equal ones, are kept one for one.
+Texts without entities stay as they are, null stays null. Rows, also equal ones, are kept one for one, with all
+columns; a column `n_entities` of the table is replaced by the count.
 """
 
 from __future__ import annotations
@@ -46,6 +48,12 @@ _PARTICLE = (
     " ){0,4}+"
 )
 _HEX4 = "[0-9a-fA-F]{1,4}"
+#: Bare numbers are cards only behind the first digits that issuers of their length use, and phone numbers only as
+#: area and exchange codes allow: times since 1970 in seconds and milliseconds are neither.
+_BARE_CARD = "4[0-9]{12}|3[0689][0-9]{12}|3[47][0-9]{13}|[2-6][0-9]{15}|[0-9]{17,19}"
+_BARE_PHONE = "[2-9][0-9]{2}[2-9][0-9]{6}"
+# The country codes of one and two digits; all others have three.
+_COUNTRY = "1|7|20|27|3[0-4]|36|39|4[01]|4[3-9]|5[1-8]|6[0-6]|81|82|84|86|9[0-5]|98|[0-9]{3}"
 
 PATTERNS = {
     "email": rf"(?<![{_WORD}._%+\-])[{_WORD}._%+\-]{{1,64}}+@[{_WORD}\-]{{1,63}}+(?:\.[{_WORD}\-]{{1,63}}+){{1,8}}+",
@@ -54,11 +62,11 @@ PATTERNS = {
     "ip6": rf"(?<![{_WORD}_])(?<![0-9a-fA-F]:)(?:(?:{_HEX4}:){{7}}{_HEX4}|[23fF][0-9a-fA-F]{{3}}(?::{_HEX4}){{0,6}}::"
            rf"(?:{_HEX4}(?::{_HEX4}){{0,5}})?)(?![{_WORD}_:])",
     "card": rf"{_EDGE}(?:[0-9]{{4}}([ \-])[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{4}}(?:\1[0-9]{{3}})?"
-            rf"|[0-9]{{4}}(?:-[0-9]{{6}}-| [0-9]{{6}} )[0-9]{{5}}|[0-9]{{13,19}}){_END}",
+            rf"|[0-9]{{4}}(?:-[0-9]{{6}}-| [0-9]{{6}} )[0-9]{{5}}|{_BARE_CARD}){_END}",
     "ssn": rf"{_EDGE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_END}",
     "phone": rf"(?<![{_WORD}_+])(?:(?:\+?[0-9]{{1,3}}[ .\-]?)?\([0-9]{{3}}\)[ .\-]?|(?:\+?[0-9]{{1,3}}[ .\-])?[0-9]{{3}}[ .\-])"
              rf"[0-9]{{3}}[ .\-][0-9]{{4}}{_END}"
-             rf"|(?<![{_WORD}_+])(?:[0-9]{{1,3}}[ .\-])?[0-9]{{10}}{_END}"
+             rf"|(?<![{_WORD}_+])(?:[0-9]{{1,3}}[ .\-][0-9]{{10}}|{_BARE_PHONE}){_END}"
              rf"|(?<![{_WORD}_+])\+[0-9](?:[ .\-/()]{{0,2}}[0-9]){{7,14}}{_END}",
     "person": rf"{_EDGE}{_TITLE}{_PARTICLE}{_NAME}(?: {_PARTICLE}{_NAME})*+",
 }
@@ -78,10 +86,16 @@ _FIRST_NAMES = {
     ("latin", "female"): ("Alba", "Bettina", "Clara", "Daria", "Elena", "Flora", "Greta", "Helena", "Irma", "Julia"),
     ("cyrillic", "male"): ("Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Захар", "Игорь", "Кирилл", "Лев"),
     ("cyrillic", "female"): ("Анна", "Белла", "Вера", "Галина", "Дарья", "Ева", "Зоя", "Ирина", "Клара", "Лидия"),
+    ("greek", "male"): ("Άρης", "Βασίλης", "Γιώργος", "Δημήτρης", "Ηλίας", "Κώστας", "Λουκάς", "Μάρκος", "Νίκος", "Πέτρος"),
+    ("greek", "female"): ("Άννα", "Βασιλική", "Γεωργία", "Δήμητρα", "Ελένη", "Ζωή", "Ιωάννα", "Κατερίνα", "Μαρία", "Σοφία"),
+    ("armenian", "male"): ("Արամ", "Արմեն", "Գոռ", "Դավիթ", "Հայկ", "Կարեն", "Նարեկ", "Սամվել", "Տիգրան", "Վահան"),
+    ("armenian", "female"): ("Անահիտ", "Անի", "Արփի", "Գոհար", "Լիլիթ", "Մարիամ", "Նարե", "Շուշան", "Սոնա", "Տաթև"),
 }
 _SYLLABLES = {
     "latin": [c + v for c in "bdfgklmnprstvz" for v in "aeiou"],
     "cyrillic": [c + v for c in "бвгдзклмнпрст" for v in "аеиоу"],
+    "greek": [c + v for c in "βγδζθκλμνπρστφ" for v in "αεηιου"],
+    "armenian": [c + v for c in "բգդզթլկհմնպռսվտ" for v in "աեիոու"],
 }
 
 
@@ -106,10 +120,12 @@ def normal(entity: Column, kind: Column) -> Column:
     """What is the same in all writings of an entity: a phone number without its country code, a person with
     the gender of the title."""
     digits = F.regexp_replace(entity, "[^0-9]", "")
+    # a number behind a plus sign begins with its country code; of others the last ten digits are the number
+    national = F.when(entity.startswith("+"), F.regexp_replace(digits, f"^(?:{_COUNTRY})", "")).otherwise(digits)
     male = entity.rlike(f"^(?:{'|'.join(MALE)})" + r"\.? ")
     person = F.concat(F.when(male, F.lit("m ")).otherwise(F.lit("f ")), F.lower(_bare_name(entity)))
     return (
-        F.when(kind == "phone", F.right(digits, F.lit(10))).when(kind.isin("card", "ssn"), digits).when(kind == "person", person).otherwise(F.lower(entity))
+        F.when(kind == "phone", F.right(national, F.lit(10))).when(kind.isin("card", "ssn"), digits).when(kind == "person", person).otherwise(F.lower(entity))
     )
 
 
@@ -154,7 +170,10 @@ def _person(norm: Column, stream: Column, family: Column) -> Column:
         last = F.initcap(F.concat(*[_pick(_SYLLABLES[script], _value(family, i)) for i in (1, 2, 3, 4)]))
         return F.when(F.size(F.split(norm, " ")) > 2, F.concat_ws(" ", first, last)).otherwise(last)
 
-    return F.when(norm.rlike(r"\p{IsCyrillic}"), named("cyrillic")).otherwise(named("latin"))
+    out = named("latin")
+    for script in ("armenian", "greek", "cyrillic"):
+        out = F.when(norm.rlike(rf"\p{{Is{script.capitalize()}}}"), named(script)).otherwise(out)
+    return out
 
 
 def drawn(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
@@ -202,13 +221,14 @@ def _in_case(entity: Column, letters: Column) -> Column:
 def laid_out(entity: Column, kind: Column, surrogate: Column) -> Column:
     """A surrogate in the writing of one occurrence of its entity."""
     digits = F.regexp_replace(entity, "[^0-9]", "")
-    phone = F.concat(F.substring(digits, F.lit(1), F.char_length(digits) - 10), surrogate)
-    title = F.regexp_extract(entity, f"^({_TITLE})", 1)
+    phone = F.concat(F.substring(digits, F.lit(1), F.char_length(digits) - F.char_length(surrogate)), surrogate)
+    title, name = F.regexp_extract(entity, f"^({_TITLE})", 1), _bare_name(entity)
+    person = F.when(name.rlike(r"\p{Lu}{2}") & ~name.rlike(r"\p{Ll}"), F.upper(surrogate)).otherwise(surrogate)
     return (
         F.when(surrogate.startswith("["), surrogate)
         .when(kind == "phone", _in_digits(entity, phone))
         .when(kind.isin("card", "ssn"), _in_digits(entity, surrogate))
-        .when(kind == "person", F.concat(title, surrogate))
+        .when(kind == "person", F.concat(title, person))
         .when(kind == "ip", surrogate)
         .otherwise(_in_case(entity, surrogate))
     )

@@ -5,6 +5,8 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+
 from pairloom.llm import contamination, sharding, similar_sets
 from pairloom.llm import shingles as hashed
 
@@ -155,6 +157,27 @@ def test_shards_are_even_and_slots_gapless(spark, hot):
     assert max(map(len, slots.values())) < 1.5 * min(map(len, slots.values()))
 
 
+@pytest.mark.parametrize("copies, groups, alone", [(5, 40, 800), (60, 80, 0), (3, 400, 3600), (100, 200, 80_000), (2400, 2, 0)])
+def test_groups_are_cut_only_where_they_fit_nowhere(spark, copies, groups, alone):
+    """Tables of 1,000, 4,800 and 100,000 rows. No group up to a tenth of a shard is cut; sizes differ by 3 %."""
+    draw = random.Random(copies)
+    rows = [f"group {g} " + "y" * (g * 7 % 90) for g in range(groups) for _ in range(copies)]
+    rows += [f"{i} " + "x " * draw.randint(0, 60) for i in range(alone)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id bigint, text string").repartition(6)
+    packed = sharding.pack(df).join(df.withColumnRenamed("doc_id", "id"), "id").groupBy("shard", "text").agg(
+        F.count("*").alias("n"), F.sum("size").alias("size")).collect()
+    pieces, loads, counts = {}, [0] * 24, [0] * 24
+    for r in packed:
+        pieces[r["text"]] = pieces.get(r["text"], 0) + 1
+        loads[r["shard"]] += r["size"]
+        counts[r["shard"]] += r["n"]
+    shard = len(rows) / 24
+    cut = sum(n > 1 for n in pieces.values())
+    assert cut == 0 if copies <= shard / 10 else cut <= groups / 4 + 2 * (copies > shard)
+    assert max(loads) < 1.03 * min(loads) or copies > shard / 10
+    assert max(loads) < 1.25 * min(loads) and max(counts) < 1.8 * min(counts)
+
+
 def test_shards_of_few_rows(spark):
     assert sharding.pack(table(spark, [])).count() == 0
     assert [r["slot"] for r in sharding.pack(table(spark, [(1, "a")])).collect()] == [0]

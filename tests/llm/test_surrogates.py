@@ -1,5 +1,8 @@
 """Surrogates: what is found, and that no surrogate is somebody's original."""
 
+import re
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,7 +48,8 @@ def test_nothing_of_an_entity_stays(spark):
 def test_writings_of_one_entity_have_one_surrogate(spark):
     texts = ["555-382-4190", "5553824190", "4111 1111 1111 1111", "4111111111111111", "Mr John McDonald", "Mr JOHN MCDONALD"]
     rows = surrogates.replaced(spark.createDataFrame([(t, t) for t in texts], "was string, text string"), "key").collect()
-    got = {r["was"]: r["text"].replace("-", "").replace(" ", "") for r in rows}
+    # separators and capitals are those of the writing
+    got = {r["was"]: r["text"].replace("-", "").replace(" ", "").lower() for r in rows}
     assert all(got[a] == got[b] for a, b in zip(texts[::2], texts[1::2]))
 
 
@@ -60,3 +64,60 @@ def test_a_person_does_not_become_another(spark):
 def test_long_runs_pass(spark, text):
     assert surrogates.replaced(spark.createDataFrame([(text,)], "text string"), "key").count() == 1
     assert spark.createDataFrame([(text,)], "text string").select(F.size(surrogates.found(F.col("text")))).first()
+
+
+def replacements(spark, *texts, key="key"):
+    rows = surrogates.replaced(spark.createDataFrame([(t, t) for t in texts], "was string, text string"), key).collect()
+    return {r["was"]: r["text"] for r in rows}
+
+
+def test_times_and_other_bare_numbers_stay(spark):
+    plain = ["at 1700000000", "at 1700000000123", "no 0123456789", "id 98765432109876", "sum 1111111111111111", "5551234567890"]
+    assert replacements(spark, *plain) == {t: t for t in plain}
+
+
+def test_country_codes_and_layout_stay(spark):
+    texts = ["+45 12 34 56 78", "+65 6123 4567", "+44 20 7946 0958", "+1 (555) 382-4190", "+358 40 1234567", "+7 495 123-45-67", "1 5553824190"]
+    codes = ["+45 ", "+65 ", "+44 ", "+1 (", "+358 ", "+7 ", "1 "]
+    got = replacements(spark, *texts)
+    for text, code in zip(texts, codes):
+        assert got[text].startswith(code) and got[text] != text
+        assert re.sub("[0-9]", "0", got[text]) == re.sub("[0-9]", "0", text)
+
+
+def test_names_keep_script_case_and_gender(spark):
+    texts = ["Mr Παπαδόπουλος", "Mrs ELENA", "Господин Иванов", "Mr Արամյան", "Mr Bo Ek", "Mrs Bo Ek", "Mr IVAN PETROV"]
+    got = {t: surrogate.split(" ", 1) for t, surrogate in replacements(spark, *texts).items()}
+    assert all(got[t][0] == t.split(" ")[0] for t in texts)
+    scripts = {"Mr Παπαδόπουλος": "GREEK", "Господин Иванов": "CYRILLIC", "Mr Արամյան": "ARMENIAN", "Mr Bo Ek": "LATIN"}
+    for text, script in scripts.items():
+        assert all(script in unicodedata.name(c) for c in got[text][1] if c.isalpha())
+        assert got[text][1].istitle()
+    assert got["Mrs ELENA"][1].isupper() and got["Mr IVAN PETROV"][1].isupper()
+    first = {g: surrogates._FIRST_NAMES["latin", g] for g in ("male", "female")}
+    assert got["Mr Bo Ek"][1].split()[0] in first["male"] and got["Mrs Bo Ek"][1].split()[0] in first["female"]
+
+
+def test_nulls_empty_tables_and_clashing_columns(spark):
+    names = ("entities", "parts", "fixes", "text_digest", "kind", "norm", "surrogate", "entity", "n_entities")
+    schema = ", ".join(["doc_id bigint", "text string", *(f"{n} string" for n in names)])
+    rows = [(i, t, *names) for i, t in ((1, None), (2, ""), (None, "Mr Smith"), (3, "plain"), (3, "plain"))]
+    got = surrogates.replaced(spark.createDataFrame(rows, schema), "key")
+    assert sorted(got.columns) == sorted(["doc_id", "text", *names])
+    found = sorted(((r["doc_id"], r["text"], r["n_entities"]) for r in got.collect()), key=str)
+    assert [f for f in found if f[0] is not None] == [(1, None, 0), (2, "", 0), (3, "plain", 0), (3, "plain", 0)]
+    assert all(tuple(r[n] for n in names[:-1]) == names[:-1] for r in got.collect())
+    assert surrogates.replaced(spark.createDataFrame([], schema), "key").count() == 0
+
+
+def test_surrogates_of_many_entities_are_distinct(spark):
+    """Short forms collide often at first: three-digit ends of addresses and numbers of one layout."""
+    docs = spark.range(4_000).selectExpr(
+        "concat('ssn ', lpad(cast(id % 900 as string), 3, '0'), '-', lpad(cast(id div 900 as string), 2, '0'), '-0000') as a",
+        "concat('call +45 ', lpad(cast(id as string), 8, '0')) as b", "concat('u', id % 3000, '@x.org') as c",
+    )
+    rows = docs.selectExpr("stack(3, a, b, c) as was").distinct().withColumn("text", F.col("was"))
+    out = surrogates.replaced(rows, "key").cache()
+    n = rows.count()
+    assert out.where("n_entities = 1").count() == n and out.select("text").distinct().count() == n
+    assert out.join(rows.select(F.col("was").alias("text")), "text", "left_semi").count() == 0
