@@ -6,6 +6,7 @@ import random
 import pyarrow as pa
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -107,3 +108,16 @@ def test_nulls_empty_tables_and_other_columns(spark):
         ("x", [], b"", 0), ("y", [], b"", 0), ("y", [], b"", 0)
     ]
     assert rows.where("doc_id > 9").count() == 0
+
+
+def test_the_fast_matcher_equals_the_pattern():
+    """Every character under U+0300 alone, and between letters, digits, blanks and marks."""
+    find, exact = bpe.matcher(P.PATTERN), regex.compile(P.PATTERN).findall
+    assert bpe._USUAL == P.PATTERN
+    for c in map(chr, range(0x300)):
+        for text in (c, f"a{c}b", f"1{c}2", f" {c} ", f"{c}{c}\n", f"x {c}", f"'{c}s", f"_{c}_", f"!{c}?"):
+            assert find(text) == exact(text), repr(text)
+    draw = random.Random(6)
+    for _ in range(2000):
+        text = "".join(draw.choices("ab'sdé1² _!\n\t\x1c\x85\xa0Ǆſ", k=draw.randrange(30)))
+        assert find(text) == exact(text), repr(text)
