@@ -16,10 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import ascii_lower, spare_name
+from pairloom.llm.shared import ascii_lower, spare_name, written
 
 #: Rules that are sent to every executor at most: about 200 bytes each, 40 MB. More are joined by a shuffle.
 BROADCAST_RULES = 200_000
+#: A host and path with more than this share of all rows meets its verdict by broadcast (there are 1 / HOT at most),
+#: all others by a shuffle.
+HOT = 1 / 1000
 SHORT = 8  # hex digits of the joined digest prefix
 
 
@@ -72,9 +75,10 @@ def url_verdicts(urls: DataFrame, rules: DataFrame, url: str = "url", default: s
         ]),
         lambda x: x.isNotNull(),
     )
-    places = out.select("host", "path").distinct()
+    places = written(out.groupBy("host", "path").agg(F.count(F.lit(1)).alias("rows")), "places")
+    n = places.agg(F.sum("rows")).first()[0] or 0
     expressions = (
-        places.withColumn("suffix", F.explode(suffixes))
+        places.select("host", "path").withColumn("suffix", F.explode(suffixes))
         .withColumn("prefix", F.explode(prefixes))
         .withColumn("digest", _digest(F.col("suffix"), F.col("prefix")))
         .withColumn("short", F.substring("digest", 1, SHORT))
@@ -88,11 +92,29 @@ def url_verdicts(urls: DataFrame, rules: DataFrame, url: str = "url", default: s
         .groupBy("host", "path")
         .agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "rule_verdict"), rank).alias("won"))
     )
-    won_host, won_path = spare_name(out, "won_host"), spare_name(out, "won_path")
-    won = won.select(F.col("host").alias(won_host), F.col("path").alias(won_path), "won")
-    taken = spare_name(out, "won")
-    won = won.withColumnRenamed("won", taken)
-    joined = out.join(won, (out["host"] == won[won_host]) & (out["path"] == won[won_path]), "left")
-    return joined.withColumns({
-        "rule": F.col(f"{taken}.rule"), "verdict": F.coalesce(F.col(f"{taken}.rule_verdict"), F.lit(default)),
-    }).drop(won_host, won_path, taken)
+    won = written(won.select("host", "path", "won.*"), "won")
+    hot = places.where(F.col("rows") > n * HOT).select("host", "path", F.lit(True).alias("hot"))
+    hot = hot.join(won, ["host", "path"], "left")
+    return _judged(out, won, hot, default)
+
+
+def _judged(out: DataFrame, won: DataFrame, hot: DataFrame, default: str) -> DataFrame:
+    """``out`` with the rule and verdict of its host and path; no frequent one is shuffled."""
+    own = {c: spare_name(out, f"won_{c}") for c in ("host", "path", "hot", "rule", "rule_verdict")}
+
+    def beside(table: DataFrame) -> DataFrame:
+        return table.select(*[F.col(c).alias(own[c]) for c in table.columns])
+
+    def met(rows: DataFrame, table: DataFrame) -> DataFrame:
+        same = (rows["host"] == table[own["host"]]) & (rows["path"] == table[own["path"]])
+        return rows.join(table, same, "left")
+
+    def told(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumns({
+            "rule": F.col(own["rule"]), "verdict": F.coalesce(F.col(own["rule_verdict"]), F.lit(default)),
+        })
+        return rows.select(*out.columns, *[c for c in ("rule", "verdict") if c not in out.columns])
+
+    first = met(out, F.broadcast(beside(hot)))
+    rest = first.where(F.col(own["hot"]).isNull()).select(*out.columns)
+    return told(first.where(F.col(own["hot"]))).unionByName(told(met(rest, beside(won))))

@@ -2,6 +2,7 @@
 
 import random
 
+import zstandard
 from pairloom.llm import language
 from pyspark.sql import functions as F
 
@@ -50,3 +51,36 @@ def test_nothing_to_learn_from(spark):
     rows = [(None, "some text", "en"), (1, None, "en"), (2, "text", None), (3, "12", "en")]
     learned, got = told(spark, rows, ["some text", ""])
     assert learned == {} and set(got.values()) == {"und"}
+
+
+def test_predictions_equal_plain_compression(spark):
+    """Every text is compressed on its own with every dictionary, block by block."""
+    writers = {f"l{i}": writer(i) for i in range(4)}
+    rows = [(i, w(60), name) for name, w in writers.items() for i in range(20)]
+    learned = language.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    draw = random.Random(7)
+    texts = [None, "", "12 34 !?", "é", " \n"]
+    for _ in range(40):
+        parts = [draw.choice(list(writers.values()))(draw.choice((1, 3, 20, 900))) for _ in range(draw.choice((1, 1, 2)))]
+        texts.append(draw.choice((" ", "\n", " 99 ")).join(parts).title())
+    texts += texts[5:8]  # repeated rows
+    docs = spark.createDataFrame([(t, "own", "o") for t in texts], "text string, lang_pred string, score string")
+    got = docs.select("text", "lang_pred", language.identify(docs, F.col("text"), learned).alias("f")).collect()
+    assert len(got) == len(texts) and {r["lang_pred"] for r in got} == {"own"}
+    names = list(learned)
+    for r in got:
+        body = language.normal(r["text"] or "").encode()
+        if not any(c.isalpha() for c in r["text"] or ""):
+            assert (r["f"]["lang_pred"], r["f"]["score"], r["f"]["rejected"]) == ("und", 0.0, True)
+            continue
+        sizes = []
+        for name in names:
+            content = zstandard.ZstdCompressionDict(learned[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            content.precompute_compress(level=language.LEVEL)
+            plain = zstandard.ZstdCompressor(dict_data=content, write_checksum=False, write_content_size=False, write_dict_id=False)
+            sizes.append(sum(len(plain.compress(body[i : i + language.BLOCK])) for i in range(0, len(body), language.BLOCK)))
+        best = min(range(len(names)), key=lambda i: sizes[i])
+        second = min(s for i, s in enumerate(sizes) if i != best)
+        assert r["f"]["lang_pred"] == names[best]
+        assert r["f"]["rejected"] == ((second - sizes[best]) / sizes[best] < language.MARGIN)
+        assert 0 < r["f"]["score"] <= 1
