@@ -157,7 +157,8 @@ def _drawn(norm: Column, stream: Column, scripts) -> Column:
 
 
 def _pick(choices: list[str] | tuple[str, ...], value: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in choices]), value % len(choices) + 1)
+    # one literal: an array of them would make the plan large, which the driver has to hold
+    return F.split_part(F.lit(",".join(choices)), F.lit(","), value % len(choices) + 1)
 
 
 def _person(norm: Column, stream: Column, family: Column) -> Column:
