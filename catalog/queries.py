@@ -42,7 +42,7 @@ BATCH, MEGA = 8, 10
 
 def scan_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = F.trim(F.regexp_replace("text", F.lit(JUNK), ""))
-    df = read_pairs(spark, sf_dir, glob="documents.parquet", columns={"raw": F.col("text"), "clean": clean})
+    df = read_pairs(spark, f"{sf_dir}/documents.parquet", columns={"raw": F.col("text"), "clean": clean})
     return df.select("doc_id", "lang", F.md5("raw").alias("raw_md5"), F.md5("clean").alias("clean_md5"))
 
 
