@@ -200,7 +200,7 @@ def shard_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shard_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards.shard_gaps(shards.shard_names(listing(spark, sf_dir)))
+    return shards.missing_indexes(shards.shard_gaps(shards.shard_names(listing(spark, sf_dir))))
 
 
 def shard_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

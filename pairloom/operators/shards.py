@@ -18,6 +18,8 @@ from pairloom.config import FULL_CORPUS_ROWS, PAIR_COLUMNS, TOKEN_COLUMNS
 SHARD_NAME = r"^train-([0-9]+)-of-([0-9]+)\.parquet$"
 SHARD_GLOB = r"^train-.*\.parquet$"
 TMP_GLOB = r"^tmp-.*\.parquet$"
+#: Indexes that a step of listing a run makes of one row, as a power of two.
+BLOCK_BITS = 16
 
 
 def train_files(listing: DataFrame) -> DataFrame:
@@ -47,6 +49,24 @@ def shard_gaps(names: DataFrame) -> DataFrame:
     return runs.filter("first <= last").select("dataset", "first", "last", (F.col("idx") - F.col("first")).alias("n"))
 
 
+def missing_indexes(gaps: DataFrame) -> DataFrame:
+    """``dataset, idx``: every index of the runs of :func:`shard_gaps`, one row each.
+
+    A run is cut into ever smaller blocks, none of which makes more than 65,536 of the next size; the last ones are
+    dealt over the tasks before their indexes are listed, so a long run is not the work of one task.
+    """
+    runs = gaps.select("dataset", "first", "last")
+    for bits in (3 * BLOCK_BITS, 2 * BLOCK_BITS, BLOCK_BITS):
+        block = F.explode(F.sequence(F.shiftright("first", bits), F.shiftright("last", bits))).alias("_block")
+        runs = runs.select("dataset", "first", "last", block).select(
+            "dataset",
+            F.greatest("first", F.shiftleft("_block", bits)).alias("first"),
+            F.least("last", F.shiftleft("_block", bits) + ((1 << bits) - 1)).alias("last"),
+        )
+    dealt = runs.repartition("dataset", "first")
+    return dealt.select("dataset", F.explode(F.sequence("first", "last")).alias("idx"))
+
+
 def shard_duplicates(names: DataFrame) -> DataFrame:
     """Indexes that more than one file carries."""
     counts = names.filter("valid").groupBy("dataset", "idx").agg(F.count("*").alias("n_files"))

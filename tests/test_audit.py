@@ -159,6 +159,14 @@ def test_a_large_number_in_a_name_is_one_gap(spark, folder):
     assert (found["n"], found["detail"]) == (10**18 - 1, f"between 1 and {10**18 - 1}")
 
 
+def test_runs_are_listed_index_by_index(spark):
+    top = 10**18
+    rows = [("d", 1, 3), ("d", 5, 5), ("e", 0, 200_000), (None, 7, 8), ("f", top + 65_530, top + 65_540)]
+    gaps = spark.createDataFrame(rows, "dataset string, first bigint, last bigint")
+    got = sorted((tuple(r) for r in shards.missing_indexes(gaps).collect()), key=str)
+    assert got == sorted(((d, i) for d, first, last in rows for i in range(first, last + 1)), key=str)
+
+
 def test_every_folder_has_a_line_in_the_report(spark, folder, tmp_path):
     sound = folder("sound", **{"train-0-of-2.parquet": RAW, "train-1-of-2.parquet": RAW.slice(0, 1)})
     broken = folder("broken", **{"train-0-of-2.parquet": RAW, "train-1-of-2.parquet": b"no"})
