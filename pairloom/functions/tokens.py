@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.session import ship_package
+from pairloom.session import ready_workers
 
 PAD_ID = 0
 EOS_ID = 1
@@ -25,7 +25,7 @@ def byte_ids(text: Column, budget: int | None = None) -> Column:
     Bytes become ids by arithmetic on Arrow buffers, whole batches at once. Only the bytes that the budget
     leaves go to the workers, so a long text under a small budget costs no more than the budget.
     """
-    ship_package(SparkSession.active())
+    ready_workers(SparkSession.active())
 
     @F.arrow_udf("array<int>")
     def ids(data: pa.Array) -> pa.Array:

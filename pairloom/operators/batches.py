@@ -15,7 +15,7 @@ from pairloom.functions.arrays import attention_mask, pad_right, round_up
 from pairloom.functions.text import prefixed
 from pairloom.operators.ranking import zoned_rank
 from pairloom.operators.tokenizers import ByteTokenizer, cut_ids, worker_object
-from pairloom.session import ship_package
+from pairloom.session import ready_workers
 
 
 def length_batches(
@@ -121,7 +121,7 @@ def collate(
     The rows of a zone arrive in order, as the batches were formed there; each batch is padded and put out
     as soon as its last row is read, so a task holds one batch.
     """
-    ship_package(batched.sparkSession)
+    ready_workers(batched.sparkSession)
     rows = batched.select(*BATCH_KEYS, "pos", "input_ids", "labels")
     return _assembled(rows, _stored_ids, pad_id, label_pad, multiple)
 
@@ -138,7 +138,7 @@ def collate_texts(
 
     So the shuffle carries texts and lengths, a quarter of the size of ids or less.
     """
-    ship_package(batched.sparkSession)
+    ready_workers(batched.sparkSession)
     rows = batched.select(*BATCH_KEYS, "pos", prefixed(F.col("lang"), F.col("raw")), "clean")
     read = partial(_tokenised, tokenizer.worker(), tokenizer.eos_id, max_input, max_target)
     return _assembled(rows, read, tokenizer.pad_id, label_pad, multiple)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairloom.config import MAX_INPUT, MAX_TARGET
 from pairloom.functions.text import prefixed
 from pairloom.operators.tokenizers import ByteTokenizer
+from pairloom.session import ready_workers
 
 BYTES = ByteTokenizer()
 
@@ -43,6 +44,7 @@ def tokenize_pairs(
 
     Each text is tokenised once. A budget of None leaves the sequences whole.
     """
+    ready_workers(df.sparkSession)
     encoded = df.select(
         *keep,
         tokenizer.encode(model_input(), max_input).alias("_input"),

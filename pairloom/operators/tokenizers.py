@@ -19,7 +19,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import tokens
-from pairloom.session import ship_package
+from pairloom.session import ready_workers
 
 
 @dataclass(frozen=True)
@@ -103,7 +103,7 @@ class WorkerTokenizer:
         return pickle.dumps(self.factory)
 
     def _encoder(self, budget: int | None) -> Callable[[Column], Column]:
-        ship_package(SparkSession.active())
+        ready_workers(SparkSession.active())
         factory, eos_id = self.worker(), self.eos_id
 
         def encode(texts: pa.Array) -> pa.Array:

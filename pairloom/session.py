@@ -43,6 +43,23 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+#: Bytes of an Arrow batch that goes to a Python worker, where the session does not say otherwise.
+BATCH_BYTES = "8m"
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_SPARKS_BYTES = "67108864b"  # Spark's default
+
+
+def ready_workers(spark: SparkSession) -> None:
+    """:func:`ship_package`, and batches of bounded bytes for the Python workers.
+
+    What a worker makes of a batch of texts (ids, counts, lines) is several times its size and lives as long as
+    the batch, so it is the batch that bounds a worker's memory, whatever the table's size.
+    """
+    ship_package(spark)
+    if spark.conf.get(_BYTES) == _SPARKS_BYTES:
+        spark.conf.set(_BYTES, BATCH_BYTES)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

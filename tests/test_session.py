@@ -3,7 +3,11 @@ from types import SimpleNamespace
 
 import pytest
 
-from pairloom.session import shared_folder
+from pyspark.sql import functions as F
+
+from pairloom.operators.prepare import tokenize_pairs
+from pairloom.operators.tokenizers import WorkerTokenizer
+from pairloom.session import BATCH_BYTES, ready_workers, shared_folder
 
 
 def session(master, application, folder=None):
@@ -32,3 +36,35 @@ def test_a_cluster_needs_a_named_folder():
 def test_a_real_session_without_the_key(spark):
     if spark.conf.get("spark.checkpoint.dir", None) is None:
         assert os.path.isdir(shared_folder(spark))
+
+
+BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+class BatchSize:
+    """Every text has as many tokens, and as first id, as its batch has letters."""
+
+    def encode_batch(self, texts):
+        return [[sum(map(len, texts))] for _ in texts]
+
+    def count_batch(self, texts):
+        return [sum(map(len, texts)) for _ in texts]
+
+
+def fresh(spark, rows, size):
+    """A session with Spark's settings, and so many pairs of that size in one partition of it."""
+    text = F.repeat(F.lit("x"), size)
+    return spark.newSession().range(0, rows, 1, 1).select("id", F.lit("en").alias("lang"), text.alias("raw"), text.alias("clean"))
+
+
+def test_texts_go_to_the_tokenizer_in_batches_of_bounded_bytes(spark):
+    ids = tokenize_pairs(fresh(spark, 300, 60_000), WorkerTokenizer(BatchSize, "sizes", eos_id=1), None, None)
+    largest = ids.agg(F.max(F.col("input_ids")[0] + F.col("labels")[0])).first()[0]
+    assert largest < 9 << 20  # 36 MB in all
+
+
+def test_a_batch_size_of_the_session_stays(spark):
+    session = spark.newSession()
+    session.conf.set(BYTES, "1m")
+    ready_workers(session)
+    assert session.conf.get(BYTES) == "1m"
