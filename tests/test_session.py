@@ -5,6 +5,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from pairloom.operators.accuracy import masked_token_accuracy
 from pairloom.operators.prepare import tokenize_pairs
 from pairloom.operators.tokenizers import WorkerTokenizer
 from pairloom.session import BATCH_BYTES, ready_workers, shared_folder
@@ -63,6 +64,12 @@ def test_texts_go_to_the_tokenizer_in_batches_of_bounded_bytes(spark):
     assert largest < 9 << 20  # 36 MB in all
 
 
+def test_ids_are_scored_in_batches_of_bounded_bytes(spark):
+    ids = fresh(spark, 2, 1).select(F.array("id").alias("predictions"), F.array("id").alias("labels"))
+    assert masked_token_accuracy(ids).first()["n_hits"] == 2
+    assert ids.sparkSession.conf.get(BYTES) == BATCH_BYTES
+
+
 def test_a_batch_size_of_the_session_stays(spark):
     session = spark.newSession()
     session.conf.set(BYTES, "1m")
