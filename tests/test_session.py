@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.operators.accuracy import masked_token_accuracy
+from pairloom.operators.chunks import chunk_pairs
 from pairloom.operators.prepare import tokenize_pairs
 from pairloom.operators.tokenizers import WorkerTokenizer
 from pairloom.session import BATCH_BYTES, ready_workers, shared_folder
@@ -64,6 +65,12 @@ def test_texts_go_to_the_tokenizer_in_batches_of_bounded_bytes(spark):
     assert largest < 9 << 20  # 36 MB in all
 
 
+def test_pairs_are_cut_in_batches_of_bounded_bytes(spark):
+    pairs = fresh(spark, 300, 60_000)
+    chunk_pairs(pairs, "id")
+    assert pairs.sparkSession.conf.get(BYTES) == BATCH_BYTES
+
+
 def test_ids_are_scored_in_batches_of_bounded_bytes(spark):
     ids = fresh(spark, 2, 1).select(F.array("id").alias("predictions"), F.array("id").alias("labels"))
     assert masked_token_accuracy(ids).first()["n_hits"] == 2
