@@ -147,34 +147,45 @@ def _drawn(norm: Column, stream: Column, scripts) -> Column:
     """``norm`` with every character replaced by one of its own script."""
 
     def one(char: Column, i: Column) -> Column:
-        out = char
-        for pattern, letters in reversed(scripts):
-            letter = F.substring(F.lit(letters), _value(stream, i) % len(letters) + 1, F.lit(1))
-            out = F.when(char.rlike(f"^(?:{pattern})$"), letter).otherwise(out)
-        return out
+        letters = F.lit(None).cast("string")
+        for pattern, own in reversed(scripts):
+            letters = F.when(char.rlike(f"^(?:{pattern})$"), F.lit(own)).otherwise(letters)
+
+        def letter(own: Column) -> Column:
+            drawn = F.substring(own, _value(stream, i) % F.char_length(own) + 1, F.lit(1))
+            return F.when(own.isNull(), char).otherwise(drawn)
+
+        return let(letters, letter)
 
     return F.array_join(F.transform(F.split(norm, ""), one), "")
 
 
-def _pick(choices: list[str] | tuple[str, ...], value: Column) -> Column:
+def _choices(of: list[str] | tuple[str, ...]) -> Column:
     # one literal: an array of them would make the plan large, which the driver has to hold
-    return F.split_part(F.lit(",".join(choices)), F.lit(","), value % len(choices) + 1)
+    return F.struct(F.lit(",".join(of)).alias("list"), F.lit(len(of)).alias("n"))
+
+
+def _pick(choices: Column, value: Column) -> Column:
+    return F.split_part(choices["list"], F.lit(","), value % choices["n"] + 1)
 
 
 def _person(norm: Column, stream: Column, family: Column) -> Column:
     """First name (if there was one) and surname, by gender and script; ``family`` is drawn for the surname."""
 
-    def named(script: str) -> Column:
-        first = F.when(norm.startswith("m "), _pick(_FIRST_NAMES[script, "male"], _value(stream, 0))).otherwise(
-            _pick(_FIRST_NAMES[script, "female"], _value(stream, 0))
-        )
-        last = F.initcap(F.concat(*[_pick(_SYLLABLES[script], _value(family, i)) for i in (1, 2, 3, 4)]))
-        return F.when(F.size(F.split(norm, " ")) > 2, F.concat_ws(" ", first, last)).otherwise(last)
+    def lists(script: str) -> Column:
+        male, female = _choices(_FIRST_NAMES[script, "male"]), _choices(_FIRST_NAMES[script, "female"])
+        first = F.when(norm.startswith("m "), male).otherwise(female)
+        return F.struct(first.alias("first"), _choices(_SYLLABLES[script]).alias("syllables"))
+
+    def named(own: Column) -> Column:
+        first = F.when(F.size(F.split(norm, " ")) > 2, _pick(own["first"], _value(stream, 0)))
+        last = let(family, lambda f: F.initcap(F.concat(*[_pick(own["syllables"], _value(f, i)) for i in (1, 2, 3, 4)])))
+        return F.concat_ws(" ", first, last)  # which leaves out a null
 
-    out = named("latin")
+    chosen = lists("latin")
     for script in ("armenian", "greek", "cyrillic"):
-        out = F.when(norm.rlike(rf"\p{{Is{script.capitalize()}}}"), named(script)).otherwise(out)
-    return out
+        chosen = F.when(norm.rlike(rf"\p{{Is{script.capitalize()}}}"), lists(script)).otherwise(chosen)
+    return let(chosen, named)
 
 
 def drawn(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
@@ -186,11 +197,13 @@ def drawn(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
             ".", (_value(stream, 0) % 223 + 1).cast("string"), (_value(stream, 1) % 256).cast("string"),
             (_value(stream, 2) % 256).cast("string"), (_value(stream, 3) % 254 + 1).cast("string"),
         )
+        # a card keeps its first digit
+        kept = F.when(kind == "card", F.substring(norm, 1, 1)).otherwise("")
+        changed = F.when(kind == "card", F.substring(norm, 2, 99)).otherwise(norm)
         return (
             F.when(kind == "ip", ip).when(kind == "person", _person(norm, stream, family))
             .when(kind.isin("secret", "ip6"), _drawn(norm, stream, _HEX))
-            .when(kind == "card", F.concat(F.substring(norm, 1, 1), _drawn(F.substring(norm, 2, 99), stream, _SCRIPTS)))
-            .otherwise(_drawn(norm, stream, _SCRIPTS))
+            .otherwise(F.concat(kept, _drawn(changed, stream, _SCRIPTS)))
         )
 
     return let(_stream(kind, norm, attempt, key), of)
@@ -223,12 +236,12 @@ def laid_out(entity: Column, kind: Column, surrogate: Column) -> Column:
     """A surrogate in the writing of one occurrence of its entity."""
     digits = F.regexp_replace(entity, "[^0-9]", "")
     phone = F.concat(F.substring(digits, F.lit(1), F.char_length(digits) - F.char_length(surrogate)), surrogate)
+    number = F.when(kind == "phone", phone).otherwise(surrogate)
     title, name = F.regexp_extract(entity, f"^({_TITLE})", 1), _bare_name(entity)
     person = F.when(name.rlike(r"\p{Lu}{2}") & ~name.rlike(r"\p{Ll}"), F.upper(surrogate)).otherwise(surrogate)
     return (
         F.when(surrogate.startswith("["), surrogate)
-        .when(kind == "phone", _in_digits(entity, phone))
-        .when(kind.isin("card", "ssn"), _in_digits(entity, surrogate))
+        .when(kind.isin("phone", "card", "ssn"), let(number, lambda new: _in_digits(entity, new)))
         .when(kind == "person", F.concat(title, person))
         .when(kind == "ip", surrogate)
         .otherwise(_in_case(entity, surrogate))
@@ -296,7 +309,9 @@ def replaced(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         def of_kind(kind: Column) -> Column:
             def of_norm(norm: Column) -> Column:
                 fixed = F.try_element_at(F.col(fixes), F.concat(kind, F.lit(" "), norm))
-                return laid_out(entity, kind, F.coalesce(fixed, drawn(kind, norm, F.lit(0), key)))
+                surrogate = F.coalesce(fixed, drawn(kind, norm, F.lit(0), key))
+                # named once: the driver holds the plan, its copies and its text
+                return let(surrogate, lambda new: laid_out(entity, kind, new))
 
             return let(normal(entity, kind), of_norm)
 
