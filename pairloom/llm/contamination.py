@@ -21,13 +21,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import ascii_lower, written
+from pairloom.llm.shared import ascii_lower, let, written
 
 WINDOW = 10
 SHINGLE = 5
-#: Slots of the byte map for each shingle of the benchmark, and at most: 4 MB in the plan.
-SLOTS_EACH = 256
+#: Slots of the byte map for each shingle of the benchmark, and at most: 4 MB in the plan, whose text the driver
+#: writes out. Four places a shingle in so few slots let fewer others pass than one place in 256 slots did.
+SLOTS_EACH = 16
 MAP_SLOTS = 1 << 22
+PROBES = 4
 #: Windows that are sent to every executor at most, about 300 bytes each: 60 MB. More are joined by a shuffle.
 BROADCAST_WINDOWS = 200_000
 
@@ -72,25 +74,35 @@ def _shingles(windows: DataFrame, widths: list[int]) -> DataFrame:
     return windows.select("window", "size", "items", F.inline(F.coalesce(*per_width)))
 
 
-def _byte_map(shingles: DataFrame) -> tuple[bytes, int]:
+def _slots(h: Column, slots: int, probes: int) -> Column:
+    return F.array(*[F.pmod(F.shiftright(h, 16 * k), F.lit(slots)).cast("int") for k in range(probes)])
+
+
+def _byte_map(shingles: DataFrame) -> tuple[bytes, int, int]:
+    """The map, its slots, and how many of them every shingle sets."""
     n = shingles.select("hash").distinct().count()
     slots = 1024
     while slots < SLOTS_EACH * n and slots < MAP_SLOTS:
         slots *= 2
+    probes = max(1, min(PROBES, 7 * slots // (10 * max(n, 1))))  # a full map passes fewest with fewer
     out = bytearray(slots)
-    for (slot,) in shingles.select(F.pmod("hash", F.lit(slots))).distinct().collect():  # MAP_SLOTS at most
+    set_slots = shingles.select(F.explode(_slots(F.col("hash"), slots, probes)).alias("slot"))
+    for (slot,) in set_slots.distinct().collect():  # MAP_SLOTS at most
         out[slot] = 1
-    return bytes(out), slots
+    return bytes(out), slots, probes
 
 
-def _places(words: Column, width: int, byte_map: bytes, slots: int) -> Column:
+def _places(words: Column, width: int, byte_map: bytes, slots: int, probes: int) -> Column:
     """0-based starts of the shingles that the byte map lets pass, with what the join needs of each."""
     n = F.size(words) - width
+
+    def passes(h: Column) -> Column:
+        # the map stands in the plan once
+        return F.forall(_slots(h, slots, probes), lambda at: F.substring(F.lit(byte_map), at + 1, 1) == F.lit(b"\x01"))
+
     may = F.filter(
         F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.substring(
-            F.lit(byte_map), F.pmod(_hash(words, i, width), F.lit(slots)).cast("int") + 1, 1
-        ) == F.lit(b"\x01"),
+        lambda i: let(_hash(words, i, width), passes),
     )
     back = WINDOW - width
     return F.transform(
@@ -124,8 +136,8 @@ def contamination(docs: DataFrame, items: DataFrame, keep: list[str], text: str
             F.lit(None).cast("string").alias("digest"), F.lit(False).alias("contaminated"),
         )
     shingles = written(_shingles(windows, sorted(widths)), "shingles")
-    byte_map, slots = _byte_map(shingles)
-    places = F.concat(*[_places(F.col("words"), w, byte_map, slots) for w in sorted(widths)])
+    byte_map, slots, probes = _byte_map(shingles)
+    places = F.concat(*[_places(F.col("words"), w, byte_map, slots, probes) for w in sorted(widths)])
     rows = rows.select(*[f"kept_{i}" for i in range(len(keep))], n_words, "text", places.alias("places"))
     digest = F.when(F.size("places") > 0, F.sha2("text", 256)).alias("digest")
     rows = written(rows.select("*", digest).drop("text"), "places")

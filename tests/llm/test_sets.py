@@ -133,6 +133,17 @@ def test_contamination_equals_brute_force(spark, monkeypatch, slots):
     assert kept.count() == sum(not r[-1] for r in got) and kept.columns == table(spark, []).columns
 
 
+def test_the_byte_map_is_small_and_lets_few_pass(spark):
+    """The driver writes the plan's text, in which each byte of the map takes two letters."""
+    shingles = spark.range(4000).select(F.xxhash64("id").alias("hash"))
+    byte_map, slots, probes = contamination._byte_map(shingles)
+    assert len(byte_map) == slots <= 32 * 4000
+    slot = contamination._slots(F.xxhash64("id"), slots, probes)
+    rows = spark.range(24000).select("id", slot.alias("at")).collect()
+    passed = [all(byte_map[i] for i in r["at"]) for r in rows]
+    assert all(passed[:4000]) and sum(passed[4000:]) < 20000 / 200
+
+
 def test_contamination_of_empty_tables(spark):
     items = spark.createDataFrame([(1, None)], "item_id int, text string")
     found = contamination.contamination(table(spark, [(1, "a b"), (2, None)]), items, ["doc_id"]).collect()
