@@ -216,6 +216,42 @@ def test_gaps_beyond_the_bound_stay_whole(monkeypatch):
     assert align.matched_lines(["p", "x", "x y", "q"], ["p", "y", "q"]) == [(0, 0), (3, 2)]
 
 
+def changed(seed, n):
+    """Lines, and those left when a twentieth is dropped and every one is changed; with the numbers of those left."""
+    rng = random.Random(seed)
+    lines = [" ".join(f"w{rng.randrange(99)}" for _ in range(rng.randrange(4, 9))) for _ in range(n)]
+    kept = [i for i in range(n) if rng.random() >= 0.05]
+    return lines, [lines[i] + " #" for i in kept], kept
+
+
+def test_gaps_of_every_size_are_matched(spark, pairs_of):
+    for n in (200, 300, 2000):  # 300 lines on one side times 285 on the other were left unmatched once
+        raw, clean, kept = changed(n, n)
+        assert align.matched_lines(raw, clean) == [(i, j) for j, i in enumerate(kept)]
+    raw, clean, kept = changed(300, 300)
+    rows = chunks.chunk_pairs(pairs_of(("en", "\n".join(raw), "\n".join(clean))), "id", 400, 400).orderBy("chunk_no").collect()
+    assert len(rows) > 10 and {r["status"] for r in rows} == {"ok"}
+    i = j = 0
+    for r in rows[:-1]:
+        i, j = i + r["raw"].count("\n") + 1, j + r["clean"].count("\n") + 1
+        assert kept[j] == i
+
+
+@pytest.mark.parametrize("held", [1, 40, 1 << 22])
+def test_matching_by_rows_equals_the_table(monkeypatch, held):
+    monkeypatch.setattr(align, "SMALL", 0)
+    monkeypatch.setattr(align, "HELD", held)
+    rng = random.Random(held)
+
+    def line():
+        words = " ".join(rng.choices("xyz", k=rng.randrange(4)))
+        return rng.choice([words, words, words + " #", "--"])
+
+    for _ in range(300):
+        a, b = ([line() for _ in range(rng.randrange(1, 20))] for _ in range(2))
+        assert list(align.best_matching(a, b)) == list(align._by_table(a, b))
+
+
 def test_losses(spark, pairs_of):
     df = pairs_of(
         ("en", "1. one 5 5 3,400\n- item\n| a | b |\nend 7", "one 5 3400\nitem\nend 7\none 5 3400"),
